@@ -1,0 +1,5 @@
+"""No streaming operator is provided: every workload covered here is a bounded table.
+
+The row-local operators (`sources.dump`, `operators.claims`, `functions.*`) hold no
+aggregation, so they also accept the DataFrame of a `readStream` unchanged.
+"""
