@@ -9,6 +9,7 @@ once per word, and running text through a memo that each Python worker keeps.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -55,7 +56,6 @@ LANCASTER_RULES = (
 )
 
 
-@lru_cache(maxsize=MEMO_WORDS)
 def _shape(stem: str) -> str:
     """Consonant/vowel pattern; ``y`` is a vowel exactly after a consonant."""
     out = ""
@@ -116,7 +116,6 @@ def _porter_step4(word: str) -> str:
     return word
 
 
-@lru_cache(maxsize=MEMO_WORDS)
 def porter_stem(word: str) -> str:
     """Porter stem of one word."""
     word = word.lower()
@@ -141,18 +140,18 @@ def porter_stem(word: str) -> str:
     return word
 
 
-_RULE_SHAPE = re.compile(r"([a-z]+)(\*?)(\d)([a-z]*)([>.])")
-
-
-@lru_cache(maxsize=1)
-def _lancaster_table() -> dict:
+def _rules_by_last_letter(rules: str) -> dict[str, list]:
+    shape = re.compile(r"([a-z]+)(\*?)(\d)([a-z]*)([>.])")
     table: dict[str, list] = {}
-    for ending, intact, drop, add, go_on in _RULE_SHAPE.findall(LANCASTER_RULES):
+    for ending, intact, drop, add, go_on in shape.findall(rules):
         rule = (ending[::-1], bool(intact), int(drop), add, go_on == ">")
         table.setdefault(ending[0], []).append(rule)
     return table
 
 
+LANCASTER_TABLE = _rules_by_last_letter(LANCASTER_RULES)
+
+
 def _acceptable(stem: str) -> bool:
     """Two letters after a leading vowel, else three letters with a vowel past the first."""
     if stem[:1] in tuple("aeiouy"):
@@ -160,14 +159,13 @@ def _acceptable(stem: str) -> bool:
     return len(stem) >= 3 and any(ch in "aeiouy" for ch in stem[1:3])
 
 
-@lru_cache(maxsize=MEMO_WORDS)
 def lancaster_stem(word: str) -> str:
     """Lancaster stem of one word."""
     word = original = word.lower()
     going = True
     while going:
         going = False
-        for ending, intact_only, drop, add, go_on in _lancaster_table().get(word[-1:], ()):
+        for ending, intact_only, drop, add, go_on in LANCASTER_TABLE.get(word[-1:], ()):
             if not word.endswith(ending) or (intact_only and word != original):
                 continue
             if not _acceptable(word[: len(word) - drop]):
@@ -178,7 +176,7 @@ def lancaster_stem(word: str) -> str:
     return word
 
 
-STEMMERS = {"porter": porter_stem, "lancaster": lancaster_stem}
+STEMMERS: dict[str, Callable[[str], str]] = {"porter": porter_stem, "lancaster": lancaster_stem}
 
 
 def stem_word(word: Column, method: str = "porter") -> Column:
@@ -193,7 +191,7 @@ def stem_word(word: Column, method: str = "porter") -> Column:
 
 
 def stem_text(cleaned: Column, method: str = "porter") -> Column:
-    """Stem every word of cleaned text in place.
+    """Stem every word of cleaned text in place, with one bounded memo per task.
 
     Text stays in its row: joining a vocabulary back would shuffle every token, and the
     commonest words would all meet in one task.
@@ -201,8 +199,10 @@ def stem_text(cleaned: Column, method: str = "porter") -> Column:
     stem = STEMMERS[method]
 
     @F.pandas_udf("string")
-    def stemmed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: " ".join(map(stem, t.split())), na_action="ignore")
+    def stemmed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo = lru_cache(maxsize=MEMO_WORDS)(stem)
+        for texts in batches:
+            yield texts.map(lambda t: " ".join(map(memo, t.split())), na_action="ignore")
 
     return stemmed(cleaned)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,19 +41,31 @@ CLAIM_NAMES = {
 QUANTITY_COLUMNS = ("box_office", "cost")
 
 _STATEMENTS = "array<struct<mainsnak:struct<datavalue:struct<value:variant>>>>"
-# Only the wanted paths are declared: the JSON reader skips everything else in a document, and
-# each polymorphic value stays a VARIANT. A part of another shape (an empty `claims` written
-# as []) reads as NULL without losing the rest of its document.
-ENTITY_SCHEMA = (
-    "id string, labels struct<en:struct<value:string>>, "
-    "sitelinks struct<enwiki:struct<title:string>>, "
-    "claims struct<" + ", ".join(f"{code}:{_STATEMENTS}" for code in CLAIM_NAMES) + ">"
-)
 
 
-def parse_entities(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Parse each line once into the struct ``e``; ``e.id`` is NULL on unreadable lines."""
-    return lines.select(F.col(column).alias("line"), F.from_json(column, ENTITY_SCHEMA).alias("e"))
+def entity_schema(claims: Sequence[str]) -> str:
+    """Schema of a document with only the wanted paths.
+
+    The JSON reader skips everything else, and each polymorphic value stays a VARIANT. A part
+    of another shape (an empty `claims` written as []) reads as NULL without losing the rest.
+    """
+    fields = ", ".join(f"{code}:{_STATEMENTS}" for code, n in CLAIM_NAMES.items() if n in claims)
+    return (
+        "id string, labels struct<en:struct<value:string>>, "
+        f"sitelinks struct<enwiki:struct<title:string>>, claims struct<{fields}>"
+    )
+
+
+def parse_entities(
+    lines: DataFrame, column: str = "value", claims: Sequence[str] = tuple(CLAIM_NAMES.values())
+) -> DataFrame:
+    """(line, id, labels, sitelinks, claims); the id is NULL on unreadable lines.
+
+    ``claims`` names the claims worth reading. The parsed struct is unpacked by a generator,
+    so that a later filter on the id cannot be pushed below it and parse the line again.
+    """
+    entity = F.from_json(column, entity_schema(claims))
+    return lines.select(F.col(column).alias("line"), F.inline(F.array(entity)))
 
 
 def _is_text(value: Column) -> Column:
@@ -83,7 +97,12 @@ def _usable(statements: Column, read) -> Column:
         F.transform(statements, lambda s: read(s["mainsnak"]["datavalue"]["value"])),
         lambda v: v.isNotNull(),
     )
-    return F.when(F.size(values) > 0, values)
+    return F.nullif(values, F.filter(values, lambda v: F.lit(False)))
+
+
+def _read_claims(parsed: DataFrame) -> dict[str, str]:
+    present = set(parsed.schema["claims"].dataType.names)
+    return {code: name for code, name in CLAIM_NAMES.items() if code in present}
 
 
 def extract_claims(parsed: DataFrame) -> DataFrame:
@@ -93,14 +112,14 @@ def extract_claims(parsed: DataFrame) -> DataFrame:
     """
     claims = [
         _usable(
-            F.col(f"e.claims.{code}"), claim_quantity if name in QUANTITY_COLUMNS else claim_text
+            F.col(f"claims.{code}"), claim_quantity if name in QUANTITY_COLUMNS else claim_text
         ).alias(name)
-        for code, name in CLAIM_NAMES.items()
+        for code, name in _read_claims(parsed).items()
     ]
-    return parsed.filter(F.col("e.id").isNotNull()).select(
-        F.col("e.id").alias("id"),
-        F.col("e.labels.en.value").alias("label"),
-        F.col("e.sitelinks.enwiki.title").alias("enwiki_title"),
+    return parsed.filter(F.col("id").isNotNull()).select(
+        "id",
+        F.col("labels.en.value").alias("label"),
+        F.col("sitelinks.enwiki.title").alias("enwiki_title"),
         *claims,
     )
 
@@ -114,7 +133,7 @@ def claim_rejects(parsed: DataFrame) -> DataFrame:
 
     def unknown(code: str, name: str) -> Column:
         values = F.transform(
-            F.col(f"e.claims.{code}"), lambda s: s["mainsnak"]["datavalue"]["value"]
+            F.col(f"claims.{code}"), lambda s: s["mainsnak"]["datavalue"]["value"]
         )
         read = claim_quantity if name in QUANTITY_COLUMNS else claim_text
         odd = F.filter(values, lambda v: v.isNotNull() & read(v).isNull())
@@ -124,12 +143,12 @@ def claim_rejects(parsed: DataFrame) -> DataFrame:
 
     empty = F.array().cast("array<struct<claim:string,detail:string>>")
     found = F.concat(
-        *[F.coalesce(unknown(code, name), empty) for code, name in CLAIM_NAMES.items()]
+        *[F.coalesce(unknown(code, name), empty) for code, name in _read_claims(parsed).items()]
     )
     bad_line = F.array(
         F.struct(F.lit(None).cast("string").alias("claim"), F.col("line").alias("detail"))
     )
-    reason = F.when(F.col("e.id").isNull(), bad_line).otherwise(found)
-    return parsed.select(F.col("e.id").alias("id"), F.explode(reason).alias("r")).select(
+    reason = F.when(F.col("id").isNull(), bad_line).otherwise(found)
+    return parsed.select("id", F.explode(reason).alias("r")).select(
         "id", "r.claim", "r.detail"
     )

@@ -52,17 +52,19 @@ def _beta_tail(a: float, b: float, x: float) -> float:
     return front * (f - 1.0)
 
 
-@F.pandas_udf("double")
-def _slope_p_value(n: pd.Series, r: pd.Series) -> pd.Series:
+def slope_p_value(n: Column, r: Column) -> Column:
     """Two-sided p-value of a zero slope: Student's t with n - 2 degrees of freedom."""
 
     def one(count, corr):
         if pd.isna(corr) or count < 3:
             return None
-        free = count - 2.0
-        return _beta_tail(free / 2.0, 0.5, max(0.0, 1.0 - corr * corr))
+        return _beta_tail((count - 2.0) / 2.0, 0.5, max(0.0, 1.0 - corr * corr))
 
-    return pd.Series([one(*pair) for pair in zip(n, r)], dtype="float64")
+    @F.pandas_udf("double")
+    def p_values(counts: pd.Series, corrs: pd.Series) -> pd.Series:
+        return pd.Series([one(*pair) for pair in zip(counts, corrs)], dtype="float64")
+
+    return p_values(n, r)
 
 
 def line_fits(df: DataFrame, pairs: Mapping[str, tuple[str, str]], p_value: bool = True) -> DataFrame:
@@ -85,7 +87,7 @@ def line_fits(df: DataFrame, pairs: Mapping[str, tuple[str, str]], p_value: bool
             )
         )
     )
-    return rows.withColumn("p_value", _slope_p_value("n", "r")) if p_value else rows
+    return rows.withColumn("p_value", slope_p_value(F.col("n"), F.col("r"))) if p_value else rows
 
 
 def with_line(

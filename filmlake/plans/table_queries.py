@@ -112,7 +112,7 @@ WHERE o_orderkey % 101 <> 0 AND o_orderkey % 89 <> 0 AND o_orderkey % 13 <> 0
 
 
 def genre_labels(spark, sf_dir):
-    return genre_map(v.entities(spark, sf_dir))
+    return genre_map(v.entities(spark, sf_dir, ("genre",)))
 
 
 GENRE_LABELS_SQL = """
@@ -126,7 +126,7 @@ WHERE o_orderkey % 17 <> 0 AND o_orderkey % 101 <> 0"""
 
 
 def entity_labels(spark, sf_dir):
-    return label_map(v.entities(spark, sf_dir))
+    return label_map(v.entities(spark, sf_dir, ()))
 
 
 ENTITY_LABELS_SQL = """

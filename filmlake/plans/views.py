@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.claims import extract_claims, parse_entities
+from ..operators.claims import CLAIM_NAMES, extract_claims, parse_entities
 from ..sources.dump import entity_lines
 
 # Parameters of the registered queries.
@@ -120,12 +120,12 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.explode(lines).alias("value"))
 
 
-def parsed_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_entities(entity_lines(dump_lines(spark, sf_dir)))
+def parsed_dump(spark: SparkSession, sf_dir: str, claims=tuple(CLAIM_NAMES.values())) -> DataFrame:
+    return parse_entities(entity_lines(dump_lines(spark, sf_dir)), claims=claims)
 
 
-def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_claims(parsed_dump(spark, sf_dir))
+def entities(spark: SparkSession, sf_dir: str, claims=tuple(CLAIM_NAMES.values())) -> DataFrame:
+    return extract_claims(parsed_dump(spark, sf_dir, claims))
 
 
 DUMP_CTE = f"""
