@@ -41,3 +41,8 @@ def without_words(tokens: Column, words: Sequence[str]) -> Column:
 def join_tokens(tokens: Column) -> Column:
     """Kept tokens as text again."""
     return F.array_join(tokens, " ")
+
+
+def fingerprint(text: Column) -> Column:
+    """Digest that stands for a long text where only equality matters."""
+    return F.sha2(text, 256)

@@ -78,13 +78,30 @@ def first_seen(rows: DataFrame, value: str, order: list[str], index: str = "idx"
     return number_rows(first, ["_first"], index).select(value, index)
 
 
+def genre_vocabulary(
+    df: DataFrame, least: int, key: str = "film", genres: str = "genres"
+) -> DataFrame:
+    """(genre, n, idx) of the frequent genres, numbered by first appearance.
+
+    Support and first position come from one partial aggregation; the result is small and is
+    written once, because filters, explosions and label columns all read it.
+    """
+    counted = (
+        genre_rows(df, key, genres)
+        .groupBy("genre")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(key, "pos")).alias("_first"))
+        .filter(F.col("n") >= least)
+    )
+    return number_rows(counted, ["_first"], "idx").select("genre", "n", "idx")
+
+
 def predict_rows(
     df: DataFrame, vocabulary: DataFrame, key: str = "film", genres: str = "genres", keep=()
 ) -> DataFrame:
     """One numbered row per (film, genre): (row_idx, key, genres_number, kept columns)."""
     rows = genre_rows(df, key, genres, keep)
     indexed = rows.join(
-        broadcast_checked(vocabulary.withColumnRenamed("idx", "genres_number")), "genre"
+        broadcast_checked(vocabulary.select("genre", F.col("idx").alias("genres_number"))), "genre"
     )
     return number_rows(indexed, [key, "pos"]).select(
         "row_idx", key, F.col("genres_number").cast("int").alias("genres_number"), *keep

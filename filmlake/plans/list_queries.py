@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.lists import as_list, first_n
+from ..functions.text import fingerprint
 from ..operators.genres import (
-    first_seen,
     frequent_genres,
     genre_counts,
     genre_rows,
     genre_shares,
+    genre_vocabulary,
     keep_genres,
     predict_rows,
 )
@@ -93,17 +94,15 @@ def genre_text_totals(spark, sf_dir):
 
 
 def kept_films(spark, sf_dir, *extra):
-    """Films with their frequent genres, and the genre index in first-seen order."""
+    """Films with their frequent genres, and those genres numbered in first-seen order."""
+    vocabulary = genre_vocabulary(_genre_films(spark, sf_dir), MIN_SUPPORT)
     films = v.plots(spark, sf_dir).select("film", "genres", *extra)
-    kept = keep_genres(films, frequent_genres(_genre_films(spark, sf_dir), MIN_SUPPORT))
-    index = first_seen(genre_rows(_genre_films(spark, sf_dir)), "genre", ["film", "pos"], "seen")
-    allowed = frequent_genres(_genre_films(spark, sf_dir), MIN_SUPPORT).select("genre")
-    vocabulary = first_seen(index.join(allowed, "genre"), "genre", ["seen"])
-    return kept, materialize(vocabulary, "genre-index")
+    return keep_genres(films, vocabulary), vocabulary
 
 
 def genre_index(spark, sf_dir):
-    return kept_films(spark, sf_dir)[1].select("genre", F.col("idx").cast("int").alias("idx"))
+    vocabulary = genre_vocabulary(_genre_films(spark, sf_dir), MIN_SUPPORT)
+    return vocabulary.select("genre", F.col("idx").cast("int").alias("idx"))
 
 
 def genre_explode(spark, sf_dir):
@@ -165,7 +164,7 @@ FROM tested t""",
 
 
 def neighbour_share(spark, sf_dir):
-    kept, vocabulary = kept_films(spark, sf_dir, "plot")
+    kept, vocabulary = kept_films(spark, sf_dir, fingerprint(F.col("plot")).alias("plot"))
     rows = predict_rows(kept, vocabulary, keep=("plot",))
     guess = F.when(~in_train(F.col("film")), _guess(3))
     share = neighbour_accuracy(rows.withColumn("prediction", guess), "row_idx", "plot")
