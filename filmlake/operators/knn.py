@@ -196,9 +196,12 @@ def _search(
             F.ceil(F.count(F.lit(1)) / BOX_QUERIES).cast("int").alias("parts")
         )
         load = broadcast_checked(materialize(load, "knn-load"))
-        left = queries.join(load, "box").withColumn("part", F.pmod("qid", F.col("parts")).cast("int"))
-        right = homes.join(load, "box").withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        left = queries.join(load, "box").select(
+            "box", F.pmod("qid", F.col("parts")).cast("int").alias("part"), "qid", "point"
+        )
+        right = homes.join(load, "box").select(
+            "box", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            "id", "label", "point",
         )
         sides = left.groupBy("box", "part").cogroup(right.groupBy("box", "part"))
         return sides.applyInPandas(search, _FOUND)
