@@ -151,7 +151,7 @@ def _point(features: Sequence[str]) -> Column:
 def _search(
     test: DataFrame, train: DataFrame, key: str, label: str, features: Sequence[str], k: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(point, qid) of the distinct test points, and their k nearest (qid, rank, d2, id, label).
+    """(point, qid) of the distinct test points, and their k nearest (qid, rank, d2, neighbour, of).
 
     Of equal training points only the k with the smallest keys can ever be neighbours, so a
     value that repeats without limit stays k rows.
@@ -226,7 +226,8 @@ def _search(
         .withColumn("reach2", F.coalesce(bound, F.lit(float("inf"))))
         .select("qid", "point", F.explode(others("point", "box", "reach2")).alias("box"))
     )
-    return asked, _best(first.unionByName(search_boxes(further)), k)
+    found = _best(first.unionByName(search_boxes(further)), k)
+    return asked, found.withColumnRenamed("id", "neighbour").withColumnRenamed("label", "of")
 
 
 def nearest_neighbours(
@@ -236,7 +237,7 @@ def nearest_neighbours(
     asked, found = _search(test, train, key, label, features, k)
     back = test.select(key, _point(features).alias("point")).join(asked, "point")
     return back.join(found, "qid").select(
-        key, "rank", F.col("id").alias("neighbour"), "d2", "label"
+        key, "rank", "neighbour", "d2", F.col("of").alias("label")
     )
 
 
@@ -248,9 +249,9 @@ def knn_predict(
     Votes are counted per distinct test point and only the result is joined back to the rows.
     """
     asked, found = _search(test, train, key, label, features, k)
-    counts = found.groupBy("qid", "label").agg(F.count(F.lit(1)).alias("votes"))
+    counts = found.groupBy("qid", "of").agg(F.count(F.lit(1)).alias("votes"))
     best = counts.groupBy("qid").agg(
-        F.max(F.struct("votes", (-F.col("label")).alias("rank"))).alias("b")
+        F.max(F.struct("votes", (-F.col("of")).alias("rank"))).alias("b")
     )
     decided = asked.join(best, "qid").select(
         "point", (-F.col("b.rank")).cast("int").alias("prediction"), F.col("b.votes").alias("votes")

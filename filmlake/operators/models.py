@@ -83,7 +83,9 @@ def tfidf_vectors(
     Returns a function that maps any rows with ``tokens`` to rows with ``output``.
     """
     size = max_features or _distinct_terms(train, tokens)
-    counter = CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=size, maxDF=max_df)
+    counter = CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=size)
+    if max_df < 1.0:
+        counter.setMaxDF(max_df)  # Spark reads 1.0 and above as a number of documents
     counts = counter.fit(train)
     idf = IDF(inputCol="_tf", outputCol="_w").fit(counts.transform(train))
     scale = ElementwiseProduct(

@@ -9,6 +9,7 @@ from ..functions.text import fingerprint
 from ..operators.genres import (
     frequent_genres,
     genre_counts,
+    genre_list,
     genre_rows,
     genre_shares,
     genre_vocabulary,
@@ -20,7 +21,7 @@ from ..operators.models import in_train, label_matrix
 from ..operators.rare import drop_empty_lists, remove_rare, remove_rare_by_rows
 from ..operators.sentiment import document_sentiment, genre_sentiment
 from ..operators.vocabulary import concat_features, multi_hot
-from ..session import materialize
+from ..session import broadcast_checked, materialize
 from . import views as v
 from .table_queries import CHAIN_CTE, film_chain
 from .views import CREDITS_CTE, LEXICON_CTE, MIN_SUPPORT, PLOTS_CTE, with_ctes
@@ -196,8 +197,7 @@ near AS (
 
 def genre_matrix(spark, sf_dir):
     kept, vocabulary = kept_films(spark, sf_dir)
-    names = [r.genre for r in vocabulary.select("genre").collect()]
-    return label_matrix(kept, "film", "genres", names)
+    return label_matrix(kept, "film", "genres", genre_list(vocabulary))
 
 
 MATRIX_SQL = with_ctes(
@@ -212,9 +212,12 @@ SELECT f.film, k.genre, CAST(EXISTS (SELECT 1 FROM predict p WHERE p.film = f.fi
 def micro_f1_rule(spark, sf_dir):
     """Micro F1 of a fixed rule: every film is given the first genre, and odd films the second."""
     kept, vocabulary = kept_films(spark, sf_dir)
-    names = [r.genre for r in vocabulary.orderBy("idx").collect()]
-    rule = ((F.col("genre") == names[0]) | ((F.col("genre") == names[1]) & (F.col("film") % 2 == 1)))
-    matrix = label_matrix(kept, "film", "genres", names).withColumn("p", rule.cast("int"))
+    names = genre_list(vocabulary)
+    matrix = label_matrix(kept, "film", "genres", names).join(
+        broadcast_checked(vocabulary.select("genre", "idx")), "genre"
+    )
+    rule = (F.col("idx") == 0) | ((F.col("idx") == 1) & (F.col("film") % 2 == 1))
+    matrix = matrix.withColumn("p", rule.cast("int"))
     return micro_f1(matrix).select("tp", "fp", "fn", F.round("f1", 6).alias("f1"))
 
 

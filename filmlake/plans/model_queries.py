@@ -11,6 +11,7 @@ from ..functions.money import money_value, profit
 from ..functions.stemming import stem_text
 from ..functions.text import clean_text, clean_tokens, without_words
 from ..operators import models as m
+from ..operators.genres import genre_list
 from ..operators.joins import complete, well_rated
 from ..operators.knn import knn_predict, nearest_neighbours, standardise
 from ..operators.metrics import micro_f1, tolerance_accuracy
@@ -211,7 +212,7 @@ def _genre_tokens(spark, sf_dir, stem=False):
         kept.select("film", "genres", without_words(clean_tokens(text), STOP_WORDS).alias("tokens")),
         "tokens",
     )
-    names = [r.genre for r in vocabulary.select("genre").collect()]
+    names = genre_list(vocabulary)
     in_train = m.in_train(F.col("film"), 0.8)
     return films.filter(in_train), films.filter(~in_train), names
 
