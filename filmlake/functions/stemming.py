@@ -208,9 +208,15 @@ def stem_text(cleaned: Column, method: str = "porter") -> Column:
 
 
 def stem_counts(counts: DataFrame, method: str = "porter", word: str = "word") -> DataFrame:
-    """Word counts re-aggregated by stem: stemming touches each distinct word once."""
+    """Word counts re-aggregated by stem: stemming touches each distinct word once.
+
+    The counted vocabulary is few bytes but much work per byte, so it is spread over all cores
+    before Python sees it; sized by bytes alone it would end in a handful of tasks.
+    """
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = counts.repartition(tasks, word)
     return (
-        counts.withColumn(word, stem_word(F.col(word), method))
+        spread.withColumn(word, stem_word(F.col(word), method))
         .groupBy(word)
         .agg(F.sum("n").cast("long").alias("n"))
     )

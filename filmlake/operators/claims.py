@@ -68,36 +68,48 @@ def parse_entities(
     return lines.select(F.col(column).alias("line"), F.inline(F.array(entity)))
 
 
-def _is_text(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
+_MEMBERS = "struct<id string, text string, time string, amount string, unit string>"
 
 
-def _member(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, f"$.{name}", "string")
+def _opened(statements: Column) -> Column:
+    """Per statement the raw value ``v`` and its known members ``m``, read in one cast."""
 
+    def entry(s):
+        value = s["mainsnak"]["datavalue"]["value"]
+        return F.struct(value.alias("v"), F.try_variant_get(value, "$", _MEMBERS).alias("m"))
 
-def claim_text(value: Column) -> Column:
-    """Plain text of a value: itself, or its id, text, time or amount; NULL if unknown."""
-    return F.coalesce(
-        *[_member(value, name) for name in ("id", "text", "time", "amount")],
-        F.when(_is_text(value), F.try_variant_get(value, "$", "string")),
-    )
+    return F.transform(statements, entry)
 
 
-def claim_quantity(value: Column) -> Column:
-    """(amount, unit) with the unit cut to the part after its last slash."""
-    amount = _member(value, "amount")
-    unit = F.element_at(F.split(_member(value, "unit"), "/"), -1)
-    return F.when(amount.isNotNull(), F.struct(amount.alias("amount"), unit.alias("unit")))
+def _text(x: Column) -> Column:
+    """Plain text of an opened value: its id, text, time or amount, or itself; NULL if unknown."""
+    m, v = x["m"], x["v"]
+    plain = F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    return F.when(m.isNull(), plain).otherwise(
+        F.coalesce(m["id"], m["text"], m["time"], m["amount"])
+    )
 
 
-def _usable(statements: Column, read) -> Column:
-    """Read the values of a claim; an absent value is skipped, an empty claim is NULL."""
-    values = F.filter(
-        F.transform(statements, lambda s: read(s["mainsnak"]["datavalue"]["value"])),
-        lambda v: v.isNotNull(),
+def _quantity(x: Column) -> Column:
+    """(amount, unit) of an opened value, the unit cut to the part after its last slash."""
+    amount, unit = x["m"]["amount"], x["m"]["unit"]
+    return F.when(
+        amount.isNotNull(),
+        F.struct(amount.alias("amount"), F.element_at(F.split(unit, "/"), -1).alias("unit")),
     )
-    return F.nullif(values, F.filter(values, lambda v: F.lit(False)))
+
+
+def claim_values(statements: Column, quantity: bool = False) -> Column:
+    """Values of one claim as a list (P03); absent and unknown values are skipped."""
+    read = _quantity if quantity else _text
+    return F.filter(F.transform(_opened(statements), read), lambda v: v.isNotNull())
+
+
+def unknown_values(statements: Column, quantity: bool = False) -> Column:
+    """JSON text of the values of one claim that have no known shape."""
+    read = _quantity if quantity else _text
+    odd = F.filter(_opened(statements), lambda x: x["v"].isNotNull() & read(x).isNull())
+    return F.transform(odd, lambda x: F.to_json(x["v"]))
 
 
 def _read_claims(parsed: DataFrame) -> dict[str, str]:
@@ -108,20 +120,20 @@ def _read_claims(parsed: DataFrame) -> dict[str, str]:
 def extract_claims(parsed: DataFrame) -> DataFrame:
     """The slim entity table: id, label, title and 28 named claims.
 
-    One narrow projection: no explode, no shuffle.
+    Narrow projections only: no explode, no shuffle. A claim without a usable value is NULL;
+    that test is a projection of its own, so each list is built once.
     """
-    claims = [
-        _usable(
-            F.col(f"claims.{code}"), claim_quantity if name in QUANTITY_COLUMNS else claim_text
-        ).alias(name)
-        for code, name in _read_claims(parsed).items()
-    ]
-    return parsed.filter(F.col("id").isNotNull()).select(
+    names = _read_claims(parsed)
+    read = parsed.filter(F.col("id").isNotNull()).select(
         "id",
         F.col("labels.en.value").alias("label"),
         F.col("sitelinks.enwiki.title").alias("enwiki_title"),
-        *claims,
+        *[
+            claim_values(F.col(f"claims.{code}"), name in QUANTITY_COLUMNS).alias(name)
+            for code, name in names.items()
+        ],
     )
+    return read.withColumns({n: F.when(F.size(n) > 0, F.col(n)) for n in names.values()})
 
 
 def claim_rejects(parsed: DataFrame) -> DataFrame:
@@ -132,13 +144,9 @@ def claim_rejects(parsed: DataFrame) -> DataFrame:
     """
 
     def unknown(code: str, name: str) -> Column:
-        values = F.transform(
-            F.col(f"claims.{code}"), lambda s: s["mainsnak"]["datavalue"]["value"]
-        )
-        read = claim_quantity if name in QUANTITY_COLUMNS else claim_text
-        odd = F.filter(values, lambda v: v.isNotNull() & read(v).isNull())
         return F.transform(
-            odd, lambda v: F.struct(F.lit(code).alias("claim"), F.to_json(v).alias("detail"))
+            unknown_values(F.col(f"claims.{code}"), name in QUANTITY_COLUMNS),
+            lambda text: F.struct(F.lit(code).alias("claim"), text.alias("detail")),
         )
 
     empty = F.array().cast("array<struct<claim:string,detail:string>>")

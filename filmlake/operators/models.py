@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -226,23 +228,29 @@ def label_matrix(df: DataFrame, key: str, genres: str, names: Sequence[str]) ->
 
 def multilabel_logistic(
     train: DataFrame, test: DataFrame, key: str, genres: str, names: Sequence[str],
-    threshold: float = 0.3, max_iter: int = 50,
+    threshold: float = 0.3, max_iter: int = 50, parallelism: int = 8,
 ) -> DataFrame:
     """One logistic regression per genre: (key, genre, y, probability, p, p_low).
 
     ``p`` is the default 0.5 decision and ``p_low`` the one at ``threshold``. The vectors are
-    written once and every fit reads them; each fit is a distributed job of its own.
+    written once and every fit reads them; each fit is a distributed job of its own, and
+    ``parallelism`` of them are submitted at a time so that short iterations overlap.
     """
     names = sorted(names)
     train = materialize(train.select("features", genres), "train-vectors")
     penalty = 1.0 / max(train.count(), 1)
-    scored = test.select(key, genres, "features")
-    for i, name in enumerate(names):
+
+    def fit(name: str):
         rows = train.withColumn("y", F.array_contains(genres, name).cast("double"))
-        model = LogisticRegression(
+        return LogisticRegression(
             labelCol="y", regParam=penalty, elasticNetParam=0.0, standardization=False,
             maxIter=max_iter,
         ).fit(rows)
+
+    with ThreadPool(max(1, min(parallelism, len(names)))) as pool:
+        fitted = pool.map(inheritable_thread_target(train.sparkSession)(fit), names)
+    scored = test.select(key, genres, "features")
+    for i, model in enumerate(fitted):
         chance = vector_to_array(F.col("probability"))
         scored = (
             model.transform(scored)

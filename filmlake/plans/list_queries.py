@@ -32,8 +32,7 @@ def _text(column):
 
 
 def _sentiment(spark, sf_dir):
-    plots = v.plots(spark, sf_dir).select("film", "plot", "genres")
-    return document_sentiment(plots, v.lexicon(spark), "film", "plot", ("genres",))
+    return document_sentiment(v.plot_texts(spark, sf_dir), v.lexicon(spark), "film", "plot", ("genres",))
 
 
 def sentiment_by_genre(spark, sf_dir):
@@ -97,8 +96,8 @@ def genre_text_totals(spark, sf_dir):
 def kept_films(spark, sf_dir, *extra):
     """Films with their frequent genres, and those genres numbered in first-seen order."""
     vocabulary = genre_vocabulary(_genre_films(spark, sf_dir), MIN_SUPPORT)
-    films = v.plots(spark, sf_dir).select("film", "genres", *extra)
-    return keep_genres(films, vocabulary), vocabulary
+    films = v.plot_texts(spark, sf_dir) if extra else _genre_films(spark, sf_dir)
+    return keep_genres(films.select("film", "genres", *extra), vocabulary), vocabulary
 
 
 def genre_index(spark, sf_dir):

@@ -12,6 +12,7 @@ from ..operators.enrich import enrich_films, films_to_fetch
 from ..operators.films import genre_map, label_map, select_films
 from ..operators.joins import complete, join_chain, join_ratings, well_rated
 from ..operators.profile import table_profile, value_range
+from ..session import materialize
 from . import views as v
 from .views import CREDITS_CTE, DUMP_CTE, FILMS_CTE, PLOTS_CTE, with_ctes
 
@@ -112,7 +113,8 @@ WHERE o_orderkey % 101 <> 0 AND o_orderkey % 89 <> 0 AND o_orderkey % 13 <> 0
 
 
 def genre_labels(spark, sf_dir):
-    return genre_map(v.entities(spark, sf_dir, ("genre",)))
+    slim = materialize(v.entities(spark, sf_dir, ("genre",)), "slim")
+    return genre_map(slim)
 
 
 GENRE_LABELS_SQL = """

@@ -26,7 +26,7 @@ words AS (SELECT film, UNNEST(s) AS word, generate_subscripts(s, 1) AS pos FROM
 
 
 def _cleaned(spark, sf_dir):
-    return v.plots(spark, sf_dir).select("film", clean_text(F.col("plot")).alias("plot"))
+    return v.plot_texts(spark, sf_dir).select("film", clean_text(F.col("plot")).alias("plot"))
 
 
 def cleaned_text(spark, sf_dir):

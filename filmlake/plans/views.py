@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.claims import CLAIM_NAMES, extract_claims, parse_entities
+from ..session import spread_small
 from ..sources.dump import entity_lines
 
 # Parameters of the registered queries.
@@ -117,7 +118,8 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw dump: an opening bracket line, then one JSON object and a comma per line."""
     line = F.expr(ENTITY_LINE)
     lines = F.when(F.col("o_orderkey") == 0, F.array(F.lit("["), line)).otherwise(F.array(line))
-    return table(spark, sf_dir, "orders").select(F.explode(lines).alias("value"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return spread_small(orders).select(F.explode(lines).alias("value"))
 
 
 def parsed_dump(spark: SparkSession, sf_dir: str, claims=tuple(CLAIM_NAMES.values())) -> DataFrame:
@@ -279,6 +281,11 @@ def plots(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("genres", F.split("genre_text", ", "))
 
 
+def plot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(film, plot, genres), spread over all cores for work on the texts."""
+    return spread_small(plots(spark, sf_dir).select("film", "plot", "genres"))
+
+
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored answers of the enrichment service, one tenth of them "not found"."""
     payload = F.to_json(
