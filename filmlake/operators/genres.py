@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_checked, materialize
+from ..session import broadcast_checked
 from .numbering import number_rows
 
 
@@ -45,8 +45,9 @@ def keep_genres(
     The allowed genres are reduced to one array value read by a scalar subquery, so every list
     is filtered in place and no film row moves. That needs the set to be small, as a genre
     vocabulary is; a set beyond the broadcast bound goes through a semi join instead.
+    ``allowed`` is read twice, so pass a written table such as :func:`genre_vocabulary`.
     """
-    names = materialize(allowed.select("genre").distinct(), "genres")
+    names = allowed.select("genre")
     hinted = broadcast_checked(names)
     if hinted is not names:
         kept = names.agg(F.collect_set("genre")).scalar()

@@ -80,7 +80,7 @@ def genre_share(spark, sf_dir):
 
 def genre_filter(spark, sf_dir):
     films = _genre_films(spark, sf_dir)
-    kept = keep_genres(films, frequent_genres(films, MIN_SUPPORT))
+    kept = keep_genres(films, genre_vocabulary(films, MIN_SUPPORT))
     return kept.select("film", _text("genres").alias("genres"))
 
 

@@ -16,6 +16,7 @@ from ..operators.stats import (
     r2_score,
     with_line,
 )
+from ..session import materialize
 from . import views as v
 from .table_queries import MONEY_CTE, real_money
 from .views import FILMS_CTE, PLOTS_CTE, with_ctes
@@ -140,8 +141,9 @@ def _residuals(spark, sf_dir):
 
 
 def residual_histogram(spark, sf_dir):
-    """Histogram of the profit residual, rounded so that no value sits on a bin edge by noise."""
-    return histogram(_residuals(spark, sf_dir).withColumn("residual", F.round("residual", 6)), "residual").select(
+    """Histogram of the review residual, rounded so that no value sits on a bin edge by noise."""
+    rounded = _residuals(spark, sf_dir).select(F.round("residual", 6).alias("residual"))
+    return histogram(materialize(rounded, "residuals"), "residual").select(
         "bin", F.round("bin_from", 4).alias("bin_from"), F.round("bin_to", 4).alias("bin_to"), "n"
     )
 

@@ -10,7 +10,14 @@ from ..operators.bayes import fit_multinomial, predict_multinomial
 from ..operators.genres import predict_rows
 from ..operators.metrics import exact_accuracy, sibling_accuracy
 from ..operators.models import in_train
-from ..operators.tfidf import anova_f, class_sums, prepared_terms, select_percentile, term_counts
+from ..operators.tfidf import (
+    anova_f,
+    class_sums,
+    fit_vocabulary,
+    select_percentile,
+    term_counts,
+    weighted_terms,
+)
 from ..operators.wordfreq import drop_stop_words, top_words, without_stop_words, word_counts
 from ..session import materialize
 from . import views as v
@@ -103,35 +110,26 @@ terms AS (
 WORD_VECTORS_SQL = with_ctes(CLEAN_CTE, TERMS_CTE, select="SELECT film, term, tf FROM terms")
 
 
-def labelled_films(spark, sf_dir, text=clean_text):
-    """Kept films with their genre numbers, sample weight and side of the split."""
-    kept, vocabulary = kept_films(spark, sf_dir, text(F.col("plot")).alias("plot"))
-    kept = kept.withColumn("train", in_train(F.col("film"))).withColumn(
-        "mult", F.size("genres").cast("long")
-    )
-    rows = materialize(predict_rows(kept.select("film", "genres", "train"), vocabulary, keep=("train",)), "samples")
-    return kept, vocabulary, rows
+def labelled_films(spark, sf_dir):
+    """Kept films with cleaned plot, sample weight and side of the split; and their genres."""
+    kept, vocabulary = kept_films(spark, sf_dir, clean_text(F.col("plot")).alias("plot"))
+    kept = kept.withColumn("train", in_train(F.col("film")))
+    return kept.withColumn("mult", F.size("genres").cast("long")), vocabulary
 
 
-def _weights(spark, sf_dir, max_df=0.4, max_features=None):
-    kept, vocabulary, rows = labelled_films(spark, sf_dir)
-    terms, weights = prepared_terms(kept, "film", "plot", STOP_WORDS, max_df, max_features)
-    return kept, vocabulary, rows, terms, weights
+def _terms(spark, sf_dir):
+    kept, _ = labelled_films(spark, sf_dir)
+    return kept, fit_vocabulary(kept.filter("train"), "plot", STOP_WORDS, 0.8, 1000)
 
 
 def term_vocabulary(spark, sf_dir):
-    terms = _weights(spark, sf_dir, 0.8, 1000)[3]
-    return terms.select(
-        "term", F.col("df").cast("long").alias("df"), F.col("total").cast("long").alias("total"),
-        F.round("idf", 6).alias("idf"),
-    )
+    return _terms(spark, sf_dir)[1].select("term", "df", "total", F.round("idf", 6).alias("idf"))
 
 
 def tfidf_long(spark, sf_dir):
-    weights = _weights(spark, sf_dir, 0.8, 1000)[4]
-    return weights.select(
-        "film", "term", F.col("tf").cast("long").alias("tf"), F.round("weight", 6).alias("weight")
-    )
+    kept, terms = _terms(spark, sf_dir)
+    weights = weighted_terms(kept, terms, "film", "plot", STOP_WORDS)
+    return weights.select("film", "term", "tf", F.round("weight", 6).alias("weight"))
 
 
 def _sql_weights(max_df: str, limit: str = "") -> str:
@@ -164,10 +162,17 @@ TFIDF_SQL = with_ctes(
 
 
 def _selection(spark, sf_dir):
-    kept, vocabulary, rows, terms, weights = _weights(spark, sf_dir)
+    """Samples per (film, genre), class sums of the training weights, and the chosen terms."""
+    kept, vocabulary = labelled_films(spark, sf_dir)
+    train = kept.filter("train")
+    terms = fit_vocabulary(train, "plot", STOP_WORDS, 0.4)
+    rows = materialize(
+        predict_rows(kept.select("film", "genres", "train"), vocabulary, keep=("train",)), "samples"
+    )
     samples = rows.filter("train").select("film", F.col("genres_number").alias("class"))
+    weights = weighted_terms(train, terms, "film", "plot", STOP_WORDS)
     sums = materialize(class_sums(weights, samples, "film"), "class-sums")
-    return kept, vocabulary, rows, weights, sums, select_percentile(anova_f(sums, samples), 20)
+    return kept, vocabulary, rows, terms, sums, select_percentile(anova_f(sums, samples), 20)
 
 
 def anova_select(spark, sf_dir):
@@ -202,13 +207,12 @@ ANOVA_SQL = with_ctes(SELECT_CTE, select="SELECT term, round(f, 4) AS f FROM cho
 
 def bayes_predictions(spark, sf_dir):
     """(all samples, test films with the predicted genre number)."""
-    kept, vocabulary, rows, weights, sums, chosen = _selection(spark, sf_dir)
+    kept, vocabulary, rows, terms, sums, chosen = _selection(spark, sf_dir)
     classes = sorted(r.idx for r in vocabulary.select("idx").collect())
     model = fit_multinomial(sums, materialize(chosen, "chosen"), classes)
-    test = kept.filter(~F.col("train")).select("film")
-    return rows, predict_multinomial(
-        test, weights.filter(~F.col("train")), model, classes, "film"
-    )
+    test = kept.filter(~F.col("train"))
+    weights = weighted_terms(test, terms, "film", "plot", STOP_WORDS)
+    return rows, predict_multinomial(test.select("film"), weights, model, classes, "film")
 
 
 def nb_multinomial(spark, sf_dir):

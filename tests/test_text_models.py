@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from filmlake.operators import knn, models
 from filmlake.operators.bayes import fit_multinomial, predict_multinomial
-from filmlake.operators.tfidf import anova_f, class_sums, prepared_terms, select_percentile
+from filmlake.operators.tfidf import (
+    anova_f,
+    class_sums,
+    fit_vocabulary,
+    select_percentile,
+    weighted_terms,
+)
 from filmlake.operators.wordfreq import drop_stop_words, top_words, word_counts
 
 DOCS = [
@@ -29,6 +35,11 @@ def docs(spark):
     ).repartition(3)
 
 
+def prepared_terms(docs, key, text, stop_words=(), max_df=1.0, max_features=None):
+    vocabulary = fit_vocabulary(docs.filter("train"), text, stop_words, max_df, max_features)
+    return vocabulary, weighted_terms(docs, vocabulary, key, text, stop_words)
+
+
 def brute_weights(max_df):
     train = [(d, Counter(t.split()), c) for d, t, c, tr in DOCS if tr]
     n = sum(len(c) for _, _, c in train)
@@ -214,7 +225,8 @@ def test_ml_tfidf_equals_long_form(spark, docs):
     norms = [float(np.linalg.norm(r.features.toArray())) for r in encode(tokens.filter("train")).collect()]
     assert np.allclose(norms, 1.0)
     _, weights = prepared_terms(tokens, "film", "plot")
-    long_form = sorted(round(r.weight, 9) for r in weights.filter("train").collect())
+    trained = weights.join(docs.filter("train").select("film"), "film", "left_semi")
+    long_form = sorted(round(r.weight, 9) for r in trained.collect())
     vector = sorted(round(float(x), 9) for r in encode(tokens.filter("train")).collect() for x in r.features.toArray() if x)
     assert long_form == vector
 
