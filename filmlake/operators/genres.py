@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,13 +69,24 @@ def keep_genres(
     return df.drop(genres).join(lists, key)
 
 
-def first_seen(rows: DataFrame, value: str, order: list[str], index: str = "idx") -> DataFrame:
+def _first_place(rows: DataFrame, key: str, pos: str) -> Column:
+    """Smallest (key, pos). A whole-number key is packed with the position into one number, which
+    a hash aggregate can hold; a struct would sort every occurrence before the partial step."""
+    if isinstance(rows.schema[key].dataType, T.IntegralType):
+        packed = F.col(key).cast("decimal(20,0)") * F.lit(1 << 32) + F.col(pos)
+        return F.min(packed.cast("decimal(38,0)"))
+    return F.min(F.struct(key, pos))
+
+
+def first_seen(
+    rows: DataFrame, value: str, key: str, pos: str = "pos", index: str = "idx"
+) -> DataFrame:
     """Distinct values numbered 0, 1, ... by first appearance.
 
-    ``rows`` holds one row per occurrence and ``order`` is its reading order. The first
-    position of each value is a partial aggregation; only the vocabulary is sorted.
+    ``rows`` holds one row per occurrence, read in the order of ``key`` and ``pos``. The first
+    place of each value is a partial aggregation; only the vocabulary is sorted.
     """
-    first = rows.groupBy(value).agg(F.min(F.struct(*order)).alias("_first"))
+    first = rows.groupBy(value).agg(_first_place(rows, key, pos).alias("_first"))
     return number_rows(first, ["_first"], index).select(value, index)
 
 
@@ -87,10 +98,10 @@ def genre_vocabulary(
     Support and first position come from one partial aggregation; the result is small and is
     written once, because filters, explosions and label columns all read it.
     """
+    rows = genre_rows(df, key, genres)
     counted = (
-        genre_rows(df, key, genres)
-        .groupBy("genre")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(key, "pos")).alias("_first"))
+        rows.groupBy("genre")
+        .agg(F.count(F.lit(1)).alias("n"), _first_place(rows, key, "pos").alias("_first"))
         .filter(F.col("n") >= least)
     )
     return number_rows(counted, ["_first"], "idx").select("genre", "n", "idx")

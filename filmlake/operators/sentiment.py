@@ -2,27 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import word_tokens
 from ..session import broadcast_checked
 
+IN_ROW_WORDS = 50_000
+
+
+def lexicon_score(tokens: Column, words_by_polarity: Mapping[int, Sequence[str]]) -> Column:
+    """Sum of the polarities of the listed words among the tokens, every occurrence counted."""
+
+    def hits(words: Sequence[str]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(list(words))))
+
+    score = F.lit(0)
+    for polarity, words in sorted(words_by_polarity.items()):
+        score = score + F.lit(polarity) * hits(words)
+    return score.cast("long")
+
+
+def _score_in_rows(df, words, key, text, keep):
+    by_polarity: dict[int, list[str]] = {}
+    for row in words:
+        by_polarity.setdefault(row.polarity, []).append(row.word)
+    split = df.select(key, *keep, F.coalesce(word_tokens(F.col(text)), F.array()).alias("_t"))
+    return split.select(key, lexicon_score(F.col("_t"), by_polarity).alias("score"), *keep)
+
+
+def _score_by_join(df, lexicon, key, text, keep):
+    tokens = df.select(key, F.explode(word_tokens(F.col(text))).alias("word"))
+    hits = tokens.join(broadcast_checked(lexicon), "word")
+    scores = hits.groupBy(key).agg(F.sum("polarity").alias("score"))
+    return (
+        df.select(key, *keep)
+        .join(scores, key, "left")
+        .select(key, F.coalesce("score", F.lit(0)).cast("long").alias("score"), *keep)
+    )
+
 
 def document_sentiment(
     df: DataFrame, lexicon: DataFrame, key: str, text: str, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Positive minus negative lexicon hits per text; no hit gives 0.
+    """(key, score, kept columns): positive minus negative hits per text, 0 for none.
 
-    The text stays where it was read. Tokens meet the lexicon in a broadcast join when it is
-    checked small, and partial sums shrink each text to one row before the shuffle.
+    A lexicon of opinion words is small. Once a bounded read shows that it is, its words become
+    a hash set inside the expression and every text is scored where it was read: no token rows,
+    no join, no shuffle. A lexicon beyond the bound is joined to the exploded tokens instead.
     """
-    tokens = df.select(key, *keep, F.explode_outer(word_tokens(F.col(text))).alias("word"))
-    hits = tokens.join(broadcast_checked(lexicon.select("word", "polarity")), "word", "left")
-    return hits.groupBy(key).agg(
-        F.coalesce(F.sum("polarity"), F.lit(0)).cast("long").alias("score"),
-        *[F.first(c).alias(c) for c in keep],
-    )
+    lexicon = lexicon.select("word", "polarity")
+    words = lexicon.filter(F.col("polarity") != 0).limit(IN_ROW_WORDS + 1).collect()
+    if len(words) <= IN_ROW_WORDS and len({w.polarity for w in words}) <= 10:
+        return _score_in_rows(df, words, key, text, keep)
+    return _score_by_join(df, lexicon, key, text, keep)
 
 
 def genre_sentiment(scored: DataFrame, genres: str = "genres", plain_mean: bool = False) -> DataFrame:

@@ -135,19 +135,25 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """
     value = F.col(column)
     present = df.select(value.cast("double").alias("v")).filter(value.isNotNull() & ~F.isnan(value))
-    span = present.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("span")).scalar()
-    flat = span["lo"] == span["hi"]
-    low = F.when(flat, span["lo"] - 0.5).otherwise(span["lo"])
-    high = F.when(flat, span["hi"] + 0.5).otherwise(span["hi"])
-    bucket = F.least(F.expr("width_bucket(v, lo, hi, nb)"), F.col("nb"))
+    lo, hi = F.min("v"), F.max("v")
+    span = present.agg(
+        F.struct(
+            F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"),
+            F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"),
+            F.lit(bins).cast("long").alias("bins"),
+        ).alias("s")
+    ).scalar()
+    bucket = F.least(F.expr("width_bucket(v, s.lo, s.hi, s.bins)"), F.col("s.bins"))
     counts = (
-        present.select("v", low.alias("lo"), high.alias("hi"), F.lit(bins).cast("long").alias("nb"))
+        present.select("v", span.alias("s"))
         .select(bucket.cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    edges = df.sparkSession.range(1, bins + 1, numPartitions=1).select(
-        F.col("id").cast("int").alias("bin"), low.alias("lo"), ((high - low) / bins).alias("w")
+    edges = (
+        df.sparkSession.range(1, bins + 1, numPartitions=1)
+        .select(F.col("id").cast("int").alias("bin"), span.alias("s"))
+        .select("bin", F.col("s.lo").alias("lo"), ((F.col("s.hi") - F.col("s.lo")) / bins).alias("w"))
     )
     return edges.join(counts, "bin", "left").select(
         "bin",

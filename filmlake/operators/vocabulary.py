@@ -17,7 +17,7 @@ def multi_hot(df: DataFrame, key: str, column: str) -> DataFrame:
     Absent pairs of the dense matrix are simply absent rows.
     """
     entries = df.select(key, F.posexplode(column).alias("pos", "term"))
-    vocabulary = first_seen(entries, "term", [key, "pos"])
+    vocabulary = first_seen(entries, "term", key)
     cells = df.select(key, F.explode(F.array_distinct(column)).alias("term"))
     return cells.join(broadcast_checked(vocabulary), "term").select(key, "term", "idx")
 

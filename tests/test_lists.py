@@ -80,10 +80,14 @@ def test_mean_is_half_even(spark):
     assert genre_sentiment(eighth).first().mean_score == 0.12
 
 
-def test_document_sentiment(spark, rows):
-    docs = spark.createDataFrame([(1, "Good, good; BAD day"), (2, "nothing"), (3, "")], "k long, t string")
+@pytest.mark.parametrize("in_row", [True, False])
+def test_document_sentiment(spark, rows, monkeypatch, in_row):
+    import filmlake.operators.sentiment as sentiment
+
+    monkeypatch.setattr(sentiment, "IN_ROW_WORDS", 100 if in_row else 1)
+    docs = spark.createDataFrame([(1, "Good, good; BAD day"), (2, "nothing"), (3, ""), (4, None)], "k long, t string")
     lexicon = spark.createDataFrame([("good", 1), ("bad", -1), ("well-made", 1)], "word string, polarity int")
-    assert rows(document_sentiment(docs, lexicon, "k", "t")) == [(1, 1), (2, 0), (3, 0)]
+    assert rows(document_sentiment(docs, lexicon, "k", "t")) == [(1, 1), (2, 0), (3, 0), (4, 0)]
 
 
 @pytest.mark.parametrize("partitions", [1, 7])
@@ -126,6 +130,11 @@ def test_keep_genres(spark, rows, monkeypatch, small):
     assert rows(kept) == [(1, ["a"]), (2, ["a", "c"]), (3, ["a"]), (4, ["c", "c"])]
 
 
+def test_first_seen_with_text_keys(spark, rows):
+    df = film_lists(spark).withColumn("film", F.concat(F.lit("f"), F.col("film").cast("string")))
+    assert rows(g.genre_vocabulary(df, 1)) == [("a", 3, 1), ("b", 2, 0), ("c", 3, 2)]
+
+
 def test_predict_rows(spark, rows):
     df = film_lists(spark)
     got = rows(g.predict_rows(df, g.genre_vocabulary(df, 1)))
