@@ -139,13 +139,12 @@ QUALIFY row_number() OVER (PARTITION BY film_key ORDER BY round(score, 7) DESC,
 
 def linear_svm(spark, sf_dir):
     train, test = _standard(spark, sf_dir)
-    svm = m.linear_svm(train.count(), max_iter=5)
-    wide = train.withColumn("label", F.floor(F.col("label") / 10).cast("int") * 10)
-    out = m.fit_predict(_vectors(wide), _vectors(test), svm, "label")
-    return out.select("film_key", "label", F.col("predicted").cast("int").alias("predicted"))
+    planes = m.fit_linear_svm(_vectors(train), "label", max_iter=10)
+    out = m.predict_linear_svm(_vectors(test), planes)
+    return out.select("film_key", "label", "predicted")
 
 
-def _success(spark, sf_dir, target):
+def _success(spark, sf_dir, target, rare):
     """Films with the leading people and genres, rare ones removed, and a numeric target."""
     chain = film_chain(spark, sf_dir)
     if target == "profit":
@@ -162,11 +161,14 @@ def _success(spark, sf_dir, target):
         ),
         "success",
     )
-    return remove_rare(films, "film_key", ["cast_member", "director"], 1)
+    return remove_rare(films, "film_key", rare, 1)
 
 
-def _success_model(spark, sf_dir, target, estimator, buckets, columns=SUCCESS_LISTS):
-    films = materialize(_success(spark, sf_dir, target), "success-kept")
+def _success_model(
+    spark, sf_dir, target, estimator, buckets, columns=SUCCESS_LISTS,
+    rare=("cast_member", "director"),
+):
+    films = materialize(_success(spark, sf_dir, target, rare), "success-kept")
     films = m.bucket_label(films, target, buckets).withColumn(
         "train", m.in_train(F.col("film_key"))
     )
@@ -189,6 +191,27 @@ def mlp_social(spark, sf_dir):
     return tolerance_accuracy(out, "truth", "predicted", 0.25)
 
 
+def mlp_commercial(spark, sf_dir):
+    """Profit in money of the base year, scored within 888,888."""
+    out = _success_model(spark, sf_dir, "profit", m.perceptron((20,), 20), 8)
+    return tolerance_accuracy(out, "truth", "predicted", 888_888)
+
+
+def mlp_general(spark, sf_dir):
+    """Awards points from people and genres of the leading list items, without the company."""
+    out = _success_model(
+        spark, sf_dir, "weighted_points", m.perceptron((25, 15, 5), 20), 8, SUCCESS_LISTS[:3],
+        ["cast_member", "genre", "director"],
+    )
+    return tolerance_accuracy(out, "truth", "predicted", 4)
+
+
+def forest_social_people(spark, sf_dir):
+    """The audience forest without the company block, as an ablation."""
+    out = _success_model(spark, sf_dir, "audience_average", m.forest(200, 10, 10), 8, SUCCESS_LISTS[:3])
+    return tolerance_accuracy(out, "truth", "predicted", 0.25)
+
+
 def forest_social(spark, sf_dir):
     return _success_model(spark, sf_dir, "audience_average", m.forest(200, 10, 10), 8)
 
@@ -282,7 +305,10 @@ QUERIES = {
     "linear_svm": (linear_svm, None),
     "mlp_professional": (mlp_professional, None),
     "mlp_social": (mlp_social, None),
+    "mlp_commercial": (mlp_commercial, None),
+    "mlp_general": (mlp_general, None),
     "forest_social": (forest_social, None),
+    "forest_social_people": (forest_social_people, None),
     "forest_commercial": (forest_commercial, None),
     "tree_commercial": (tree_commercial, None),
     "tree_social": (tree_social, None),
