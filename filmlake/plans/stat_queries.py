@@ -84,9 +84,18 @@ def linfit_table(spark, sf_dir):
 LINFIT_SQL = with_ctes(MONEY_CTE, _sql_fit(PAIRS, "money"), select=_FIT_SELECT)
 
 
+def _narrow_money(spark, sf_dir, *columns):
+    """The few columns a fit and its residuals read, written once so that the joins below run once."""
+    return materialize(real_money(spark, sf_dir).select("film_key", *columns), "money")
+
+
+def _residuals(spark, sf_dir):
+    narrow = _narrow_money(spark, sf_dir, "critic_percent", "audience_percent")
+    return with_line(narrow, "critic_percent", "audience_percent")
+
+
 def linfit_residuals(spark, sf_dir):
-    fitted = with_line(real_money(spark, sf_dir), "critic_percent", "audience_percent")
-    return fitted.select(
+    return _residuals(spark, sf_dir).select(
         "film_key", F.round("prediction", 6).alias("prediction"), F.round("residual", 6).alias("residual")
     )
 
@@ -136,14 +145,10 @@ CORR_COMPLETE_SQL = _sql_corr(
 )
 
 
-def _residuals(spark, sf_dir):
-    return with_line(real_money(spark, sf_dir), "critic_percent", "audience_percent")
-
-
 def residual_histogram(spark, sf_dir):
     """Histogram of the review residual, rounded so that no value sits on a bin edge by noise."""
-    rounded = _residuals(spark, sf_dir).select(F.round("residual", 6).alias("residual"))
-    return histogram(materialize(rounded, "residuals"), "residual").select(
+    rounded = _residuals(spark, sf_dir).withColumn("residual", F.round("residual", 6))
+    return histogram(rounded, "residual").select(
         "bin", F.round("bin_from", 4).alias("bin_from"), F.round("bin_to", 4).alias("bin_to"), "n"
     )
 
@@ -249,7 +254,7 @@ YEAR_EPOCHS_SQL = with_ctes(YEAR_CTE, select="SELECT film_key, year, timestamp F
 
 def trend_outlier_cut(spark, sf_dir):
     """Year trend of the profit rate fitted on all films, applied to those below the cut."""
-    money = real_money(spark, sf_dir)
+    money = _narrow_money(spark, sf_dir, "year", "profit_rate")
     kept = money.filter(F.col("profit_rate") < 500)
     return with_line(kept, "year", "profit_rate", fit_on=money).select(
         "film_key", "year", F.round("prediction", 6).alias("prediction")
@@ -270,7 +275,7 @@ line AS (
 
 def _ols(spark, sf_dir):
     """Line of critic on audience average fitted on the training films, applied to the others."""
-    rated = real_money(spark, sf_dir)
+    rated = _narrow_money(spark, sf_dir, "audience_average", "critic_average")
     train, test = in_train(F.col("film_key")), ~in_train(F.col("film_key"))
     return with_line(
         rated.filter(test), "audience_average", "critic_average", fit_on=rated.filter(train)

@@ -118,8 +118,7 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw dump: an opening bracket line, then one JSON object and a comma per line."""
     line = F.expr(ENTITY_LINE)
     lines = F.when(F.col("o_orderkey") == 0, F.array(F.lit("["), line)).otherwise(F.array(line))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    return spread_small(orders).select(F.explode(lines).alias("value"))
+    return spread_small(table(spark, sf_dir, "orders")).select(F.explode(lines).alias("value"))
 
 
 def parsed_dump(spark: SparkSession, sf_dir: str, claims=tuple(CLAIM_NAMES.values())) -> DataFrame:
@@ -268,10 +267,11 @@ _AWARDS = (
 _GENRE_TEXT = "lang || ', ' || source || coalesce(', q' || quality, '')"
 
 
-def plots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def plots(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """(film, imdb_id, plot, awards, genre_text, genres): one row per document."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    docs = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    docs = table(spark, sf_dir, "documents")
+    docs = (spread_small(docs) if spread else docs).join(labels, "doc_id", "left")
     return docs.select(
         F.col("doc_id").alias("film"),
         F.expr("'tt' || doc_id").alias("imdb_id"),
@@ -283,7 +283,7 @@ def plots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(film, plot, genres), spread over all cores for work on the texts."""
-    return spread_small(plots(spark, sf_dir).select("film", "plot", "genres"))
+    return plots(spark, sf_dir, spread=True).select("film", "plot", "genres")
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,14 +66,15 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(scan: DataFrame) -> DataFrame:
     """Spread a scan of fewer splits than cores over all cores, for work heavy in CPU per byte.
 
     Splits are cut by bytes, so a small file of long texts or documents is one task. A scan with
-    at least one split per core, as any large input has, is returned as it is.
+    at least one split per core, as any large input has, is returned as it is. Pass the bare
+    scan: asking a plan with shuffles for its partitions would already run them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
