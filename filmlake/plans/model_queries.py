@@ -294,9 +294,29 @@ def polynomial_r2(spark, sf_dir):
     rated = _rated(spark, sf_dir)
     model = m.polynomial_fit(rated.filter("train"), "audience_percent", "critic_percent", 2)
     out = model.transform(rated.filter(~F.col("train")))
-    return out.select("film_key", "critic_percent", F.round("fitted", 6).alias("fitted"))
+    return out.select("film_key", "critic_percent", F.round("fitted", 4).alias("fitted"))
 
 
+POLYNOMIAL_SQL = with_ctes(
+    FILMS_CTE,
+    """
+pts AS (
+  SELECT film_key, audience_percent AS x, audience_percent * audience_percent AS x2,
+    critic_percent AS y, substr(md5(CAST(film_key AS VARCHAR)), 1, 8) < 'c0000000' AS train
+  FROM ratings WHERE audience_ratings >= 40 AND critic_average IS NOT NULL AND critic_percent IS NOT NULL
+),
+s AS (
+  SELECT var_pop(x) AS a, var_pop(x2) AS b, covar_pop(x, x2) AS c, covar_pop(x, y) AS p,
+    covar_pop(x2, y) AS q, avg(x) AS mx, avg(x2) AS mx2, avg(y) AS my FROM pts WHERE train
+),
+beta AS (
+  SELECT *, (b * p - c * q) / (a * b - c * c) AS b1, (a * q - c * p) / (a * b - c * c) AS b2 FROM s
+)""",
+    select="""
+SELECT film_key, y AS critic_percent, round(my + b1 * (x - mx) + b2 * (x2 - mx2), 4) AS fitted
+FROM pts, beta WHERE NOT train""",
+)
+
 QUERIES = {
     "standardised": (standardised, STANDARD_SQL),
     "knn_neighbours": (knn_neighbours, KNN_SQL),
@@ -317,5 +337,5 @@ QUERIES = {
     "multilabel_f1_stems": (multilabel_f1_stems, None),
     "multilabel_f1_counts": (multilabel_f1_counts, None),
     "selected_bayes": (selected_bayes, None),
-    "polynomial_fit": (polynomial_r2, None),
+    "polynomial_fit": (polynomial_r2, POLYNOMIAL_SQL),
 }
