@@ -9,7 +9,7 @@ from ..functions.text import clean_text
 from ..operators.bayes import fit_multinomial, predict_multinomial
 from ..operators.genres import predict_rows
 from ..operators.metrics import exact_accuracy, sibling_accuracy
-from ..operators.models import in_train
+from ..operators.models import class_values, in_train
 from ..operators.tfidf import (
     anova_f,
     class_sums,
@@ -208,7 +208,7 @@ ANOVA_SQL = with_ctes(SELECT_CTE, select="SELECT term, round(f, 4) AS f FROM cho
 def bayes_predictions(spark, sf_dir):
     """(all samples, test films with the predicted genre number)."""
     kept, vocabulary, rows, terms, sums, chosen = _selection(spark, sf_dir)
-    classes = sorted(r.idx for r in vocabulary.select("idx").collect())
+    classes = class_values(vocabulary, "idx")
     model = fit_multinomial(sums, materialize(chosen, "chosen"), classes)
     test = kept.filter(~F.col("train"))
     weights = weighted_terms(test, terms, "film", "plot", STOP_WORDS)
