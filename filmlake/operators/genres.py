@@ -69,7 +69,7 @@ def keep_genres(
     return df.drop(genres).join(lists, key)
 
 
-def _first_place(rows: DataFrame, key: str, pos: str) -> Column:
+def first_place(rows: DataFrame, key: str, pos: str) -> Column:
     """Smallest (key, pos). A whole-number key is packed with the position into one number, which
     a hash aggregate can hold; a struct would sort every occurrence before the partial step."""
     if isinstance(rows.schema[key].dataType, T.IntegralType):
@@ -86,7 +86,7 @@ def first_seen(
     ``rows`` holds one row per occurrence, read in the order of ``key`` and ``pos``. The first
     place of each value is a partial aggregation; only the vocabulary is sorted.
     """
-    first = rows.groupBy(value).agg(_first_place(rows, key, pos).alias("_first"))
+    first = rows.groupBy(value).agg(first_place(rows, key, pos).alias("_first"))
     return number_rows(first, ["_first"], index).select(value, index)
 
 
@@ -101,7 +101,7 @@ def genre_vocabulary(
     rows = genre_rows(df, key, genres)
     counted = (
         rows.groupBy("genre")
-        .agg(F.count(F.lit(1)).alias("n"), _first_place(rows, key, "pos").alias("_first"))
+        .agg(F.count(F.lit(1)).alias("n"), first_place(rows, key, "pos").alias("_first"))
         .filter(F.col("n") >= least)
     )
     return number_rows(counted, ["_first"], "idx").select("genre", "n", "idx")

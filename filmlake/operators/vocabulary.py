@@ -4,40 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_checked, materialize
-from .genres import first_seen
+from ..session import broadcast_checked
+from .genres import first_place
+from .numbering import number_rows
 
 
-def multi_hot(df: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, term, idx) for each distinct element of each list; idx in first-seen order.
+def _entries(columns: Sequence[str], distinct: bool) -> Column:
+    """All list entries of a row as (block number, block, pos, term)."""
 
-    Absent pairs of the dense matrix are simply absent rows.
-    """
-    entries = df.select(key, F.posexplode(column).alias("pos", "term"))
-    vocabulary = first_seen(entries, "term", key)
-    cells = df.select(key, F.explode(F.array_distinct(column)).alias("term"))
-    return cells.join(broadcast_checked(vocabulary), "term").select(key, "term", "idx")
+    def block(number: int, name: str) -> Column:
+        items = F.array_distinct(name) if distinct else F.col(name)
+        cells = F.transform(
+            items,
+            lambda term, pos: F.struct(
+                F.lit(number).alias("number"), F.lit(name).alias("block"), pos.alias("pos"),
+                term.cast("string").alias("term"),
+            ),
+        )
+        return F.coalesce(cells, F.array())
+
+    return F.concat(*[block(i, c) for i, c in enumerate(columns)])
 
 
 def concat_features(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """The blocks of several list columns side by side: (key, block, term, feature).
+    """Multi-hot blocks of several list columns side by side: (key, block, term, feature)
+    (M01, M05, J07).
 
-    A block starts where the vocabularies before it end. Inputs are left as they are, so
-    leaving a block out is a call with fewer columns.
+    Features are numbered block by block, within a block in first-seen order. One scan finds the
+    first place of every (block, term), one sort of that vocabulary numbers them all. Absent
+    pairs of the dense matrix are absent rows, and leaving a block out is a call with fewer
+    columns.
     """
-    start, out = 0, None
-    for column in columns:
-        cells = materialize(multi_hot(df, key, column), "cells")
-        block = cells.select(
-            key,
-            F.lit(column).alias("block"),
-            "term",
-            (F.col("idx") + F.lit(start)).cast("long").alias("feature"),
-        )
-        last = cells.agg(F.max("idx")).first()[0]
-        start += 0 if last is None else last + 1
-        out = block if out is None else out.unionByName(block)
-    return out
+    rows = df.select(key, F.inline(_entries(columns, distinct=False)))
+    first = rows.groupBy("number", "block", "term").agg(first_place(rows, key, "pos").alias("_first"))
+    vocabulary = number_rows(first, ["number", "_first"], "feature").select("block", "term", "feature")
+    cells = df.select(key, F.inline(_entries(columns, distinct=True))).select(key, "block", "term")
+    return cells.join(broadcast_checked(vocabulary), ["block", "term"]).select(
+        key, "block", "term", "feature"
+    )
+
+
+def multi_hot(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, term, idx) for each distinct element of each list; idx in first-seen order."""
+    cells = concat_features(df, key, [column])
+    return cells.select(key, "term", F.col("feature").alias("idx"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.lists import as_list, first_n
 from ..functions.text import fingerprint
 from ..operators.genres import (
+    first_seen,
     frequent_genres,
     genre_counts,
     genre_list,
@@ -105,6 +106,12 @@ def genre_index(spark, sf_dir):
     return vocabulary.select("genre", F.col("idx").cast("int").alias("idx"))
 
 
+def genre_first_seen(spark, sf_dir):
+    """Every distinct genre, numbered by first appearance."""
+    index = first_seen(genre_rows(_genre_films(spark, sf_dir)), "genre", "film")
+    return index.select("genre", F.col("idx").cast("int").alias("idx"))
+
+
 def genre_explode(spark, sf_dir):
     kept, vocabulary = kept_films(spark, sf_dir)
     return predict_rows(kept, vocabulary)
@@ -136,6 +143,10 @@ GENRE_TEXT_SQL = with_ctes(
     KEPT_CTE,
     select="SELECT genre, count(*) AS n_plots, CAST(sum(length(plot)) AS BIGINT) AS n_letters FROM entries GROUP BY genre",
 )
+GENRE_FIRST_SQL = with_ctes(
+    KEPT_CTE,
+    select="SELECT genre, CAST(row_number() OVER (ORDER BY first) - 1 AS INTEGER) AS idx FROM counts",
+)
 GENRE_INDEX_SQL = with_ctes(KEPT_CTE, select="SELECT genre, idx FROM kept_genres")
 GENRE_EXPLODE_SQL = with_ctes(KEPT_CTE, select="SELECT row_idx, film, genres_number FROM predict")
 
@@ -388,6 +399,7 @@ QUERIES = {
     "genre_share": (genre_share, GENRE_SHARE_SQL),
     "genre_filter": (genre_filter, GENRE_FILTER_SQL),
     "genre_plots": (genre_text_totals, GENRE_TEXT_SQL),
+    "genre_first_seen": (genre_first_seen, GENRE_FIRST_SQL),
     "genre_index": (genre_index, GENRE_INDEX_SQL),
     "genre_explode": (genre_explode, GENRE_EXPLODE_SQL),
     "genre_matrix": (genre_matrix, MATRIX_SQL),

@@ -110,9 +110,12 @@ terms AS (
 WORD_VECTORS_SQL = with_ctes(CLEAN_CTE, TERMS_CTE, select="SELECT film, term, tf FROM terms")
 
 
-def labelled_films(spark, sf_dir):
-    """Kept films with cleaned plot, sample weight and side of the split; and their genres."""
-    kept, vocabulary = kept_films(spark, sf_dir, clean_text(F.col("plot")).alias("plot"))
+def labelled_films(spark, sf_dir, stem=False):
+    """Kept films with cleaned or stemmed plot, sample weight and side of the split; and their
+    genres. Stop words are dropped later, so with ``stem`` they are dropped as stems."""
+    cleaned = clean_text(F.col("plot"))
+    plot = stem_text(cleaned) if stem else cleaned
+    kept, vocabulary = kept_films(spark, sf_dir, plot.alias("plot"))
     kept = kept.withColumn("train", in_train(F.col("film")))
     return kept.withColumn("mult", F.size("genres").cast("long")), vocabulary
 
@@ -161,14 +164,12 @@ TFIDF_SQL = with_ctes(
 )
 
 
-def _selection(spark, sf_dir):
+def _selection(spark, sf_dir, stem=False):
     """Samples per (film, genre), class sums of the training weights, and the chosen terms."""
-    kept, vocabulary = labelled_films(spark, sf_dir)
+    kept, vocabulary = labelled_films(spark, sf_dir, stem)
     train = kept.filter("train")
     terms = fit_vocabulary(train, "plot", STOP_WORDS, 0.4)
-    rows = materialize(
-        predict_rows(kept.select("film", "genres", "train"), vocabulary, keep=("train",)), "samples"
-    )
+    rows = predict_rows(kept.select("film", "genres", "train"), vocabulary, keep=("train",))
     samples = rows.filter("train").select("film", F.col("genres_number").alias("class"))
     weights = weighted_terms(train, terms, "film", "plot", STOP_WORDS)
     sums = materialize(class_sums(weights, samples, "film"), "class-sums")
@@ -205,9 +206,9 @@ chosen AS (
 ANOVA_SQL = with_ctes(SELECT_CTE, select="SELECT term, round(f, 4) AS f FROM chosen")
 
 
-def bayes_predictions(spark, sf_dir):
+def bayes_predictions(spark, sf_dir, stem=False):
     """(all samples, test films with the predicted genre number)."""
-    kept, vocabulary, rows, terms, sums, chosen = _selection(spark, sf_dir)
+    kept, vocabulary, rows, terms, sums, chosen = _selection(spark, sf_dir, stem)
     classes = class_values(vocabulary, "idx")
     model = fit_multinomial(sums, materialize(chosen, "chosen"), classes)
     test = kept.filter(~F.col("train"))
@@ -241,9 +242,9 @@ nb AS (
 NB_SQL = with_ctes(BAYES_CTE, select="SELECT film, prediction FROM nb")
 
 
-def nb_accuracy(spark, sf_dir):
+def nb_accuracy(spark, sf_dir, stem=False):
     """Plain accuracy over the test samples, and accuracy against any genre of the film."""
-    rows, predicted = bayes_predictions(spark, sf_dir)
+    rows, predicted = bayes_predictions(spark, sf_dir, stem)
     tested = materialize(rows.filter(~F.col("train")).join(predicted, "film"), "tested")
     plain = exact_accuracy(tested, "genres_number", "prediction").select(
         F.lit("exact").alias("score"), "n", F.round("accuracy", 6).alias("accuracy")
@@ -264,6 +265,10 @@ SELECT 'sibling', count(*), round(avg(CASE WHEN EXISTS (SELECT 1 FROM samples s
   AND s.class = t.prediction) THEN 1.0::DOUBLE ELSE 0 END), 6) FROM tested t""",
 )
 
+def nb_accuracy_stems(spark, sf_dir):
+    return nb_accuracy(spark, sf_dir, stem=True)
+
+
 QUERIES = {
     "clean_text": (cleaned_text, CLEAN_SQL),
     "word_freq_top32": (word_freq_top32, WORD_FREQ_SQL),
@@ -278,4 +283,5 @@ QUERIES = {
     "anova_select": (anova_select, ANOVA_SQL),
     "nb_multinomial": (nb_multinomial, NB_SQL),
     "nb_accuracy": (nb_accuracy, NB_ACCURACY_SQL),
+    "nb_accuracy_stems": (nb_accuracy_stems, None),
 }

@@ -51,9 +51,9 @@ def test_term_weights_shuffle_texts_once(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_first_places_are_hash_aggregated(spark):
+def testfirst_places_are_hash_aggregated(spark):
     rows = spark.range(10).select(F.col("id").alias("film"), F.lit(0).alias("pos"), F.lit("x").alias("term"))
-    text = plan(rows.groupBy("term").agg(g._first_place(rows, "film", "pos")))
+    text = plan(rows.groupBy("term").agg(g.first_place(rows, "film", "pos")))
     assert "HashAggregate" in text and "SortAggregate" not in text
 
 
