@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Yearly inflation of the dollar, and the year money is expressed in.
-INFLATION_RATE = 0.0297
+# Yearly growth of prices in dollars, and the year money is expressed in.
+YEARLY_GROWTH = 1.0297
 BASE_YEAR = 2019
 
 
@@ -20,9 +20,11 @@ def made_profit(nbox: Column, ncost: Column) -> Column:
     return profit(nbox, ncost) > 0
 
 
-def money_value(year: Column, rate: float = INFLATION_RATE, base_year: int = BASE_YEAR) -> Column:
+def money_value(
+    year: Column, growth: float = YEARLY_GROWTH, base_year: int = BASE_YEAR
+) -> Column:
     """What one unit of money of ``year`` is worth in ``base_year``."""
-    return F.pow(F.lit(1.0 + rate), F.lit(base_year) - year)
+    return F.pow(F.lit(growth), F.lit(base_year) - year)
 
 
 def profit_rate(real_profit: Column, real_cost: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_checked
+from ..session import broadcast_checked, small_rows
 from .numbering import number_rows
 
 
@@ -42,25 +42,18 @@ def keep_genres(
 ) -> DataFrame:
     """Keep the allowed genres of each list in order; drop films left with none.
 
-    The allowed genres are reduced to one array value read by a scalar subquery, so every list
-    is filtered in place and no film row moves. That needs the set to be small, as a genre
-    vocabulary is; a set beyond the broadcast bound goes through a semi join instead.
-    ``allowed`` is read twice, so pass a written table such as :func:`genre_vocabulary`.
+    A genre vocabulary is small: behind a bounded read its names become a hash set inside the
+    expression, every list is filtered in place and no film row moves. A set beyond the bound
+    goes through a semi join. ``allowed`` may be read twice, so pass a written table such as
+    :func:`genre_vocabulary`.
     """
     names = allowed.select("genre")
-    hinted = broadcast_checked(names)
-    if hinted is not names:
-        kept = names.agg(F.collect_set("genre")).scalar()
-        return (
-            df.withColumn("_allowed", kept)
-            .withColumn(
-                genres,
-                F.filter(genres, lambda g: F.array_contains(F.col("_allowed"), g)),
-            )
-            .drop("_allowed")
-            .filter(F.size(genres) > 0)
-        )
-    entries = genre_rows(df, key, genres).join(names, "genre", "left_semi")
+    known = small_rows(names)
+    if known is not None:
+        listed = [r.genre for r in known]
+        kept = F.filter(genres, lambda g: g.isin(listed) if listed else F.lit(False))
+        return df.withColumn(genres, kept).filter(F.size(genres) > 0)
+    entries = genre_rows(df, key, genres).join(broadcast_checked(names), "genre", "left_semi")
     lists = entries.groupBy(key).agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("pos", "genre"))), lambda s: s["genre"]

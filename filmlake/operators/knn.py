@@ -233,7 +233,10 @@ def _search(
 def nearest_neighbours(
     test: DataFrame, train: DataFrame, key: str, label: str, features: Sequence[str], k: int = 10
 ) -> DataFrame:
-    """(key, rank, neighbour, d2, label): the k nearest training rows, ties by key."""
+    """(key, rank, neighbour, d2, label): the k nearest training rows, ties by key.
+
+    ``key`` is a whole number. Distances are compared after rounding to 9 places.
+    """
     asked, found = _search(test, train, key, label, features, k)
     back = test.select(key, _point(features).alias("point")).join(asked, "point")
     return back.join(found, "qid").select(

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import word_tokens
-from ..session import broadcast_checked
-
-IN_ROW_WORDS = 50_000
+from ..session import broadcast_checked, small_rows
 
 
 def lexicon_score(tokens: Column, words_by_polarity: Mapping[int, Sequence[str]]) -> Column:
@@ -52,10 +50,11 @@ def document_sentiment(
     A lexicon of opinion words is small. Once a bounded read shows that it is, its words become
     a hash set inside the expression and every text is scored where it was read: no token rows,
     no join, no shuffle. A lexicon beyond the bound is joined to the exploded tokens instead.
+    ``lexicon`` holds each word once.
     """
     lexicon = lexicon.select("word", "polarity")
-    words = lexicon.filter(F.col("polarity") != 0).limit(IN_ROW_WORDS + 1).collect()
-    if len(words) <= IN_ROW_WORDS and len({w.polarity for w in words}) <= 10:
+    words = small_rows(lexicon.filter(F.col("polarity") != 0))
+    if words is not None and len({w.polarity for w in words}) <= 10:
         return _score_in_rows(df, words, key, text, keep)
     return _score_by_join(df, lexicon, key, text, keep)
 

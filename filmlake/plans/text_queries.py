@@ -117,7 +117,9 @@ def labelled_films(spark, sf_dir, stem=False):
     plot = stem_text(cleaned) if stem else cleaned
     kept, vocabulary = kept_films(spark, sf_dir, plot.alias("plot"))
     kept = kept.withColumn("train", in_train(F.col("film")))
-    return kept.withColumn("mult", F.size("genres").cast("long")), vocabulary
+    kept = kept.withColumn("mult", F.size("genres").cast("long"))
+    # the fit and the transform both read the plots, so they are stemmed once
+    return materialize(kept, "stemmed") if stem else kept, vocabulary
 
 
 def _terms(spark, sf_dir):

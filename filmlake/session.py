@@ -9,8 +9,10 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Side tables are broadcast only after a count has shown that they fit.
+# Side tables are broadcast only after a count has shown that they fit, and become constants of
+# an expression only if they are smaller still.
 BROADCAST_MAX_ROWS = 500_000
+CONSTANT_MAX_ROWS = 50_000
 
 
 def build_session(app: str = "filmlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -83,3 +85,13 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     The count stops at ``max_rows + 1``. Pass a scan or a materialised table, not a heavy plan.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def small_rows(df: DataFrame, max_rows: int | None = None) -> list | None:
+    """Rows of a small table, for use as constants of an expression; None if it is not small.
+
+    The read stops at one row beyond the bound. Pass a scan or a materialised table.
+    """
+    bound = CONSTANT_MAX_ROWS if max_rows is None else max_rows
+    rows = df.limit(bound + 1).collect()
+    return rows if len(rows) <= bound else None

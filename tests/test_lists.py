@@ -82,9 +82,7 @@ def test_mean_is_half_even(spark):
 
 @pytest.mark.parametrize("in_row", [True, False])
 def test_document_sentiment(spark, rows, monkeypatch, in_row):
-    import filmlake.operators.sentiment as sentiment
-
-    monkeypatch.setattr(sentiment, "IN_ROW_WORDS", 100 if in_row else 1)
+    monkeypatch.setattr("filmlake.session.CONSTANT_MAX_ROWS", 100 if in_row else 1)
     docs = spark.createDataFrame([(1, "Good, good; BAD day"), (2, "nothing"), (3, ""), (4, None)], "k long, t string")
     lexicon = spark.createDataFrame([("good", 1), ("bad", -1), ("well-made", 1)], "word string, polarity int")
     assert rows(document_sentiment(docs, lexicon, "k", "t")) == [(1, 1), (2, 0), (3, 0), (4, 0)]
@@ -124,7 +122,7 @@ def test_genre_vocabulary_and_shares(spark, rows):
 @pytest.mark.parametrize("small", [True, False])
 def test_keep_genres(spark, rows, monkeypatch, small):
     if not small:
-        monkeypatch.setattr(g, "broadcast_checked", lambda df: df)
+        monkeypatch.setattr("filmlake.session.CONSTANT_MAX_ROWS", 1)
     df = film_lists(spark)
     kept = g.keep_genres(df, g.frequent_genres(df, 3)).select("film", "genres")
     assert rows(kept) == [(1, ["a"]), (2, ["a", "c"]), (3, ["a"]), (4, ["c", "c"])]
@@ -135,6 +133,11 @@ def test_first_seen_with_text_keys(spark, rows):
     assert rows(g.genre_vocabulary(df, 1)) == [("a", 3, 1), ("b", 2, 0), ("c", 3, 2)]
 
 
+def test_keep_no_genre(spark):
+    df = film_lists(spark)
+    assert g.keep_genres(df, g.frequent_genres(df, 100)).count() == 0
+
+
 def test_predict_rows(spark, rows):
     df = film_lists(spark)
     got = rows(g.predict_rows(df, g.genre_vocabulary(df, 1)))
