@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_checked, materialize
+from ..session import broadcast_checked, materialize, small_rows
 
 
 def element_counts(df: DataFrame, column: str, per_row: bool = False) -> DataFrame:
@@ -19,12 +19,17 @@ def element_counts(df: DataFrame, column: str, per_row: bool = False) -> DataFra
 
 
 def _keep_common(df: DataFrame, key: str, column: str, least: int, per_row: bool, drop_empty: bool):
-    common = materialize(
-        element_counts(df, column, per_row).filter(F.col("n") > least).select("elem"), "common"
-    )
+    counts = element_counts(df, column, per_row)
+    common = materialize(counts.filter(F.col("n") > least).select("elem"), "common")
+    known = small_rows(common)
+    if known is not None:
+        listed = [r.elem for r in known]
+        kept = F.filter(column, lambda e: e.isin(listed) if listed else F.lit(False))
+        filtered = df.withColumn(column, kept)
+        return drop_empty_lists(filtered, column) if drop_empty else filtered
     entries = df.select(key, F.posexplode(column).alias("pos", "elem"))
-    kept = entries.join(broadcast_checked(common), "elem", "left_semi")
-    lists = kept.groupBy(key).agg(
+    matched = entries.join(broadcast_checked(common), "elem", "left_semi")
+    lists = matched.groupBy(key).agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("pos", "elem"))), lambda s: s["elem"]
         ).alias("_kept")
@@ -39,11 +44,11 @@ def _keep_common(df: DataFrame, key: str, column: str, least: int, per_row: bool
 def remove_rare(df: DataFrame, key: str, columns: Sequence[str], least: int = 1) -> DataFrame:
     """Delete list elements seen at most ``least`` times; drop rows left empty.
 
-    Columns go in sequence, and each pass counts on the rows the one before it kept, so the
-    order matters. Counting is a partial aggregation. The common elements are written once and
-    broadcast if checked small; beyond that a semi join shuffles the entries, where AQE splits
-    an element that dominates. Lists come back per row, so a group is never longer than the
-    list it was.
+    ``df`` is read twice, so pass a scan or a written table. Columns go in sequence, and each pass counts on the rows the one before it kept, so the
+    order matters. Counting is a partial aggregation, and the common elements are written once.
+    A small set of them filters every list in place. A larger one meets the exploded entries in
+    a semi join, broadcast if checked small, else shuffled, where AQE splits an element that
+    dominates; lists come back per row, so a group is never longer than the list it was.
     """
     for i, column in enumerate(columns):
         df = _keep_common(df, key, column, least, per_row=False, drop_empty=True)

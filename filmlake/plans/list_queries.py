@@ -264,7 +264,8 @@ def _lists(df, *columns):
 
 
 def rare_removal_cast(spark, sf_dir):
-    return _lists(remove_rare(v.credits(spark, sf_dir), "film_key", ["cast_member"], 31), "cast_member")
+    films = materialize(v.credits(spark, sf_dir).select("film_key", "cast_member"), "credits")
+    return _lists(remove_rare(films, "film_key", ["cast_member"], 31), "cast_member")
 
 
 def rare_removal_chain(spark, sf_dir):

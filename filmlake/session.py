@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Side tables are broadcast only after a count has shown that they fit, and become constants of
 # an expression only if they are smaller still.
 BROADCAST_MAX_ROWS = 500_000
-CONSTANT_MAX_ROWS = 50_000
+CONSTANT_MAX_ROWS = 10_000
 
 
 def build_session(app: str = "filmlake", master: str | None = None, **conf: str) -> SparkSession:

@@ -45,10 +45,14 @@ def test_rare_removal_counts_occurrences_or_rows(spark, rows):
     assert rows(drop_empty_lists(by_rows, "c")) == [(1, ["b"]), (2, ["b"])]
 
 
-def test_rare_removal_without_broadcast(spark, rows, monkeypatch):
+@pytest.mark.parametrize("way", ["in place", "broadcast", "shuffle"])
+def test_rare_removal_ways_agree(spark, rows, monkeypatch, way):
     import filmlake.operators.rare as rare
 
-    monkeypatch.setattr(rare, "broadcast_checked", lambda df: df)
+    if way != "in place":
+        monkeypatch.setattr("filmlake.session.CONSTANT_MAX_ROWS", 1)
+    if way == "shuffle":
+        monkeypatch.setattr(rare, "broadcast_checked", lambda df: df)
     rng = random.Random(5)
     data = [(i, ["hot" if rng.random() < 0.4 else f"e{rng.randrange(300)}" for _ in range(4)]) for i in range(400)]
     counts = {}
@@ -59,7 +63,9 @@ def test_rare_removal_without_broadcast(spark, rows, monkeypatch):
         ((k, [x for x in items if counts[x] > 2]) for k, items in data if any(counts[x] > 2 for x in items)),
         key=lambda t: tuple(str(x) for x in t),
     )
-    assert rows(remove_rare(lists(spark, data, "c"), "k", ["c"], 2)) == expected
+    df = lists(spark, data, "c")
+    assert rows(remove_rare(df, "k", ["c"], 2)) == expected
+    assert remove_rare_by_rows(df, "k", "c", 2).count() == len(data)
 
 
 def test_corrected_genre_mean(spark):
