@@ -312,11 +312,13 @@ plots AS (
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LEXICON.items()), "word string, polarity int")
+    rows = ", ".join(f"('{w}', {p})" for w, p in LEXICON.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(word, polarity)")
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    rows = ", ".join(f"('{w}')" for w in STOP_WORDS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(word)")
 
 
 LEXICON_CTE = "\nlexicon(word, polarity) AS (VALUES " + ", ".join(
