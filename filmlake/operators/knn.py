@@ -172,7 +172,10 @@ def _search(
     if not total:
         raise ValueError("no training rows")
     # the sample only places the box borders; results do not depend on it
-    sample = distinct.select("point").orderBy(F.xxhash64("point")).limit(SPLIT_SAMPLE).collect()
+    some = distinct.select("point")
+    if total > SPLIT_SAMPLE:
+        some = some.sample(SPLIT_SAMPLE / total, seed=1)
+    sample = some.limit(2 * SPLIT_SAMPLE).collect()
     boxes = _Boxes(np.array([r.point for r in sample]), -(-total // BOX_POINTS))
 
     @F.pandas_udf("int")
@@ -197,7 +200,7 @@ def _search(
         )
         load = broadcast_checked(materialize(load, "knn-load"))
         left = queries.join(load, "box").select(
-            "box", F.pmod("qid", F.col("parts")).cast("int").alias("part"), "qid", "point"
+            "box", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int").alias("part"), "qid", "point"
         )
         right = homes.join(load, "box").select(
             "box", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),

@@ -101,6 +101,25 @@ def test_number_rows(spark, partitions):
     assert sorted((r.v, r.row_idx) for r in got) == [(i, i) for i in range(1000)]
 
 
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "film long, genres array<string>")
+    assert number_rows(empty, ["film"]).count() == 0
+    vocabulary = g.genre_vocabulary(empty, 1)
+    assert vocabulary.count() == 0 and g.predict_rows(empty, vocabulary).count() == 0
+    assert multi_hot(empty, "film", "genres").count() == 0
+    assert remove_rare(empty, "film", ["genres"]).count() == 0
+    scored = empty.withColumn("score", F.lit(1).cast("long"))
+    assert genre_sentiment(scored).count() == 0
+
+
+def test_null_lists_count_nothing(spark, rows):
+    df = lists(spark, [(1, None, ["x"]), (2, ["a", "a"], None), (3, ["a"], ["x"])], "c", "d")
+    assert rows(concat_features(df, "k", ["c", "d"])) == [
+        (1, "d", "x", 1), (2, "c", "a", 0), (3, "c", "a", 0), (3, "d", "x", 1),
+    ]
+    assert [r[0] for r in rows(remove_rare(df, "k", ["c"]))] == [2, 3]
+
+
 def test_neighbours_cross_block_borders(spark):
     df = spark.range(50).select(F.col("id").alias("i"), (F.col("id") * 10).alias("v"))
     got = with_neighbours(df, "i", "v", (-2, 1), block=5).collect()

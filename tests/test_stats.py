@@ -10,6 +10,7 @@ from filmlake.operators.stats import (
     histogram,
     line_fits,
     normality,
+    omnibus_test,
     r2_score,
     with_line,
 )
@@ -109,6 +110,13 @@ def test_normality(spark):
     assert normality(df.limit(5), "a").count() == 0
 
 
+def test_normality_against_published_example(spark):
+    # D'Agostino, Belanger and D'Agostino (1990): 62 cholesterol values
+    row = omnibus_test(spark.createDataFrame([(62.0, 1.02, 4.58)], "n double, b1 double, b2 double")).first()
+    assert abs(row.z_skew - 3.14) < 0.01 and abs(row.z_kurt - 2.21) < 0.01
+    assert abs(row.k2 - 14.75) < 0.05
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, float("nan"), None), (2, 1.0, "x")], "a long, b double, c string")
     got = {r.column_name: (r.position, r.data_type, r.non_null, r.n_rows) for r in table_profile(df).collect()}
