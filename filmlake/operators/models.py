@@ -103,7 +103,12 @@ def count_vectors(train: DataFrame, tokens: str, output: str = "features"):
 
 
 def select_features(train: DataFrame, label: str, share: float = 0.2, features: str = "features"):
-    """ANOVA F selection of the best share of vector features."""
+    """ANOVA F selection of the best share of vector features.
+
+    Returns a function that adds ``selected``. F needs two classes; with one, all are kept.
+    """
+    if train.select(label).distinct().limit(2).count() < 2:
+        return lambda df: df.withColumn("selected", F.col(features))
     selector = UnivariateFeatureSelector(
         featuresCol=features, labelCol=label, outputCol="selected", selectionMode="percentile"
     )

@@ -196,7 +196,7 @@ moments AS (
   FROM class_sums JOIN sizes USING (class) GROUP BY term
 ),
 scores AS (
-  SELECT term, CASE WHEN q - b > 1e-12 THEN
+  SELECT term, CASE WHEN q - b > 1e-12 AND k > 1 THEN
     round(((b - s * s / n) / (k - 1)) / ((q - b) / (n - k)), 8) END AS f
   FROM moments, shape
 ),

@@ -213,6 +213,14 @@ def test_bucket_label(spark):
     assert out.filter("abs(label_class - y) > 130").count() == 0
 
 
+def test_feature_selection(vectors):
+    labelled = vectors.withColumn("label", F.col("k") % 3)
+    choose = models.select_features(labelled.withColumn("label", F.col("label").cast("double")), "label", 0.5)
+    assert choose(vectors).first().selected.size == 4
+    single = models.select_features(vectors.withColumn("label", F.lit(1.0)), "label", 0.5)
+    assert single(vectors).first().selected.size == 8
+
+
 def test_multilabel(spark):
     train = spark.createDataFrame(
         [(i, ["a"] if i % 2 else ["a", "b"], ["odd"] if i % 2 else ["even", "x"]) for i in range(60)],
