@@ -37,3 +37,19 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
             begin, size = row + 1, 0
     if begin < batch.num_rows:
         yield batch.slice(begin)
+
+
+def locator() -> Column:
+    """Where a row's content lies: its file and its place in it; for scans of Parquet files."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+
+
+def located(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(locator, doc_id, _text) of each row of a scan of Parquet files."""
+    return docs.select(
+        locator().alias("locator"),
+        F.col(doc_id).alias("doc_id"),
+        F.coalesce(F.col(text), F.lit("")).alias("_text"),
+    )

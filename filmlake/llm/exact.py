@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from filmlake.session import fresh_path, materialize
 
+from .common import locator
+
 # Fixed value: what counts as white space, one run of it being one space.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -23,13 +25,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def locator() -> Column:
-    """Where a row's content lies: its file and its place in it."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
-
-
 def located(docs: DataFrame, doc_id: str, text: str, digest=sha256, *more: Column) -> DataFrame:
     """(doc_id, digest, locator) of each row of a scan of Parquet files, and more columns."""
     return docs.select(

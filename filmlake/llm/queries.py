@@ -8,13 +8,29 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from . import bpe, exact, packing
+from . import bpe, exact, fingerprints, ngram_join, packing, quality
 from .common import documents
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's votes, posterior, score and whether it is accepted."""
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs))
+
+
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class and the number of rows it is linked to."""
+    return ngram_join.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, against its edited text's and the next document's."""
+    return fingerprints.compare_edited(documents(spark, sf_dir))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 4096 tokens."""
     return pack_documents(documents(spark, sf_dir))
@@ -64,7 +80,10 @@ FROM texts JOIN groups USING (whole)
 """
 
 QUERIES = {
+    "op1_quality_classifier": (quality_classifier, None),
+    "op2_ngram_jaccard_join": (ngram_jaccard_join, None),
     "op3_best_fit_packing": (best_fit_packing, None),
+    "op4_document_fingerprints": (document_fingerprints, None),
     "op5_byte_level_bpe": (byte_level_bpe, None),
     "op10_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
 }
