@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmlake.session import materialize
+
 # Batches are cut to pieces of this many characters before their texts are worked on together.
 WORK_CHARS = 2_000_000
 
@@ -53,3 +57,12 @@ def located(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.col(doc_id).alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
     )
+
+
+def as_scan(docs: DataFrame) -> DataFrame:
+    """``docs`` itself if its rows have locators, else a written copy whose rows have them."""
+    try:
+        docs.select(locator()).schema  # noqa: B018
+    except AnalysisException:
+        return materialize(docs, "rows")
+    return docs

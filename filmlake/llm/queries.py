@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from . import bpe, exact, fingerprints, ngram_join, packing, quality
+from . import bpe, exact, fingerprints, ngram_join, packing, pii, quality
 from .common import documents
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,13 @@ def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its mentions of personal data replaced."""
+    return pii.pseudonymise(documents(spark, sf_dir)).select(
+        "doc_id", "lang", "source", F.length("text").cast("long").alias("n_chars"), "n_mentions", "text"
+    )
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, the one that stays for it and the size of its group."""
     return exact.deduplicate(documents(spark, sf_dir)).select(
@@ -85,5 +92,6 @@ QUERIES = {
     "op3_best_fit_packing": (best_fit_packing, None),
     "op4_document_fingerprints": (document_fingerprints, None),
     "op5_byte_level_bpe": (byte_level_bpe, None),
+    "op9_pii_surrogates": (pii_surrogates, None),
     "op10_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
 }
