@@ -59,6 +59,14 @@ def located(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``docs`` is called that."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def as_scan(docs: DataFrame) -> DataFrame:
     """``docs`` itself if its rows have locators, else a written copy whose rows have them."""
     try:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from .common import located, locator, slices
+from .common import as_scan, located, locator, slices, unused
 from .graph import components
 from .shingles import WORDS, mixed, shingle_sets
 
@@ -152,8 +152,8 @@ def classes(
     Two texts are linked if the Jaccard similarity of their sets of word n-grams is at least
     ``similarity``; a class is what links connect. ``class_id`` is the smallest doc_id of the
     class, ``n_links`` the number of other rows linked to the row, ``first`` marks one row of
-    each class: the smallest doc_id, null ones last, ties by file and place. ``docs`` is a scan of
-    Parquet files. Null texts count as empty; texts without words are linked only to equal ones,
+    each class: the smallest doc_id, null ones last, ties by file and place. A frame that is not a
+    scan of Parquet files is written as one first. Null texts count as empty; texts without words are linked only to equal ones,
     those of fewer than ``words`` words have one n-gram. Other columns are not read.
 
     Rows with equal n-gram sets are counted together first and stand as one node from there on.
@@ -161,6 +161,7 @@ def classes(
     that result hold every candidate pair, and inside a group all pairs are decided on the full
     n-gram sets, in blocks of at most 2 x ``block_grams`` n-grams for a group of any size.
     """
+    docs = as_scan(docs)
     bands, rows = choose_bands(similarity, recall)
     seen = materialize(sketches(docs, doc_id, text, words, bands, rows), "sketches")
     nodes = materialize(
@@ -255,7 +256,8 @@ def _sets(docs: DataFrame, text: str, words: int, placed: DataFrame) -> DataFram
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the first of their class, with all their columns."""
-    columns = docs.columns
-    first = classes(docs, doc_id, text).filter("first").select("locator")
-    places = docs.select(locator().alias("_place"), *columns)
-    return places.join(first, places["_place"] == first["locator"], "left_semi").select(*columns)
+    docs = as_scan(docs)
+    place = unused(docs, "place")
+    first = classes(docs, doc_id, text).filter("first").select(F.col("locator").alias(place))
+    placed = docs.select(locator().alias(place), *docs.columns)
+    return placed.join(first, place, "left_semi").select(*docs.columns)

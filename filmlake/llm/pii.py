@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from .common import as_scan, locator
+from .common import as_scan, locator, unused
 
 KEY = "filmlake"
 MOST_ATTEMPTS = 60
@@ -375,19 +375,20 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFra
     filled = swaps.groupBy("place").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("at", "replacement"))), lambda x: x["replacement"]
-        ).alias("_new")
+        )
     )
-    placed = docs.select(locator().alias("_place"), *columns).join(
-        filled, F.col("_place") == F.col("place"), "left"
+    place, new = unused(docs, "place"), unused(docs, "new")
+    placed = docs.select(locator().alias(place), *columns).join(
+        filled.toDF(place, new), place, "left"
     )
     around = F.split(F.col(text), PATTERN, -1)
     rebuilt = F.array_join(
-        F.transform(around, lambda piece, at: F.concat(F.coalesce(F.get(F.col("_new"), at - 1), F.lit("")), piece)), ""
+        F.transform(around, lambda piece, at: F.concat(F.coalesce(F.get(F.col(new), at - 1), F.lit("")), piece)), ""
     )
     return placed.select(
         *(
-            F.when(F.col("_new").isNotNull(), rebuilt).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
+            F.when(F.col(new).isNotNull(), rebuilt).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
             for c in columns
         ),
-        F.coalesce(F.size("_new"), F.lit(0)).cast("long").alias("n_mentions"),
+        F.when(F.col(new).isNull(), 0).otherwise(F.size(new)).cast("long").alias("n_mentions"),
     )

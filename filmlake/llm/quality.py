@@ -297,6 +297,29 @@ def fit(docs: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> Qualit
     return QualityModel(prior, table, posterior, fit_scorer(rows, target))
 
 
+def keep_accepted(
+    docs: DataFrame, model: QualityModel | None, text: str = "text", accept: float = ACCEPT
+) -> DataFrame:
+    """The rows of ``docs`` that ``score`` accepts, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms, cells = Forms(), Cells()
+        for batch in batches:
+            texts = batch.column(text).to_pylist()
+            good = [_point(Reading(t or "", forms), model, cells) >= accept for t in texts]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _point(read: Reading, model: QualityModel | None, cells: Cells) -> float:
+    at, value = features(read, cells)
+    if not at or model is None:
+        return 1.0 if at else 0.0
+    z = float(model.weights[at] @ np.array(value) + model.weights[-1])
+    return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
+
+
 def score(
     docs: DataFrame,
     model: QualityModel | None,
@@ -318,14 +341,7 @@ def score(
         for text in ts:
             read = Reading(text, forms)
             cast.append(votes(read))
-            at, value = features(read, cells)
-            if not at:
-                points.append(0.0)
-            elif model is None:
-                points.append(1.0)
-            else:
-                z = float(model.weights[at] @ np.array(value) + model.weights[-1])
-                points.append(1 / (1 + math.exp(-max(-50.0, min(50.0, z)))))
+            points.append(_point(read, model, cells))
         known = model.posterior if model else {}
         return [cast, [known.get(v, 0.5) for v in cast], points, [p >= accept for p in points]]
 
