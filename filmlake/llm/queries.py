@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from . import bpe, exact, fingerprints, ngram_join, packing, pii, quality
+from . import bpe, exact, fingerprints, ngram_join, packing, pii, quality, toxicity
 from .common import documents
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,13 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, from a model fitted to the labels outside fold 1."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(docs, toxicity.fit(docs, labels))
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, the one that stays for it and the size of its group."""
     return exact.deduplicate(documents(spark, sf_dir)).select(
@@ -92,6 +99,7 @@ QUERIES = {
     "op3_best_fit_packing": (best_fit_packing, None),
     "op4_document_fingerprints": (document_fingerprints, None),
     "op5_byte_level_bpe": (byte_level_bpe, None),
+    "op6_toxicity_trees": (toxicity_trees, None),
     "op9_pii_surrogates": (pii_surrogates, None),
     "op10_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
 }
