@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filmlake.session import fresh_path, materialize
 
-from .common import locator
+from .common import as_scan, locator, unused
 
 # Fixed value: what counts as white space, one run of it being one space.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -52,18 +52,24 @@ class SeenTexts:
     def landing(self) -> str:
         return f"{self.folder}/landing"
 
+    def _session(self) -> SparkSession:
+        """A session of its own, so that the caller's settings stay as they are."""
+        session = self.spark.newSession()
+        session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        # Without it RocksDB reserves several MB of disk for every partition of the state.
+        session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+        session.conf.set(
+            "spark.sql.shuffle.partitions", self.spark.conf.get("spark.sql.shuffle.partitions")
+        )
+        return session
+
     def land(self, entries: DataFrame) -> None:
         """Add the entries of a new batch to the landing folder."""
         entries.write.mode("append").parquet(self.landing)
 
     def ingest(self) -> None:
         """Take all that has landed into the state, in micro-batches of bounded size."""
-        # A session of its own, so that the caller's settings stay as they are.
-        session = self.spark.newSession()
-        session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        session.conf.set(
-            "spark.sql.shuffle.partitions", self.spark.conf.get("spark.sql.shuffle.partitions")
-        )
+        session = self._session()
         schema = self.spark.read.parquet(self.landing).schema
         (
             session.readStream.schema(schema)
@@ -80,16 +86,17 @@ class SeenTexts:
         )
 
     def state(self) -> DataFrame:
-        """(digest, keep_id, keep_locator, rows), read from the state store itself."""
-        stored = self.spark.read.format("statestore").load(f"{self.folder}/state")
-        return (
-            stored.select("key.digest", "value.*").toDF("digest", "first", "rows")
-        ).select(
+        """(digest, keep_id, keep_locator, rows), written once from the state store itself."""
+        stored = self._session().read.format("statestore").load(f"{self.folder}/state")
+        columns = stored.select("key.digest", "value.*").toDF("digest", "first", "rows")
+        path = fresh_path(self.spark, "state")
+        columns.select(
             "digest",
             F.col("first.doc_id").alias("keep_id"),
             F.col("first.locator").alias("keep_locator"),
             "rows",
-        )
+        ).write.parquet(path)
+        return self.spark.read.parquet(path)
 
 
 def first_of() -> Column:
@@ -117,7 +124,7 @@ def deduplicate(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, locator, keep_id, group_size, kept, digest.
 
-    ``docs`` is a scan of Parquet files. Texts are equal when identical after each run of white
+    A frame that is not a scan of Parquet files is written as one first. Texts are equal when identical after each run of white
     space has become one space; null counts as empty. Of equal texts the row with the smallest
     doc_id stays, of rows that also share the doc_id the first by file and place, and null
     identifiers come last. So each group keeps exactly one row, repeated rows included. Other
@@ -126,6 +133,7 @@ def deduplicate(
     The digests go through ``SeenTexts``; its hits are then checked on their full bytes, and should
     two texts ever share a digest, their rows are grouped by the text itself.
     """
+    docs = as_scan(docs)
     seen = SeenTexts(docs.sparkSession)
     seen.land(located(docs, doc_id, text, digest))
     seen.ingest()
@@ -165,7 +173,8 @@ def _by_text(docs: DataFrame, doc_id: str, text: str, digest, shared: DataFrame)
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``deduplicate`` keeps, with all their columns."""
-    columns = docs.columns
-    kept = deduplicate(docs, doc_id, text).filter("kept").select("locator")
-    places = docs.select(locator().alias("_locator"), *columns)
-    return places.join(kept, places["_locator"] == kept["locator"], "left_semi").select(*columns)
+    docs = as_scan(docs)
+    place = unused(docs, "place")
+    kept = deduplicate(docs, doc_id, text).filter("kept").select(F.col("locator").alias(place))
+    placed = docs.select(locator().alias(place), *docs.columns)
+    return placed.join(kept, place, "left_semi").select(*docs.columns)
