@@ -20,7 +20,7 @@ from filmlake.session import materialize
 # Labelled rows that a model is fitted on at most, and entries of each lexicon.
 FIT_ROWS = 20_000
 LEXICON = 2_000
-PREFIX = 4
+PREFIXES = range(4, 9)
 THRESHOLD = 0.7
 
 # Words of the second person, by language, and characters that stand for letters.
@@ -60,6 +60,9 @@ class Lexicon:
     words: frozenset[str]
     prefixes: frozenset[str]
 
+    def begins(self, word: str) -> bool:
+        return any(word[:k] in self.prefixes for k in PREFIXES)
+
 
 # What is remembered of a word, as bits.
 WORD, START, HIDDEN, PERSON, CAPITAL, MIXED, LONG = (1 << k for k in range(7))
@@ -78,7 +81,7 @@ class _Marks(dict):
         mark = 0
         if word in self.lexicon.words:
             mark |= WORD
-        if word[:PREFIX] in self.lexicon.prefixes:
+        if self.lexicon.begins(word):
             mark |= START
         if word in SECOND_PERSON:
             mark |= PERSON
@@ -87,7 +90,7 @@ class _Marks(dict):
         if not word.isalpha() and any(c.isalpha() for c in word):
             mark |= MIXED
             plain = MARKS.sub("", word.translate(LETTER_OF)).replace("*", "")
-            if plain != word and (plain in self.lexicon.words or plain[:PREFIX] in self.lexicon.prefixes):
+            if plain != word and (plain in self.lexicon.words or self.lexicon.begins(plain)):
                 mark |= HIDDEN
         if STRETCHED.search(word):
             mark |= LONG
@@ -172,7 +175,15 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> Lexicon:
     entries = {
         "words": words,
         "prefixes": F.array_distinct(
-            F.transform(F.filter(words, lambda w: F.length(w) >= PREFIX), lambda w: F.substr(w, F.lit(1), F.lit(PREFIX)))
+            F.flatten(
+                F.transform(
+                    words,
+                    lambda w: F.filter(
+                        F.array(*(F.substr(w, F.lit(1), F.lit(k)) for k in PREFIXES)),
+                        lambda p, at: F.length(p) == at + PREFIXES[0],
+                    ),
+                )
+            )
         ),
     }
     found = {}
