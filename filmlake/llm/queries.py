@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from . import bpe, exact, fingerprints, ngram_join, packing, pii, quality, toxicity
+from . import bpe, exact, fingerprints, ngram_join, packing, pii, quality, suffixes, toxicity
 from .common import documents
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -75,6 +75,17 @@ def toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, labels))
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, what is removed of its repeated passages, and the digest of the rest."""
+    return suffixes.repeated_spans(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, the one that stays for it and the size of its group."""
     return exact.deduplicate(documents(spark, sf_dir)).select(
@@ -100,6 +111,7 @@ QUERIES = {
     "op4_document_fingerprints": (document_fingerprints, None),
     "op5_byte_level_bpe": (byte_level_bpe, None),
     "op6_toxicity_trees": (toxicity_trees, None),
+    "op7_suffix_array_dedup": (suffix_array_dedup, None),
     "op9_pii_surrogates": (pii_surrogates, None),
     "op10_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
 }
