@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from . import bpe, exact, fingerprints, ngram_join, packing, pii, quality, suffixes, toxicity
+from . import bpe, exact, fingerprints, licences, ngram_join, packing, pii, quality, suffixes, toxicity
 from .common import documents
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,17 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the number and the families of its licence notices."""
+    docs = documents(spark, sf_dir)
+    return licences.scan(docs, licences.fit(docs)).select(
+        "doc_id",
+        F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct("notices.family")), ",").alias("families"),
+        F.array_max("notices.probability").alias("probability"),
+    )
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, the one that stays for it and the size of its group."""
     return exact.deduplicate(documents(spark, sf_dir)).select(
@@ -112,6 +123,7 @@ QUERIES = {
     "op5_byte_level_bpe": (byte_level_bpe, None),
     "op6_toxicity_trees": (toxicity_trees, None),
     "op7_suffix_array_dedup": (suffix_array_dedup, None),
+    "op8_licence_scan": (licence_scan, None),
     "op9_pii_surrogates": (pii_surrogates, None),
     "op10_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
 }
