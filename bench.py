@@ -19,7 +19,7 @@ HEADLINES = (
     "genre_sentiment,claims_extract,films_select,genre_map,ratings_join,film_chain_join,"
     "profit_rate,awards_score,enrich_lookup,linfit_table,corr_complete,residual_histogram,"
     "residual_normality,rare_removal_cast,rare_removal_chain,feature_concat,genre_explode,"
-    "word_freq_top32,stem_freq_porter,tfidf_long,anova_select,nb_accuracy,neighbour_accuracy,"
+    "word_freq_top32,tfidf_long,anova_select,nb_accuracy,neighbour_accuracy,"
     "knn_vote,gaussian_bayes,multilabel_f1,dump_reshard"
 )
 

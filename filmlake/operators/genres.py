@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_checked, small_rows
+from ..session import broadcast_checked
+from .elements import keep_elements
 from .numbering import number_rows
 
 
@@ -37,29 +38,12 @@ def genre_shares(counts: DataFrame) -> DataFrame:
     return counts.withColumn("share", F.col("n") / total)
 
 
-def keep_genres(
-    df: DataFrame, allowed: DataFrame, key: str = "film", genres: str = "genres"
-) -> DataFrame:
+def keep_genres(df: DataFrame, allowed: DataFrame, genres: str = "genres") -> DataFrame:
     """Keep the allowed genres of each list in order; drop films left with none.
 
-    A genre vocabulary is small: behind a bounded read its names become a hash set inside the
-    expression, every list is filtered in place and no film row moves. A set beyond the bound
-    goes through a semi join. ``allowed`` may be read twice, so pass a written table such as
-    :func:`genre_vocabulary`.
+    ``allowed`` may be read twice, so pass a written table such as :func:`genre_vocabulary`.
     """
-    names = allowed.select("genre")
-    known = small_rows(names)
-    if known is not None:
-        listed = [r.genre for r in known]
-        kept = F.filter(genres, lambda g: g.isin(listed) if listed else F.lit(False))
-        return df.withColumn(genres, kept).filter(F.size(genres) > 0)
-    entries = genre_rows(df, key, genres).join(broadcast_checked(names), "genre", "left_semi")
-    lists = entries.groupBy(key).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "genre"))), lambda s: s["genre"]
-        ).alias(genres)
-    )
-    return df.drop(genres).join(lists, key)
+    return keep_elements(df, genres, allowed.select("genre")).filter(F.size(genres) > 0)
 
 
 def first_place(rows: DataFrame, key: str, pos: str) -> Column:

@@ -11,15 +11,18 @@ SIBLING_OFFSETS = (-2, -1, 1, 2)
 
 
 def tolerance_accuracy(df: DataFrame, truth: str, prediction: str, tolerance: float) -> DataFrame:
-    """Share of rows whose absolute error is at most ``tolerance``."""
-    close = F.abs(F.col(truth) - F.col(prediction)) <= F.lit(tolerance)
+    """Share of rows whose absolute error is at most ``tolerance``.
+
+    A missing prediction, or a missing truth, is wrong.
+    """
+    close = F.coalesce(F.abs(F.col(truth) - F.col(prediction)) <= F.lit(tolerance), F.lit(False))
     return df.agg(F.count(F.lit(1)).alias("n"), F.avg(close.cast("double")).alias("accuracy"))
 
 
 def exact_accuracy(df: DataFrame, truth: str, prediction: str) -> DataFrame:
-    """Share of rows predicted exactly."""
-    right = (F.col(truth) == F.col(prediction)).cast("double")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("accuracy"))
+    """Share of rows predicted exactly (A19); a missing prediction or truth is wrong."""
+    right = F.coalesce(F.col(truth) == F.col(prediction), F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(right.cast("double")).alias("accuracy"))
 
 
 def micro_f1(df: DataFrame, truth: str = "y", prediction: str = "p") -> DataFrame:
@@ -64,7 +67,7 @@ def neighbour_accuracy(
             (other["plot"] == F.col("me.plot")) & (other["truth"] == F.col(prediction)), F.lit(False)
         )
 
-    right = F.col("me.truth") == F.col(prediction)
+    right = F.coalesce(F.col("me.truth") == F.col(prediction), F.lit(False))
     for o in SIBLING_OFFSETS:
         right = right | matches(F.col(neighbour_name("me", o)))
     return near.filter(F.col(prediction).isNotNull()).agg(

@@ -128,7 +128,7 @@ def bucket_label(df: DataFrame, label: str, buckets: int, fit_on: DataFrame | No
     """Replace a continuous label by the mid-point value of its quantile bucket.
 
     Keeps a label numeric where cutting its text would lose magnitude. Edges come from one
-    mergeable quantile sketch, so no sort of the data is needed.
+    mergeable quantile sketch, so no sort of the data is needed. A NULL label stays NULL.
     """
     source = df if fit_on is None else fit_on
     shares = [i / (2 * buckets) for i in range(1, 2 * buckets)]
@@ -137,7 +137,7 @@ def bucket_label(df: DataFrame, label: str, buckets: int, fit_on: DataFrame | No
     value = F.lit(float(middles[-1]))
     for edge, middle in reversed(list(zip(edges, middles))):
         value = F.when(F.col(label) < edge, F.lit(float(middle))).otherwise(value)
-    return df.withColumn("label_class", value)
+    return df.withColumn("label_class", F.when(F.col(label).isNotNull(), value))
 
 
 def fit_predict(
@@ -186,7 +186,7 @@ def multinomial_bayes(alpha: float = 1.0) -> NaiveBayes:
 
 
 def fit_linear_svm(
-    train: DataFrame, label: str, cost: float = 2.0, max_iter: int = 20, parallelism: int = 8
+    train: DataFrame, label: str, cost: float = 2.0, max_iter: int = 1000, parallelism: int = 8
 ) -> list[tuple]:
     """Linear SVM with penalty ``cost``, one class against the rest, several at a time.
 
@@ -199,7 +199,7 @@ def fit_linear_svm(
 
     def fit(value):
         rows = train.withColumn("_y", (F.col(label) == F.lit(value)).cast("double"))
-        model = LinearSVC(labelCol="_y", maxIter=max_iter, regParam=penalty).fit(rows)
+        model = LinearSVC(labelCol="_y", maxIter=max_iter, regParam=penalty, tol=1e-4).fit(rows)
         return value, [float(w) for w in model.coefficients], float(model.intercept)
 
     return _in_threads(train, fit, values, parallelism)
@@ -231,7 +231,7 @@ def predict_linear_svm(df: DataFrame, classes: list[tuple], prediction: str = "p
     return df.withColumn("_x", x).withColumn(prediction, best["value"]).drop("_x")
 
 
-def perceptron(hidden: Sequence[int], max_iter: int = 50, seed: int = 9) -> MultilayerPerceptronClassifier:
+def perceptron(hidden: Sequence[int], max_iter: int = 200, seed: int = 9) -> MultilayerPerceptronClassifier:
     """Perceptron with the given hidden layers, trained by L-BFGS.
 
     The input and output sizes are set when it is fitted.
@@ -248,11 +248,11 @@ def forest(trees: int = 200, depth: int = 10, leaf: int = 10, seed: int = 9) ->
     )
 
 
-def tree(depth: int = 50, seed: int = 9) -> DecisionTreeClassifier:
-    """Decision tree; Spark grows at most 30 levels, deeper requests are clamped."""
-    return DecisionTreeClassifier(
-        maxDepth=min(depth, SPARK_MAX_TREE_DEPTH), seed=seed, featuresCol="features"
-    )
+def tree(depth: int = SPARK_MAX_TREE_DEPTH, seed: int = 9) -> DecisionTreeClassifier:
+    """Decision tree (M15). Spark grows at most 30 levels, and a deeper request is refused."""
+    if depth > SPARK_MAX_TREE_DEPTH:
+        raise ValueError(f"a tree has at most {SPARK_MAX_TREE_DEPTH} levels")
+    return DecisionTreeClassifier(maxDepth=depth, seed=seed, featuresCol="features")
 
 
 def polynomial_fit(train: DataFrame, x: str, y: str, degree: int = 1):
@@ -278,7 +278,7 @@ def label_matrix(df: DataFrame, key: str, genres: str, names: Sequence[str]) ->
 
 def multilabel_logistic(
     train: DataFrame, test: DataFrame, key: str, genres: str, names: Sequence[str],
-    threshold: float = 0.3, max_iter: int = 50, parallelism: int = 8,
+    threshold: float = 0.3, max_iter: int = 100, parallelism: int = 8,
 ) -> DataFrame:
     """One logistic regression per genre: (key, genre, y, probability, p, p_low).
 
@@ -294,7 +294,7 @@ def multilabel_logistic(
         rows = train.withColumn("y", F.array_contains(genres, name).cast("double"))
         return LogisticRegression(
             labelCol="y", regParam=penalty, elasticNetParam=0.0, standardization=False,
-            maxIter=max_iter,
+            maxIter=max_iter, tol=1e-4,
         ).fit(rows)
 
     fitted = _in_threads(train, fit, names, parallelism)

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_checked, materialize, small_rows
+from ..session import materialize
+from .elements import keep_elements
 
 
 def element_counts(df: DataFrame, column: str, per_row: bool = False) -> DataFrame:
@@ -18,48 +19,28 @@ def element_counts(df: DataFrame, column: str, per_row: bool = False) -> DataFra
     )
 
 
-def _keep_common(df: DataFrame, key: str, column: str, least: int, per_row: bool, drop_empty: bool):
+def _keep_common(df: DataFrame, column: str, least: int, per_row: bool) -> DataFrame:
     counts = element_counts(df, column, per_row)
     common = materialize(counts.filter(F.col("n") > least).select("elem"), "common")
-    known = small_rows(common)
-    if known is not None:
-        listed = [r.elem for r in known]
-        kept = F.filter(column, lambda e: e.isin(listed) if listed else F.lit(False))
-        filtered = df.withColumn(column, kept)
-        return drop_empty_lists(filtered, column) if drop_empty else filtered
-    entries = df.select(key, F.posexplode(column).alias("pos", "elem"))
-    matched = entries.join(broadcast_checked(common), "elem", "left_semi")
-    lists = matched.groupBy(key).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "elem"))), lambda s: s["elem"]
-        ).alias("_kept")
-    )
-    joined = df.join(lists, key, "inner" if drop_empty else "left")
-    if not drop_empty:
-        empty = F.array().cast(df.schema[column].dataType)
-        joined = joined.withColumn("_kept", F.coalesce("_kept", empty))
-    return joined.withColumn(column, F.col("_kept")).drop("_kept").select(*df.columns)
+    return keep_elements(df, column, common)
 
 
-def remove_rare(df: DataFrame, key: str, columns: Sequence[str], least: int = 1) -> DataFrame:
+def remove_rare(df: DataFrame, columns: Sequence[str], least: int = 1) -> DataFrame:
     """Delete list elements seen at most ``least`` times; drop rows left empty.
 
     ``df`` is read twice, so pass a scan or a written table. Columns go in sequence, and each pass counts on the rows the one before it kept, so the
     order matters. Counting is a partial aggregation, and the common elements are written once.
-    A small set of them filters every list in place. A larger one meets the exploded entries in
-    a semi join, broadcast if checked small, else shuffled, where AQE splits an element that
-    dominates; lists come back per row, so a group is never longer than the list it was.
     """
     for i, column in enumerate(columns):
-        df = _keep_common(df, key, column, least, per_row=False, drop_empty=True)
+        df = drop_empty_lists(_keep_common(df, column, least, per_row=False), column)
         if i + 1 < len(columns):
             df = materialize(df, "rare-pass")
     return df
 
 
-def remove_rare_by_rows(df: DataFrame, key: str, column: str, least: int = 1) -> DataFrame:
+def remove_rare_by_rows(df: DataFrame, column: str, least: int = 1) -> DataFrame:
     """The variant that counts rows instead of occurrences and keeps emptied rows."""
-    return _keep_common(df, key, column, least, per_row=True, drop_empty=False)
+    return _keep_common(df, column, least, per_row=True)
 
 
 def drop_empty_lists(df: DataFrame, column: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import word_tokens
-from ..session import broadcast_checked, small_rows
+from ..session import broadcast_checked, materialize, small_rows
 
 
 def lexicon_score(tokens: Column, words_by_polarity: Mapping[int, Sequence[str]]) -> Column:
@@ -32,12 +32,13 @@ def _score_in_rows(df, words, key, text, keep):
 
 
 def _score_by_join(df, lexicon, key, text, keep):
-    tokens = df.select(key, F.explode(word_tokens(F.col(text))).alias("word"))
-    hits = tokens.join(broadcast_checked(lexicon), "word")
-    scores = hits.groupBy(key).agg(F.sum("polarity").alias("score"))
+    rows = df.select(key, *keep, word_tokens(F.col(text)).alias("_t"))
+    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    hits = rows.select("_row", F.explode("_t").alias("word")).join(broadcast_checked(lexicon), "word")
+    scores = hits.groupBy("_row").agg(F.sum("polarity").alias("score"))
     return (
-        df.select(key, *keep)
-        .join(scores, key, "left")
+        rows.select("_row", key, *keep)
+        .join(scores, "_row", "left")
         .select(key, F.coalesce("score", F.lit(0)).cast("long").alias("score"), *keep)
     )
 
@@ -49,11 +50,14 @@ def document_sentiment(
 
     A lexicon of opinion words is small. Once a bounded read shows that it is, its words become
     a hash set inside the expression and every text is scored where it was read: no token rows,
-    no join, no shuffle. A lexicon beyond the bound is joined to the exploded tokens instead.
-    ``lexicon`` holds each word once.
+    no join, no shuffle. A lexicon beyond the bound is joined to the exploded tokens instead, with
+    the same result. A row of the lexicon that is repeated counts once, a word with several
+    polarities counts with their sum; rows of equal keys are scored apart.
     """
-    lexicon = lexicon.select("word", "polarity")
-    words = small_rows(lexicon.filter(F.col("polarity") != 0))
+    lexicon = materialize(
+        lexicon.select("word", "polarity").filter(F.col("polarity") != 0).distinct(), "lexicon"
+    )
+    words = small_rows(lexicon)
     if words is not None and len({w.polarity for w in words}) <= 10:
         return _score_in_rows(df, words, key, text, keep)
     return _score_by_join(df, lexicon, key, text, keep)

@@ -265,21 +265,21 @@ def _lists(df, *columns):
 
 def rare_removal_cast(spark, sf_dir):
     films = materialize(v.credits(spark, sf_dir).select("film_key", "cast_member"), "credits")
-    return _lists(remove_rare(films, "film_key", ["cast_member"], 31), "cast_member")
+    return _lists(remove_rare(films, ["cast_member"], 31), "cast_member")
 
 
 def rare_removal_chain(spark, sf_dir):
-    kept = remove_rare(_chain_lists(spark, sf_dir), "film_key", ["cast_member", "genre", "director"])
+    kept = remove_rare(_chain_lists(spark, sf_dir), ["cast_member", "genre", "director"])
     return _lists(kept, "cast_member", "genre", "director")
 
 
 def rare_removal_rows(spark, sf_dir):
-    kept = remove_rare_by_rows(_chain_lists(spark, sf_dir), "film_key", "cast_member", 1)
+    kept = remove_rare_by_rows(_chain_lists(spark, sf_dir), "cast_member", 1)
     return _lists(kept, "cast_member")
 
 
 def rare_rows_dropped(spark, sf_dir):
-    kept = remove_rare_by_rows(_chain_lists(spark, sf_dir), "film_key", "cast_member", 2)
+    kept = remove_rare_by_rows(_chain_lists(spark, sf_dir), "cast_member", 2)
     return _lists(drop_empty_lists(kept, "cast_member"), "cast_member")
 
 

@@ -6,9 +6,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_year
-from ..functions.lists import as_list
+from ..functions.lists import as_list, first_n
 from ..functions.money import money_value, profit
-from ..functions.stemming import stem_text
 from ..functions.text import clean_text, clean_tokens, without_words
 from ..operators import models as m
 from ..operators.genres import genre_list
@@ -139,7 +138,7 @@ QUALIFY row_number() OVER (PARTITION BY film_key ORDER BY round(score, 7) DESC,
 
 def linear_svm(spark, sf_dir):
     train, test = _standard(spark, sf_dir)
-    planes = m.fit_linear_svm(_vectors(train), "label", max_iter=10)
+    planes = m.fit_linear_svm(_vectors(train), "label")
     out = m.predict_linear_svm(_vectors(test), planes)
     return out.select("film_key", "label", "predicted")
 
@@ -156,12 +155,14 @@ def _success(spark, sf_dir, target, rare):
         chain = complete(well_rated(chain), ["audience_average", "critic_average"])
     films = materialize(
         chain.select(
-            "film_key", "director", "cast_member", "genre", target,
+            "film_key", first_n(F.col("director"), 2).alias("director"),
+            first_n(F.col("cast_member"), 4).alias("cast_member"),
+            first_n(F.col("genre"), 3).alias("genre"), target,
             as_list(F.col("production_company")).alias("company"),
         ),
         "success",
     )
-    return remove_rare(films, "film_key", rare, 1)
+    return remove_rare(films, rare, 1)
 
 
 def _success_model(
@@ -180,27 +181,27 @@ def _success_model(
 
 
 def mlp_professional(spark, sf_dir):
-    return _success_model(spark, sf_dir, "weighted_points", m.perceptron((25, 15, 5), 20), 8)
+    return _success_model(spark, sf_dir, "weighted_points", m.perceptron((25, 15, 5)), 8)
 
 
 def mlp_social(spark, sf_dir):
     """Audience score without the company block, scored within 0.25."""
     out = _success_model(
-        spark, sf_dir, "audience_average", m.perceptron((20,), 20), 8, SUCCESS_LISTS[:3]
+        spark, sf_dir, "audience_average", m.perceptron((20,)), 8, SUCCESS_LISTS[:3]
     )
     return tolerance_accuracy(out, "truth", "predicted", 0.25)
 
 
 def mlp_commercial(spark, sf_dir):
     """Profit in money of the base year, scored within 888,888."""
-    out = _success_model(spark, sf_dir, "profit", m.perceptron((20,), 20), 8)
+    out = _success_model(spark, sf_dir, "profit", m.perceptron((20,)), 8)
     return tolerance_accuracy(out, "truth", "predicted", 888_888)
 
 
 def mlp_general(spark, sf_dir):
     """Awards points from people and genres of the leading list items, without the company."""
     out = _success_model(
-        spark, sf_dir, "weighted_points", m.perceptron((25, 15, 5), 20), 8, SUCCESS_LISTS[:3],
+        spark, sf_dir, "weighted_points", m.perceptron((25, 15, 5)), 8, SUCCESS_LISTS[:3],
         ["cast_member", "genre", "director"],
     )
     return tolerance_accuracy(out, "truth", "predicted", 4)
@@ -225,14 +226,14 @@ def tree_commercial(spark, sf_dir):
 
 
 def tree_social(spark, sf_dir):
-    return _success_model(spark, sf_dir, "critic_average", m.tree(50), 8)
+    return _success_model(spark, sf_dir, "critic_average", m.tree(30), 8)
 
 
-def _genre_tokens(spark, sf_dir, stem=False):
+def _genre_tokens(spark, sf_dir):
     kept, vocabulary = kept_films(spark, sf_dir, clean_text(F.col("plot")).alias("plot"))
-    text = stem_text(F.col("plot")) if stem else F.col("plot")
+    words = without_words(clean_tokens(F.col("plot")), STOP_WORDS)
     films = materialize(
-        kept.select("film", "genres", without_words(clean_tokens(text), STOP_WORDS).alias("tokens")),
+        kept.select("film", "genres", words.alias("tokens")),
         "tokens",
     )
     names = genre_list(vocabulary)
@@ -240,10 +241,10 @@ def _genre_tokens(spark, sf_dir, stem=False):
     return films.filter(in_train), films.filter(~in_train), names
 
 
-def _multilabel(spark, sf_dir, counts=False, stem=False):
-    train, test, names = _genre_tokens(spark, sf_dir, stem)
+def _multilabel(spark, sf_dir, counts=False):
+    train, test, names = _genre_tokens(spark, sf_dir)
     encode = m.count_vectors(train, "tokens") if counts else m.tfidf_vectors(train, "tokens", 0.8, 10000)
-    return m.multilabel_logistic(encode(train), encode(test), "film", "genres", names, max_iter=20)
+    return m.multilabel_logistic(encode(train), encode(test), "film", "genres", names)
 
 
 def multilabel_lr(spark, sf_dir):
@@ -261,20 +262,16 @@ def multilabel_f1(spark, sf_dir):
     return _f1_both(_multilabel(spark, sf_dir))
 
 
-def multilabel_f1_stems(spark, sf_dir):
-    return _f1_both(_multilabel(spark, sf_dir, stem=True))
-
-
 def multilabel_f1_counts(spark, sf_dir):
-    return _f1_both(_multilabel(spark, sf_dir, counts=True, stem=True))
+    return _f1_both(_multilabel(spark, sf_dir, counts=True))
 
 
 def selected_bayes(spark, sf_dir):
-    """Single-genre naive Bayes of Spark ML on the best fifth of the term vectors."""
+    """Naive Bayes of Spark ML on the best fifth of the term vectors, one sample per film and genre."""
     train, test, _ = _genre_tokens(spark, sf_dir)
-    encode = m.tfidf_vectors(train, "tokens", 0.4, 10000)
-    one = F.get("genres", F.lit(0))
-    train = encode(train).withColumn("genre", one)
+    train, test = (df.withColumn("genre", F.explode("genres")) for df in (train, test))
+    encode = m.tfidf_vectors(train, "tokens", 0.4)
+    train = encode(train)
     codes = m.class_values(train, "genre")
     table = F.array(*[F.lit(c) for c in codes])
     train = materialize(
@@ -284,7 +281,7 @@ def selected_bayes(spark, sf_dir):
     )
     choose = m.select_features(train, "label")
     train = choose(train).select("film", "genre", F.col("selected").alias("features"))
-    test = choose(encode(test)).select("film", one.alias("genre"), F.col("selected").alias("features"))
+    test = choose(encode(test)).select("film", "genre", F.col("selected").alias("features"))
     out = m.fit_predict(train, test, m.multinomial_bayes(), "genre")
     return out.select("film", "genre", "predicted")
 
@@ -334,7 +331,6 @@ QUERIES = {
     "tree_social": (tree_social, None),
     "multilabel_lr": (multilabel_lr, None),
     "multilabel_f1": (multilabel_f1, None),
-    "multilabel_f1_stems": (multilabel_f1_stems, None),
     "multilabel_f1_counts": (multilabel_f1_counts, None),
     "selected_bayes": (selected_bayes, None),
     "polynomial_fit": (polynomial_r2, POLYNOMIAL_SQL),

@@ -1,10 +1,9 @@
-"""Cleaning, word counts, stems, term weights, term selection and naive Bayes."""
+"""Cleaning, word counts, term weights, term selection and naive Bayes."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.stemming import stem_counts, stem_text
 from ..functions.text import clean_text
 from ..operators.bayes import fit_multinomial, predict_multinomial
 from ..operators.genres import predict_rows
@@ -81,22 +80,6 @@ kept AS (
 )
 
 
-def stem_freq_lancaster(spark, sf_dir):
-    """Most frequent Lancaster stems, counted before stop words are removed."""
-    return top_words(stem_counts(word_counts(_cleaned(spark, sf_dir), "plot"), "lancaster"), 32)
-
-
-def stem_freq_porter(spark, sf_dir):
-    """Most frequent Porter stems; stop words are removed after stemming, as stems."""
-    counts = stem_counts(word_counts(_cleaned(spark, sf_dir), "plot"), "porter")
-    return top_words(drop_stop_words(counts, v.stop_words(spark)), 32)
-
-
-def stemmed_text(spark, sf_dir):
-    stemmed = _cleaned(spark, sf_dir).withColumn("plot", stem_text(F.col("plot")))
-    return without_stop_words(stemmed, "plot", STOP_WORDS)
-
-
 def word_vectors(spark, sf_dir):
     """Word counts per film in long form."""
     return term_counts(_cleaned(spark, sf_dir), "film", "plot", STOP_WORDS)
@@ -110,21 +93,18 @@ terms AS (
 WORD_VECTORS_SQL = with_ctes(CLEAN_CTE, TERMS_CTE, select="SELECT film, term, tf FROM terms")
 
 
-def labelled_films(spark, sf_dir, stem=False):
-    """Kept films with cleaned or stemmed plot, sample weight and side of the split; and their
-    genres. Stop words are dropped later, so with ``stem`` they are dropped as stems."""
-    cleaned = clean_text(F.col("plot"))
-    plot = stem_text(cleaned) if stem else cleaned
-    kept, vocabulary = kept_films(spark, sf_dir, plot.alias("plot"))
+def labelled_films(spark, sf_dir):
+    """Kept films with cleaned plot, sample weight and side of the split; and their genres."""
+    kept, vocabulary = kept_films(spark, sf_dir, clean_text(F.col("plot")).alias("plot"))
     kept = kept.withColumn("train", in_train(F.col("film")))
     kept = kept.withColumn("mult", F.size("genres").cast("long"))
-    # the fit and the transform both read the plots, so they are stemmed once
-    return materialize(kept, "stemmed") if stem else kept, vocabulary
+    # The fit and both transforms read the plots, so they are cleaned once.
+    return materialize(kept, "cleaned"), vocabulary
 
 
 def _terms(spark, sf_dir):
     kept, _ = labelled_films(spark, sf_dir)
-    return kept, fit_vocabulary(kept.filter("train"), "plot", STOP_WORDS, 0.8, 1000)
+    return kept, fit_vocabulary(kept.filter("train"), "plot", STOP_WORDS, 0.8, 10_000)
 
 
 def term_vocabulary(spark, sf_dir):
@@ -157,18 +137,18 @@ weights AS (
 
 
 VOCABULARY_SQL = with_ctes(
-    _sql_weights("0.8", "ORDER BY total DESC, term LIMIT 1000"),
+    _sql_weights("0.8", "ORDER BY total DESC, term LIMIT 10000"),
     select="SELECT term, df, total, round(idf, 6) AS idf FROM vocab",
 )
 TFIDF_SQL = with_ctes(
-    _sql_weights("0.8", "ORDER BY total DESC, term LIMIT 1000"),
+    _sql_weights("0.8", "ORDER BY total DESC, term LIMIT 10000"),
     select="SELECT film, term, tf, round(weight, 6) AS weight FROM weights WHERE film IN (SELECT film FROM samples)",
 )
 
 
-def _selection(spark, sf_dir, stem=False):
+def _selection(spark, sf_dir):
     """Samples per (film, genre), class sums of the training weights, and the chosen terms."""
-    kept, vocabulary = labelled_films(spark, sf_dir, stem)
+    kept, vocabulary = labelled_films(spark, sf_dir)
     train = kept.filter("train")
     terms = fit_vocabulary(train, "plot", STOP_WORDS, 0.4)
     rows = predict_rows(kept.select("film", "genres", "train"), vocabulary, keep=("train",))
@@ -208,9 +188,9 @@ chosen AS (
 ANOVA_SQL = with_ctes(SELECT_CTE, select="SELECT term, round(f, 4) AS f FROM chosen")
 
 
-def bayes_predictions(spark, sf_dir, stem=False):
+def bayes_predictions(spark, sf_dir):
     """(all samples, test films with the predicted genre number)."""
-    kept, vocabulary, rows, terms, sums, chosen = _selection(spark, sf_dir, stem)
+    kept, vocabulary, rows, terms, sums, chosen = _selection(spark, sf_dir)
     classes = class_values(vocabulary, "idx")
     model = fit_multinomial(sums, materialize(chosen, "chosen"), classes)
     test = kept.filter(~F.col("train"))
@@ -244,9 +224,9 @@ nb AS (
 NB_SQL = with_ctes(BAYES_CTE, select="SELECT film, prediction FROM nb")
 
 
-def nb_accuracy(spark, sf_dir, stem=False):
+def nb_accuracy(spark, sf_dir):
     """Plain accuracy over the test samples, and accuracy against any genre of the film."""
-    rows, predicted = bayes_predictions(spark, sf_dir, stem)
+    rows, predicted = bayes_predictions(spark, sf_dir)
     tested = materialize(rows.filter(~F.col("train")).join(predicted, "film"), "tested")
     plain = exact_accuracy(tested, "genres_number", "prediction").select(
         F.lit("exact").alias("score"), "n", F.round("accuracy", 6).alias("accuracy")
@@ -267,23 +247,16 @@ SELECT 'sibling', count(*), round(avg(CASE WHEN EXISTS (SELECT 1 FROM samples s
   AND s.class = t.prediction) THEN 1.0::DOUBLE ELSE 0 END), 6) FROM tested t""",
 )
 
-def nb_accuracy_stems(spark, sf_dir):
-    return nb_accuracy(spark, sf_dir, stem=True)
-
 
 QUERIES = {
     "clean_text": (cleaned_text, CLEAN_SQL),
     "word_freq_top32": (word_freq_top32, WORD_FREQ_SQL),
     "word_freq_content": (word_freq_content, WORD_CONTENT_SQL),
     "stopword_removed": (stopword_removed, STOPWORD_SQL),
-    "stem_freq_lancaster": (stem_freq_lancaster, None),
-    "stem_freq_porter": (stem_freq_porter, None),
-    "stem_text": (stemmed_text, None),
     "word_vectors": (word_vectors, WORD_VECTORS_SQL),
     "term_vocabulary": (term_vocabulary, VOCABULARY_SQL),
     "tfidf_long": (tfidf_long, TFIDF_SQL),
     "anova_select": (anova_select, ANOVA_SQL),
     "nb_multinomial": (nb_multinomial, NB_SQL),
     "nb_accuracy": (nb_accuracy, NB_ACCURACY_SQL),
-    "nb_accuracy_stems": (nb_accuracy_stems, None),
 }

@@ -9,7 +9,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.claims import CLAIM_NAMES, extract_claims, parse_entities
@@ -197,24 +196,12 @@ def films(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leading cast (4), directors (2) and genres (3) of each film.
-
-    The rank filter is applied before the shuffle as well, so an order with any number of line
-    items sends at most four rows per task.
-    """
-    w = W.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-    )
-    ranked = (
-        table(spark, sf_dir, "lineitem")
-        .withColumn("rn", F.row_number().over(w))
-        .filter(F.col("rn") <= 4)
-        .select("l_orderkey", "l_partkey", "l_suppkey", "rn")
-    )
+    """Cast, directors and genres of each film, one entry per line item, in order."""
+    lines = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    rows = ranked.join(part, ranked.l_partkey == part.p_partkey)
+    rows = lines.join(part, lines.l_partkey == part.p_partkey)
     entry = F.struct(
-        "rn",
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         F.concat(F.lit("P"), F.col("l_partkey")).alias("c"),
         F.concat(F.lit("S"), F.col("l_suppkey")).alias("d"),
         F.col("p_type").alias("g"),
@@ -223,14 +210,11 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sort_array(F.collect_list(entry)).alias("e")
     )
 
-    def leading(field, n):
-        return F.transform(F.filter("e", lambda x: x["rn"] <= n), lambda x: x[field])
-
     return lists.select(
         "film_key",
-        leading("c", 4).alias("cast_member"),
-        leading("d", 2).alias("director"),
-        leading("g", 3).alias("genre"),
+        F.col("e.c").alias("cast_member"),
+        F.col("e.d").alias("director"),
+        F.col("e.g").alias("genre"),
     )
 
 
@@ -251,9 +235,8 @@ ranked AS (
 credits AS (
   SELECT l_orderkey AS film_key,
     list('P' || l_partkey ORDER BY rn) AS cast_member,
-    list('S' || l_suppkey ORDER BY rn) FILTER (WHERE rn <= 2) AS director,
-    list(p_type ORDER BY rn) FILTER (WHERE rn <= 3) AS genre
-  FROM ranked JOIN part ON l_partkey = p_partkey WHERE rn <= 4 GROUP BY l_orderkey
+    list('S' || l_suppkey ORDER BY rn) AS director, list(p_type ORDER BY rn) AS genre
+  FROM ranked JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey
 )"""
 
 _AWARDS = (

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from filmlake.functions import awards, dates, lists, money, stemming, text
+from filmlake.functions import awards, dates, lists, money, text
 
 
 def one(spark, column, **values):
@@ -95,37 +95,3 @@ def test_lists(spark):
     assert one(spark, lists.as_list(F.lit("x"))) == ["x"]
     assert one(spark, lists.as_list(F.lit(None).cast("string"))) is None
     assert one(spark, lists.split_labels(F.lit("Drama, War"))) == ["Drama", "War"]
-
-
-PORTER = {
-    "caresses": "caress", "ponies": "poni", "ties": "tie", "cats": "cat", "feed": "feed",
-    "agreed": "agre", "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing",
-    "conflated": "conflat", "troubled": "troubl", "sized": "size", "hopping": "hop",
-    "falling": "fall", "hissing": "hiss", "failing": "fail", "filing": "file", "happy": "happi",
-    "sky": "sky", "relational": "relat", "conditional": "condit", "rational": "ration",
-    "digitizer": "digit", "operator": "oper", "feudalism": "feudal", "decisiveness": "decis",
-    "hopefulness": "hope", "formaliti": "formal", "sensibiliti": "sensibl",
-    "triplicate": "triplic", "electriciti": "electr", "revival": "reviv", "allowance": "allow",
-    "adjustable": "adjust", "replacement": "replac", "adoption": "adopt", "probate": "probat",
-    "rate": "rate", "cease": "ceas", "controll": "control", "roll": "roll", "dies": "die",
-    "news": "news", "enjoy": "enjoy", "by": "by", "theology": "theolog",
-}
-LANCASTER = {
-    "maximum": "maxim", "presumably": "presum", "multiply": "multiply", "provision": "provid",
-    "owed": "ow", "ear": "ear", "saying": "say", "crying": "cry", "string": "string",
-    "meant": "meant", "cement": "cem",
-}
-
-
-@pytest.mark.parametrize("method, known", [("porter", PORTER), ("lancaster", LANCASTER)])
-def test_stems(spark, method, known):
-    words = spark.createDataFrame([(w,) for w in known], "word string")
-    got = {r.word: r.stem for r in words.select("word", stemming.stem_word(F.col("word"), method).alias("stem")).collect()}
-    assert got == known
-
-
-def test_stem_text_and_counts(spark, rows):
-    df = spark.createDataFrame([("running runs ran",), (None,), ("",)], "t string")
-    assert {r[0] for r in df.select(stemming.stem_text(F.col("t"))).collect()} == {"run run ran", None, ""}
-    counts = spark.createDataFrame([("running", 2), ("runs", 3), ("cat", 1)], "word string, n long")
-    assert rows(stemming.stem_counts(counts)) == [("cat", 1), ("run", 5)]

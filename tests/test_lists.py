@@ -26,33 +26,33 @@ def lists(spark, data, *names):
 
 def test_rare_removal(spark, rows):
     df = lists(spark, [(1, ["a", "b"]), (2, ["a", "c"]), (3, ["d"])], "c")
-    assert rows(remove_rare(df, "k", ["c"])) == [(1, ["a"]), (2, ["a"])]
+    assert rows(remove_rare(df, ["c"])) == [(1, ["a"]), (2, ["a"])]
 
 
 def test_rare_removal_order_matters(spark, rows):
     df = lists(
         spark, [(1, ["a"], ["x"]), (2, ["a"], ["x"]), (3, ["b"], ["x"]), (4, ["b"], ["y"])], "c", "d"
     )
-    assert [r[0] for r in rows(remove_rare(df, "k", ["c", "d"]))] == [1, 2, 3]
-    assert [r[0] for r in rows(remove_rare(df, "k", ["d", "c"]))] == [1, 2]
+    assert [r[0] for r in rows(remove_rare(df, ["c", "d"]))] == [1, 2, 3]
+    assert [r[0] for r in rows(remove_rare(df, ["d", "c"]))] == [1, 2]
 
 
 def test_rare_removal_counts_occurrences_or_rows(spark, rows):
     df = lists(spark, [(1, ["a", "a", "b"]), (2, ["b"]), (3, ["c"])], "c")
-    assert rows(remove_rare(df, "k", ["c"])) == [(1, ["a", "a", "b"]), (2, ["b"])]
-    by_rows = remove_rare_by_rows(df, "k", "c")
+    assert rows(remove_rare(df, ["c"])) == [(1, ["a", "a", "b"]), (2, ["b"])]
+    by_rows = remove_rare_by_rows(df, "c")
     assert rows(by_rows) == [(1, ["b"]), (2, ["b"]), (3, [])]
     assert rows(drop_empty_lists(by_rows, "c")) == [(1, ["b"]), (2, ["b"])]
 
 
 @pytest.mark.parametrize("way", ["in place", "broadcast", "shuffle"])
 def test_rare_removal_ways_agree(spark, rows, monkeypatch, way):
-    import filmlake.operators.rare as rare
+    import filmlake.operators.elements as elements
 
     if way != "in place":
         monkeypatch.setattr("filmlake.session.CONSTANT_MAX_ROWS", 1)
     if way == "shuffle":
-        monkeypatch.setattr(rare, "broadcast_checked", lambda df: df)
+        monkeypatch.setattr(elements, "broadcast_checked", lambda df: df)
     rng = random.Random(5)
     data = [(i, ["hot" if rng.random() < 0.4 else f"e{rng.randrange(300)}" for _ in range(4)]) for i in range(400)]
     counts = {}
@@ -64,8 +64,8 @@ def test_rare_removal_ways_agree(spark, rows, monkeypatch, way):
         key=lambda t: tuple(str(x) for x in t),
     )
     df = lists(spark, data, "c")
-    assert rows(remove_rare(df, "k", ["c"], 2)) == expected
-    assert remove_rare_by_rows(df, "k", "c", 2).count() == len(data)
+    assert rows(remove_rare(df, ["c"], 2)) == expected
+    assert remove_rare_by_rows(df, "c", 2).count() == len(data)
 
 
 def test_corrected_genre_mean(spark):
@@ -107,7 +107,7 @@ def test_empty_inputs(spark):
     vocabulary = g.genre_vocabulary(empty, 1)
     assert vocabulary.count() == 0 and g.predict_rows(empty, vocabulary).count() == 0
     assert multi_hot(empty, "film", "genres").count() == 0
-    assert remove_rare(empty, "film", ["genres"]).count() == 0
+    assert remove_rare(empty, ["genres"]).count() == 0
     scored = empty.withColumn("score", F.lit(1).cast("long"))
     assert genre_sentiment(scored).count() == 0
 
@@ -117,7 +117,7 @@ def test_null_lists_count_nothing(spark, rows):
     assert rows(concat_features(df, "k", ["c", "d"])) == [
         (1, "d", "x", 1), (2, "c", "a", 0), (3, "c", "a", 0), (3, "d", "x", 1),
     ]
-    assert [r[0] for r in rows(remove_rare(df, "k", ["c"]))] == [2, 3]
+    assert [r[0] for r in rows(remove_rare(df, ["c"]))] == [2, 3]
 
 
 def test_neighbours_cross_block_borders(spark):
@@ -219,3 +219,28 @@ def test_joins(spark):
 def test_complete_drops_nan(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (2.0, None)], "v double, s string")
     assert complete(df, ["v"]).count() == 2 and complete(df).count() == 1
+
+
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_both_ways_agree_on_null_lists_and_repeated_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr("filmlake.session.CONSTANT_MAX_ROWS", limit)
+    data = [(1, ["a", "b", "a"], "x"), (1, ["a"], "y"), (2, None, "z"), (3, ["b"], "v"), (4, [], "w"), (5, ["a", None], "u")]
+    df = spark.createDataFrame(data, "k int, c array<string>, t string")
+    by_rows = remove_rare_by_rows(df, "c")
+    assert by_rows.columns == df.columns
+    assert sorted(map(tuple, by_rows.collect()), key=str) == sorted(
+        [(1, ["a", "b", "a"], "x"), (1, ["a"], "y"), (2, None, "z"), (3, ["b"], "v"), (4, [], "w"), (5, ["a"], "u")],
+        key=str,
+    )
+    kept = g.keep_genres(df, spark.createDataFrame([("a",)], "genre string"), "c")
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, ["a"], "y"), (1, ["a", "a"], "x"), (5, ["a"], "u")]
+
+
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_both_ways_of_scoring_agree(spark, monkeypatch, limit):
+    monkeypatch.setattr("filmlake.session.CONSTANT_MAX_ROWS", limit)
+    docs = spark.createDataFrame([(1, "Good good"), (1, "bad"), (2, None), (3, "odd")], "k int, t string")
+    words = [("good", 1), ("good", 1), ("bad", -1), ("odd", 1), ("odd", -1), ("none", 0)]
+    scored = document_sentiment(docs, spark.createDataFrame(words, "word string, polarity int"), "k", "t")
+    assert sorted(map(tuple, scored.collect())) == [(1, -1), (1, 2), (2, 0), (3, 0)]
