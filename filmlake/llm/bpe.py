@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 CHUNK = 32_768
 OVERLAP = 1_024
 
@@ -99,16 +101,16 @@ def _encode_pieces(
 ) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoding(ranks_path, pattern)
-        for batch in batches:
+        for part in (part for batch in batches for part in slices(batch, "_text")):
             ids = [
                 np.array(coder.encode_ordinary(t), np.int32)
-                for t in batch.column("_text").to_pylist()
+                for t in part.column("_text").to_pylist()
             ]
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate([*ids, np.empty(0, np.int32)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in keep), lists], [*keep, "ids"]
+                [*(part.column(name) for name in keep), lists], [*keep, "ids"]
             )
 
     return df.select(*keep, "_text").mapInArrow(
@@ -200,9 +202,10 @@ def decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoding(ranks_path, pattern)
         for batch in batches:
+            # One row's ids at a time become Python numbers.
             raw = [
-                None if x is None else coder.decode_bytes(x)
-                for x in batch.column("_ids").to_pylist()
+                coder.decode_bytes(x.values.to_pylist()) if x.is_valid else None
+                for x in batch.column("_ids")
             ]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in keep), pa.array(raw, pa.binary())],
