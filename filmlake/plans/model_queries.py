@@ -116,9 +116,7 @@ def gaussian_bayes(spark, sf_dir):
     return out.select("film_key", "label", F.col("predicted").cast("int").alias("predicted"))
 
 
-GAUSSIAN_SQL = with_ctes(
-    RATED_CTE,
-    """
+GAUSSIAN_CTE = RATED_CTE + """,
 cls AS (
   SELECT label, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc,
     var_pop(a) + 1e-9 AS va, var_pop(b) + 1e-9 AS vb, var_pop(c) + 1e-9 AS vc
@@ -129,11 +127,12 @@ scored AS (
     - 0.5 * (ln(va) + ln(vb) + ln(vc)) - pow(q.a - ma, 2) / (2 * va)
     - pow(q.b - mb, 2) / (2 * vb) - pow(q.c - mc, 2) / (2 * vc) AS score
   FROM std q CROSS JOIN cls k WHERE NOT q.train
-)""",
-    select="""
-SELECT film_key, label, predicted FROM scored
-QUALIFY row_number() OVER (PARTITION BY film_key ORDER BY round(score, 7) DESC, predicted) = 1""",
-)
+),
+gaussian AS (
+  SELECT film_key, label, predicted FROM scored
+  QUALIFY row_number() OVER (PARTITION BY film_key ORDER BY round(score, 7) DESC, predicted) = 1
+)"""
+GAUSSIAN_SQL = with_ctes(GAUSSIAN_CTE, select="SELECT film_key, label, predicted FROM gaussian")
 
 
 def linear_svm(spark, sf_dir):
@@ -143,6 +142,44 @@ def linear_svm(spark, sf_dir):
     return out.select("film_key", "label", "predicted")
 
 
+def _within_four(predicted, prediction):
+    """Share of test films predicted within four points."""
+    share = tolerance_accuracy(predicted, "label", prediction, 4)
+    return share.select("n", F.round("accuracy", 6).alias("accuracy"))
+
+
+def gaussian_accuracy(spark, sf_dir):
+    return _within_four(gaussian_bayes(spark, sf_dir), "predicted")
+
+
+def knn_accuracy(spark, sf_dir):
+    train, test = _standard(spark, sf_dir)
+    votes = knn_predict(test, train, "film_key", "label", FEATURES, 10)
+    return _within_four(test.select("film_key", "label").join(votes, "film_key", "left"), "prediction")
+
+
+def svm_accuracy(spark, sf_dir):
+    return _within_four(linear_svm(spark, sf_dir), "predicted")
+
+
+def _sql_within_four(predictions):
+    return f"""
+SELECT count(*) AS n, round(avg(CASE WHEN abs(s.label - p.predicted) <= 4 THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy
+FROM std s JOIN ({predictions}) p ON s.film_key = p.film_key"""
+
+
+GAUSSIAN_ACCURACY_SQL = with_ctes(
+    GAUSSIAN_CTE, select=_sql_within_four("SELECT film_key, predicted FROM gaussian")
+)
+KNN_ACCURACY_SQL = with_ctes(
+    RATED_CTE,
+    "\nvotes AS (SELECT film_key, label, count(*) AS votes FROM near GROUP BY film_key, label)",
+    select=_sql_within_four("""
+  SELECT film_key, label AS predicted FROM votes
+  QUALIFY row_number() OVER (PARTITION BY film_key ORDER BY votes DESC, label) = 1"""),
+)
+
+
 def _success(spark, sf_dir, target, rare):
     """Films with the leading people and genres, rare ones removed, and a numeric target."""
     chain = film_chain(spark, sf_dir)
@@ -184,12 +221,34 @@ def mlp_professional(spark, sf_dir):
     return _success_model(spark, sf_dir, "weighted_points", m.perceptron((25, 15, 5)), 8)
 
 
+def mlp_professional_accuracy(spark, sf_dir):
+    """Awards points scored within 5."""
+    return tolerance_accuracy(mlp_professional(spark, sf_dir), "truth", "predicted", 5)
+
+
 def mlp_social(spark, sf_dir):
-    """Audience score without the company block, scored within 0.25."""
+    """Audience score from all four blocks, 20 units, scored within 0.15."""
+    out = _success_model(spark, sf_dir, "audience_average", m.perceptron((20,)), 8)
+    return tolerance_accuracy(out, "truth", "predicted", 0.15)
+
+
+def mlp_social_critics(spark, sf_dir):
+    """Critic score from all four blocks, 5 units, scored within 0.2."""
+    out = _success_model(spark, sf_dir, "critic_average", m.perceptron((5,)), 8)
+    return tolerance_accuracy(out, "truth", "predicted", 0.2)
+
+
+def mlp_social_people(spark, sf_dir):
+    """Audience score without the company block, 10 units, scored within 0.2."""
     out = _success_model(
-        spark, sf_dir, "audience_average", m.perceptron((20,)), 8, SUCCESS_LISTS[:3]
+        spark, sf_dir, "audience_average", m.perceptron((10,)), 8, SUCCESS_LISTS[:3]
     )
-    return tolerance_accuracy(out, "truth", "predicted", 0.25)
+    return tolerance_accuracy(out, "truth", "predicted", 0.2)
+
+
+def mlp_early(spark, sf_dir):
+    """Awards points with two hidden layers of 25 and 4 units."""
+    return _success_model(spark, sf_dir, "weighted_points", m.perceptron((25, 4)), 8)
 
 
 def mlp_commercial(spark, sf_dir):
@@ -319,9 +378,16 @@ QUERIES = {
     "knn_neighbours": (knn_neighbours, KNN_SQL),
     "knn_vote": (knn_vote, KNN_VOTE_SQL),
     "gaussian_bayes": (gaussian_bayes, GAUSSIAN_SQL),
+    "gaussian_accuracy": (gaussian_accuracy, GAUSSIAN_ACCURACY_SQL),
+    "knn_accuracy": (knn_accuracy, KNN_ACCURACY_SQL),
     "linear_svm": (linear_svm, None),
+    "svm_accuracy": (svm_accuracy, None),
     "mlp_professional": (mlp_professional, None),
+    "mlp_professional_accuracy": (mlp_professional_accuracy, None),
     "mlp_social": (mlp_social, None),
+    "mlp_social_critics": (mlp_social_critics, None),
+    "mlp_social_people": (mlp_social_people, None),
+    "mlp_early": (mlp_early, None),
     "mlp_commercial": (mlp_commercial, None),
     "mlp_general": (mlp_general, None),
     "forest_social": (forest_social, None),

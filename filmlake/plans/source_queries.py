@@ -20,6 +20,9 @@ from . import views as v
 from .table_queries import CLAIMS_EXTRACT_SQL, FILMS_SELECT_SQL, films_select
 from .views import DUMP_CTE, FILMS_CTE, PLOTS_CTE, with_ctes
 
+# Text of one gzip shard: small enough to be read as one task.
+SHARD_BYTES = 64 << 20
+
 _FILM_FIELDS = (
     "film_key long, wikidata_id string, imdb_id string, rotten_tomatoes_id string, "
     "publication_date string, nbox double, ncost double"
@@ -28,7 +31,7 @@ _FILM_FIELDS = (
 
 def json_round_trip(spark, sf_dir):
     path = fresh_path(spark, "films-json")
-    write_json_table(v.films(spark, sf_dir), path, files=10)
+    write_json_table(v.films(spark, sf_dir), path)
     return read_json_table(spark, path, _FILM_FIELDS)
 
 
@@ -61,7 +64,7 @@ def parquet_round_trip(spark, sf_dir):
 def dump_reshard(spark, sf_dir):
     """The dump re-sharded into gzip text files, scanned and cleaned again."""
     path = fresh_path(spark, "shards")
-    reshard_dump(v.dump_lines(spark, sf_dir), path, partitions=8, max_records=100_000)
+    reshard_dump(v.dump_lines(spark, sf_dir), path, target_bytes=SHARD_BYTES)
     return entity_lines(read_dump(spark, path)).select(F.col("value").alias("line"))
 
 
@@ -89,18 +92,17 @@ SELECT id, label, enwiki_title, genre, imdb_id, box_office FROM (
 
 
 def word_list_round_trip(spark, sf_dir):
-    """Distinct plot words written and read as a Latin-1 list; words outside Latin-1 are left out."""
+    """All distinct plot words written and read as a list in UTF-8."""
     path = fresh_path(spark, "words")
     words = v.plots(spark, sf_dir).select(F.explode(word_tokens(F.col("plot"))).alias("word")).distinct()
-    latin = words.filter(~F.col("word").rlike(r"[^\u0000-ÿ]"))
-    latin.write.option("encoding", "ISO-8859-1").option("quote", "").csv(path)
-    return read_word_list(spark, path)
+    words.write.text(path)
+    return read_word_list(spark, path, "UTF-8")
 
 
 WORD_LIST_SQL = with_ctes(
     PLOTS_CTE,
     "\nw AS (SELECT DISTINCT UNNEST(regexp_extract_all(lower(plot), '([\\p{L}\\p{N}_]+)', 1)) AS word FROM plots)",
-    select="SELECT word FROM w WHERE NOT regexp_matches(word, '[^\\x{00}-\\x{ff}]')",
+    select="SELECT word FROM w",
 )
 
 QUERIES = {

@@ -311,11 +311,9 @@ WHERE starts_with(f.imdb_id, 'tt') AND p.film % 10 <> 9""",
 
 
 def enrich_todo(spark, sf_dir):
-    films = v.films(spark, sf_dir).filter(F.col("imdb_id").startswith("tt"))
-    size = F.length("wikidata_id") + F.length("imdb_id") + F.length(
-        F.coalesce("rotten_tomatoes_id", F.lit(""))
-    ) + F.length("publication_date")
-    todo = films_to_fetch(films, v.answers(spark, sf_dir), quota=1000, size=size)
+    """The JSON length of a film's row, without the floating-point columns, ranks it."""
+    films = v.films(spark, sf_dir).filter(F.col("imdb_id").startswith("tt")).drop("nbox", "ncost")
+    todo = films_to_fetch(films, v.answers(spark, sf_dir), quota=1000)
     return todo.select("imdb_id", "row_len")
 
 
@@ -323,8 +321,10 @@ ENRICH_TODO_SQL = with_ctes(
     FILMS_CTE,
     PLOTS_CTE,
     select="""
-SELECT imdb_id, CAST(length(wikidata_id) + length(imdb_id)
-  + length(coalesce(rotten_tomatoes_id, '')) + length(publication_date) AS INTEGER) AS row_len
+SELECT imdb_id, CAST(length('{"film_key":' || film_key || ',"wikidata_id":"' || wikidata_id
+  || '","imdb_id":"' || imdb_id || '"'
+  || coalesce(',"rotten_tomatoes_id":"' || rotten_tomatoes_id || '"', '')
+  || ',"publication_date":"' || publication_date || '"}') AS INTEGER) AS row_len
 FROM films WHERE starts_with(imdb_id, 'tt') AND imdb_id NOT IN (SELECT imdb_id FROM plots)
 ORDER BY row_len DESC, imdb_id LIMIT 1000""",
 )

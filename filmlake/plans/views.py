@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.claims import CLAIM_NAMES, extract_claims, parse_entities
-from ..session import spread_small
+from ..session import fresh_path, spread_small
 from ..sources.dump import entity_lines
+from ..sources.lexicon import read_lexicon
 
 # Parameters of the registered queries.
 MIN_SUPPORT = 100
@@ -295,8 +296,13 @@ plots AS (
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{w}', {p})" for w, p in LEXICON.items())
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(word, polarity)")
+    """The opinion words, written as two word lists and read back as a lexicon."""
+    paths = []
+    for polarity in (1, -1):
+        paths.append(fresh_path(spark, "opinion-words"))
+        words = [(w,) for w, p in LEXICON.items() if p == polarity]
+        spark.createDataFrame(words, "word string").coalesce(1).write.text(paths[-1])
+    return read_lexicon(spark, *paths)
 
 
 def stop_words(spark: SparkSession) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Side tables are broadcast only after a count has shown that they fit, and become constants of
 # an expression only if they are smaller still.
 BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_BYTES = 64 << 20
 CONSTANT_MAX_ROWS = 10_000
 
 
@@ -36,7 +40,8 @@ def build_session(app: str = "filmlake", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may run without that setting; it then gets a temporary folder.
+    Only a local master may run without that setting; it then gets a temporary folder, which is
+    removed when the program ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -48,7 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="filmlake-")
+    folder = tempfile.mkdtemp(prefix="filmlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -79,12 +86,29 @@ def spread_small(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only if a count proves ``df`` small; otherwise leave the shuffle join.
+def _width(field: T.StructField) -> Column:
+    """About the bytes of one value of a column."""
+    value = F.col(f"`{field.name}`")
+    kind = field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        return F.coalesce(8 * F.array_size(value), F.lit(0)) + 16
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 16
+    return F.lit(8)
 
-    The count stops at ``max_rows + 1``. Pass a scan or a materialised table, not a heavy plan.
+
+def broadcast_checked(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Hint a broadcast only if rows and bytes prove ``df`` small; else leave the shuffle join.
+
+    The check stops at ``max_rows + 1`` rows. Pass a scan or a materialised table, not a heavy plan.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
 def small_rows(df: DataFrame, max_rows: int | None = None) -> list | None:

@@ -21,12 +21,22 @@ def entity_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def reshard_dump(
-    lines: DataFrame, path: str, *, partitions: int | None = None, max_records: int | None = None
+    lines: DataFrame,
+    path: str,
+    *,
+    partitions: int | None = None,
+    target_bytes: int | None = None,
+    max_records: int | None = None,
 ) -> None:
     """Write the lines as many gzip text files so that later scans run in parallel.
 
-    ``partitions`` spreads the lines round-robin; ``max_records`` bounds the lines per file.
+    ``partitions`` spreads the lines round-robin over that many files; ``target_bytes`` takes so
+    many files that each holds about that much text, as a pass over the lengths of the lines
+    shows; ``max_records`` bounds the lines per file.
     """
+    if target_bytes:
+        size = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+        partitions = max(1, -(-size // target_bytes))
     out = lines.repartition(partitions) if partitions else lines
     writer = out.write.mode("overwrite").option("compression", "gzip")
     if max_records:

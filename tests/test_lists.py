@@ -244,3 +244,9 @@ def test_both_ways_of_scoring_agree(spark, monkeypatch, limit):
     words = [("good", 1), ("good", 1), ("bad", -1), ("odd", 1), ("odd", -1), ("none", 0)]
     scored = document_sentiment(docs, spark.createDataFrame(words, "word string, polarity int"), "k", "t")
     assert sorted(map(tuple, scored.collect())) == [(1, -1), (1, 2), (2, 0), (3, 0)]
+
+
+def test_a_missing_prediction_is_wrong(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, None)], "y double, p double")
+    assert tuple(tolerance_accuracy(df, "y", "p", 0.5).first()) == (2, 0.5)
+    assert tuple(exact_accuracy(df, "y", "p").first()) == (2, 0.5)

@@ -44,12 +44,34 @@ def test_matches_sql(spark, duck, name):
     assert got == expected
 
 
-FAST_MODELS = ["tree_social", "multilabel_f1"]
-
-
-@pytest.mark.parametrize("name", FAST_MODELS)
-def test_runs_without_twin(spark, name):
-    assert QUERIES[name](spark, SF_DIR).count() > 0
+MODELS = sorted(n for n in set(QUERIES) - set(TWINS) if not n.startswith("op") and n != "pipeline")
+
+
+@pytest.mark.parametrize("name", MODELS)
+def test_models_without_twin(spark, name):
+    """Every key once, predictions among the values of the training labels, scores in [0, 1]."""
+    rows = QUERIES[name](spark, SF_DIR).toPandas()
+    assert len(rows)
+    if "accuracy" in rows.columns:
+        assert rows.n.min() > 0 and rows.accuracy.between(0, 1).all()
+    if "f1" in rows.columns:
+        assert rows.f1.dropna().between(0, 1).all()
+    if "film_key" in rows.columns:
+        assert rows.film_key.is_unique and rows.predicted.notna().any()
+    if "probability" in rows.columns:
+        assert rows.probability.between(0, 1).all() and not rows.duplicated(["film", "genre"]).any()
+    if name == "selected_bayes":
+        assert not rows.duplicated(["film", "genre"]).any() and set(rows.predicted) <= set(rows.genre)
+
+
+def test_broadcast_is_checked_by_rows_and_bytes(spark):
+    from filmlake.session import broadcast_checked
+
+    df = spark.createDataFrame([("x" * 1000, [1.0] * 100)] * 10, "t string, a array<double>")
+    plan = lambda d: d._jdf.queryExecution().toString()
+    assert "broadcast" in plan(broadcast_checked(df))
+    assert "broadcast" not in plan(broadcast_checked(df, max_rows=9))
+    assert "broadcast" not in plan(broadcast_checked(df, max_bytes=10_000))
 
 
 def test_entry(spark):

@@ -3,6 +3,8 @@ import math
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from filmlake import session
 from filmlake.operators.enrich import enrich_films, films_to_fetch
 from filmlake.sources import dump, lexicon, tables
@@ -93,3 +95,14 @@ def test_materialize_keeps_rows_and_types(spark):
 @pytest.mark.parametrize("schema", [tables.FILMS_SCHEMA, tables.ENRICHMENT_SCHEMA])
 def test_declared_schemas_parse(spark, schema):
     assert spark.createDataFrame([], schema).columns
+
+
+def test_shards_follow_the_bytes(spark, tmp_path):
+    lines = spark.range(2000).select(F.concat(F.lit("x" * 90), F.col("id").cast("string")).alias("value"))
+    counts = []
+    for n, part in enumerate((lines, lines.union(lines))):
+        target = str(tmp_path / f"shards{n}")
+        dump.reshard_dump(part, target, target_bytes=20_000)
+        counts.append(len(list((tmp_path / f"shards{n}").glob("*.gz"))))
+        assert spark.read.text(target).count() == part.count()
+    assert 9 <= counts[0] <= 10 and counts[1] == 2 * counts[0]
