@@ -1,9 +1,11 @@
 """Exact k-nearest-neighbour classification on a few standardised numeric features.
 
-Training points are cut into balanced boxes by median splits. A test point searches the box
-it falls in, which bounds its distance to the k-th neighbour, and then only the boxes that
-come nearer than that bound. Points are compared within boxes of limited size; no table of
-all pairs exists at any time.
+Training points are cut into boxes by median splits of a sample, and the real points of each box
+are counted and measured. A test point searches the box it falls in, which bounds its distance
+to the k-th neighbour, and then only the boxes that come nearer than that bound. Where its box
+holds fewer than k points, the counts and extents of the boxes give the bound. A box with many
+points or queries is served by several tasks, so no group of rows grows with the data, and no
+table of all pairs exists at any time.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from ..session import broadcast_checked, materialize
 SPLIT_SAMPLE = 50_000
 BOX_POINTS = 2_000
 BOX_QUERIES = 20_000
+SLICE_POINTS = 4 * BOX_POINTS
 _FOUND = "qid long, d2 double, id long, label int"
 
 
@@ -87,22 +90,43 @@ class _Boxes:
             stack += [(first, rows[left]), (second, rows[~left])]
         return box
 
-    def within(self, point: np.ndarray, reach2: float) -> list[int]:
-        """Boxes at most sqrt(reach2) away, by descending only the sides the ball touches."""
-        reach, hits, stack = np.sqrt(reach2), [], [0]
+    def measure(self, counts: dict[int, int], low: dict, high: dict) -> None:
+        """Take over the number of points of each box and where they really lie."""
+        none = np.full(self.low.shape[1], np.inf)
+        self.counts = np.array([counts.get(b, 0) for b in range(len(self.low))])
+        self.low = np.array([low.get(b, none) for b in range(len(self.low))])
+        self.high = np.array([high.get(b, -none) for b in range(len(self.high))])
+
+    def reach(self, point: np.ndarray, k: int) -> float:
+        """A squared distance within which the boxes are known to hold k points, or all of them."""
+        full = np.flatnonzero(self.counts)
+        far = np.maximum(np.abs(self.low[full] - point), np.abs(self.high[full] - point))
+        far = (far * far).sum(axis=1)
+        order = np.argsort(far, kind="stable")
+        enough = np.searchsorted(np.cumsum(self.counts[full][order]), k)
+        return float(far[order][min(enough, len(order) - 1)])
+
+    def within(self, points: np.ndarray, reach2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, box) of the boxes at most sqrt(reach2) away from each point, descending only the
+        sides that a ball touches."""
+        reach = np.sqrt(reach2)
+        rows_found, boxes_found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        stack = [(0, np.arange(len(points)))]
         while stack:
-            split = self.splits[stack.pop()]
+            node, rows = stack.pop()
+            if not len(rows):
+                continue
+            split = self.splits[node]
             if isinstance(split, int):
-                gap = np.maximum(np.maximum(self.low[split] - point, point - self.high[split]), 0.0)
-                if (gap * gap).sum() <= reach2:
-                    hits.append(split)
+                gap = np.maximum(np.maximum(self.low[split] - points[rows], points[rows] - self.high[split]), 0.0)
+                near = rows[(gap * gap).sum(axis=1) <= reach2[rows]]
+                rows_found.append(near)
+                boxes_found.append(np.full(len(near), split))
                 continue
             axis, at, first, second = split
-            if point[axis] - reach < at:
-                stack.append(first)
-            if point[axis] + reach >= at:
-                stack.append(second)
-        return hits
+            stack.append((first, rows[points[rows, axis] - reach[rows] < at]))
+            stack.append((second, rows[points[rows, axis] + reach[rows] >= at]))
+        return np.concatenate(rows_found), np.concatenate(boxes_found)
 
 
 def _frame(qid, d2, ids, labels) -> pd.DataFrame:
@@ -118,7 +142,9 @@ def _frame(qid, d2, ids, labels) -> pd.DataFrame:
 
 def _nearest(queries, qids, points, ids, labels, k: int) -> pd.DataFrame:
     """The k nearest points of each query, ties by id, computed a slab of queries at a time."""
-    picks, distances = [], []
+    order = np.argsort(ids, kind="stable")
+    points, ids, labels = points[order], ids[order], labels[order]
+    found = []
     slab = max(1, 4_000_000 // len(points))
     for a in range(0, len(queries), slab):
         part = queries[a : a + slab]
@@ -126,17 +152,18 @@ def _nearest(queries, qids, points, ids, labels, k: int) -> pd.DataFrame:
         for axis in range(points.shape[1]):
             d2 += (part[:, axis, None] - points[None, :, axis]) ** 2
         d2 = np.round(d2, 9)
-        for row in d2:
-            best = np.arange(len(points))
-            if len(points) > k:
-                best = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
-            best = best[np.lexsort((ids[best], row[best]))][:k]
-            picks.append(best)
-            distances.append(row[best])
-    at = np.concatenate(picks)
-    return _frame(
-        np.repeat(qids, [len(p) for p in picks]), np.concatenate(distances), ids[at], labels[at]
-    )
+        if len(points) > k:
+            rows, at = np.nonzero(d2 <= np.partition(d2, k - 1, axis=1)[:, k - 1 : k])
+        else:
+            rows, at = np.indices(d2.shape).reshape(2, -1)
+        # Points are in the order of their ids, so a stable sort leaves ties in that order.
+        sorted_ = np.lexsort((at, d2[rows, at], rows))
+        rows, at = rows[sorted_], at[sorted_]
+        first = np.searchsorted(rows, rows)
+        kept = np.arange(len(rows)) - first < k
+        rows, at = rows[kept], at[kept]
+        found.append(_frame(qids[a + rows], d2[rows, at], ids[at], labels[at]))
+    return pd.concat(found, ignore_index=True)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -192,42 +219,63 @@ def _search(
         )
 
     homes = points.select("id", "label", "point", locate("point").alias("box"))
+    extent = [
+        f(F.get("point", F.lit(i))).alias(f"{name}{i}")
+        for i in range(len(features))
+        for name, f in (("low", F.min), ("high", F.max))
+    ]
+    sizes = materialize(homes.groupBy("box").agg(F.count(F.lit(1)).alias("points"), *extent), "knn-boxes")
+    known = sizes.collect()  # a row for each box, of which there are total / BOX_POINTS
+    boxes.measure(
+        {r.box: r.points for r in known},
+        {r.box: np.array([r[f"low{i}"] for i in range(len(features))]) for r in known},
+        {r.box: np.array([r[f"high{i}"] for i in range(len(features))]) for r in known},
+    )
 
     def search_boxes(queries: DataFrame) -> DataFrame:
-        """Search each query in its box; a box with many queries is served by several tasks."""
-        load = queries.groupBy("box").agg(
-            F.ceil(F.count(F.lit(1)) / BOX_QUERIES).cast("int").alias("parts")
+        """Search each query in its box, several tasks sharing many queries or many points."""
+        load = (
+            queries.groupBy("box")
+            .agg(F.ceil(F.count(F.lit(1)) / BOX_QUERIES).cast("int").alias("parts"))
+            .join(sizes, "box")
+            .select("box", "parts", F.ceil(F.col("points") / SLICE_POINTS).cast("int").alias("slices"))
         )
         load = broadcast_checked(materialize(load, "knn-load"))
         left = queries.join(load, "box").select(
-            "box", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int").alias("part"), "qid", "point"
+            "box", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int").alias("part"),
+            F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "qid", "point",
         )
         right = homes.join(load, "box").select(
             "box", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"),
             "id", "label", "point",
         )
-        sides = left.groupBy("box", "part").cogroup(right.groupBy("box", "part"))
-        return sides.applyInPandas(search, _FOUND)
+        group = ("box", "part", "slice")
+        return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(search, _FOUND)
 
     queries = asked.select("qid", "point", locate("point").alias("box"))
-    first = materialize(search_boxes(queries), "knn-own-box")
+    first = materialize(_best(search_boxes(queries), k).drop("rank"), "knn-own-box")
     reach = first.groupBy("qid").agg(F.max("d2").alias("reach"), F.count(F.lit(1)).alias("n"))
 
     @F.pandas_udf("array<int>")
-    def others(p: pd.Series, own: pd.Series, reach2: pd.Series) -> pd.Series:
-        near = [
-            [b for b in boxes.within(np.asarray(x), r) if b != o]
-            for x, o, r in zip(p, own, reach2)
-        ]
-        return pd.Series(near)
-
-    # a box border is compared with a distance that was rounded to 9 places, hence the margin;
-    # a box that held fewer than k points bounds nothing
-    bound = F.when(F.col("n") >= k, F.col("reach") + 1e-8).otherwise(F.lit(float("inf")))
-    further = (
-        queries.join(reach, "qid", "left")
-        .withColumn("reach2", F.coalesce(bound, F.lit(float("inf"))))
-        .select("qid", "point", F.explode(others("point", "box", "reach2")).alias("box"))
+    def others(p: pd.Series, own: pd.Series, known: pd.Series) -> pd.Series:
+        if not len(p):
+            return pd.Series([], dtype=object)
+        at = np.stack(p.to_numpy())
+        limit = known.to_numpy(dtype=float, copy=True)
+        for row in np.flatnonzero(np.isnan(limit)):
+            limit[row] = boxes.reach(at[row], k)
+        # A border is compared with a distance that was rounded to 9 places, hence the margin.
+        rows, near = boxes.within(at, limit + 1e-8)
+        away = near != own.to_numpy()[rows]
+        rows, near = rows[away], near[away]
+        order = np.argsort(rows, kind="stable")
+        ends = np.searchsorted(rows[order], np.arange(len(at) + 1))
+        return pd.Series([near[order][a:b].astype("int32") for a, b in zip(ends, ends[1:])])
+
+    # A box that held fewer than k points bounds nothing; the boxes' counts and extents do.
+    further = queries.join(reach, "qid", "left").select(
+        "qid", "point", F.explode(others("point", "box", F.when(F.col("n") >= k, F.col("reach")))).alias("box")
     )
     found = _best(first.unionByName(search_boxes(further)), k)
     return asked, found.withColumnRenamed("id", "neighbour").withColumnRenamed("label", "of")

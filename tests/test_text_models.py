@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -251,3 +252,36 @@ def test_polynomial(spark):
     df = spark.createDataFrame([(float(x), 1.0 + 2 * x + 3 * x * x) for x in range(20)], "x double, y double")
     out = models.polynomial_fit(df, "x", "y", 2).transform(df)
     assert out.filter("abs(fitted - y) > 1e-6").count() == 0
+
+
+def test_knn_boxes_with_a_dominant_value_and_outliers():
+    draw = np.random.default_rng(6)
+    points = np.column_stack([np.where(draw.random(8000) < 0.9, 5.0, draw.random(8000) * 100), draw.random(8000)])
+    points[:3] = [[1e6, 0.5], [-1e6, 0.2], [0.0, 1e6]]
+    boxes = knn._Boxes(points, 16)
+    box = boxes.locate(points)
+    own = {b: points[box == b] for b in np.unique(box)}
+    boxes.measure({b: len(p) for b, p in own.items()}, {b: p.min(0) for b, p in own.items()}, {b: p.max(0) for b, p in own.items()})
+    k = 10
+    true = np.sort(((points[:40, None] - points[None]) ** 2).sum(-1), axis=1)[:, k - 1]
+    reach = np.array([boxes.reach(p, k) for p in points[:40]])
+    assert np.isfinite(reach).all() and (reach >= true).all()
+    rows, near = boxes.within(points[:40], true)
+    for row in range(40):
+        inside = np.flatnonzero(((points - points[row]) ** 2).sum(-1) <= true[row])
+        assert set(box[inside]) <= set(near[rows == row])
+        assert len(near[rows == row]) < len(own)
+
+
+def test_knn_splits_boxes_with_many_points(spark, monkeypatch):
+    monkeypatch.setattr(knn, "SLICE_POINTS", 50)
+    draw = random.Random(4)
+    rows = [(i, i % 3, 1.0 if i % 10 else draw.random() * 9, draw.random()) for i in range(900)]
+    rows += [(900, 1, 1e6, 0.0), (901, 2, -1e6, 0.0)]
+
+    train = spark.createDataFrame(rows, "id long, label int, a double, b double")
+    test = spark.createDataFrame([(5000, 1.0, 0.5), (5001, 1e6, 0.0), (5002, 3.0, 0.1)], "id long, a double, b double")
+    got = knn.nearest_neighbours(test, train, "id", "label", ["a", "b"], 5).collect()
+    for key, a, b in ((5000, 1.0, 0.5), (5001, 1e6, 0.0), (5002, 3.0, 0.1)):
+        best = sorted((round((r[2] - a) ** 2 + (r[3] - b) ** 2, 9), r[0]) for r in rows)[:5]
+        assert sorted((r.d2, r.neighbour) for r in got if r.id == key) == best
