@@ -17,7 +17,7 @@ from ..sources.tables import (
     write_parquet_table,
 )
 from . import views as v
-from .table_queries import CLAIMS_EXTRACT_SQL, FILMS_SELECT_SQL, films_select
+from .table_queries import CLAIMS_EXTRACT_SQL, FILMS_SELECT_SQL, films_select, shown_claims
 from .views import DUMP_CTE, FILMS_CTE, PLOTS_CTE, with_ctes
 
 # Text of one gzip shard: small enough to be read as one task.
@@ -74,21 +74,9 @@ RESHARD_SQL = with_ctes(DUMP_CTE, select="SELECT line FROM lines")
 def slim_json_round_trip(spark, sf_dir):
     """Slim entities through gzip JSON lines, read back with a declared schema."""
     path = fresh_path(spark, "slim")
-    claims = ("genre", "imdb_id", "box_office")
-    slim = extract_claims(parse_entities(entity_lines(v.dump_lines(spark, sf_dir)), claims=claims))
+    slim = extract_claims(parse_entities(entity_lines(v.dump_lines(spark, sf_dir))))
     write_json_table(slim, path)
-    back = read_json_table(spark, path, slim.schema)
-    amounts = F.transform("box_office", lambda q: F.concat_ws(" ", q["amount"], q["unit"]))
-    return back.select(
-        "id", "label", "enwiki_title", F.array_join("genre", "|").alias("genre"),
-        F.array_join("imdb_id", "|").alias("imdb_id"), F.array_join(amounts, "|").alias("box_office"),
-    )
-
-
-SLIM_SQL = f"""
-SELECT id, label, enwiki_title, genre, imdb_id, box_office FROM (
-{CLAIMS_EXTRACT_SQL}
-)"""
+    return shown_claims(read_json_table(spark, path, slim.schema))
 
 
 def word_list_round_trip(spark, sf_dir):
@@ -110,6 +98,6 @@ QUERIES = {
     "json_single_file": (json_single_file, JSON_SINGLE_SQL),
     "parquet_round_trip": (parquet_round_trip, FILMS_SELECT_SQL),
     "dump_reshard": (dump_reshard, RESHARD_SQL),
-    "slim_json_round_trip": (slim_json_round_trip, SLIM_SQL),
+    "slim_json_round_trip": (slim_json_round_trip, CLAIMS_EXTRACT_SQL),
     "word_list_round_trip": (word_list_round_trip, WORD_LIST_SQL),
 }

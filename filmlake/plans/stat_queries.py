@@ -216,9 +216,10 @@ SELECT CAST(n AS BIGINT) AS n, round(b1, 5) AS skew, round(b2, 5) AS kurt, round
 
 
 def _dated_chain(spark, sf_dir):
+    sums = v.written_sums(spark, sf_dir)
     chain = join_chain(
-        v.films(spark, sf_dir),
-        v.ratings(spark, sf_dir).drop("film_key"),
+        v.films(spark, sf_dir, sums),
+        v.ratings(spark, sf_dir, sums).drop("film_key"),
         v.plots(spark, sf_dir).select("imdb_id", F.col("film").alias("plot_key")),
     )
     rated = complete(well_rated(chain), ["publication_date", *RATING_COLUMNS])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.awards import AWARD_PATTERNS, AWARD_WEIGHTS, EARLY_AWARD_WEIGHTS, awards_score
 from ..functions.dates import iso_year, partial_date
 from ..functions.money import money_value, profit, profit_rate
-from ..operators.claims import claim_rejects
+from ..operators.claims import CLAIM_NAMES, QUANTITY_COLUMNS, claim_rejects
 from ..operators.enrich import enrich_films, films_to_fetch
 from ..operators.films import genre_map, label_map, select_films
 from ..operators.joins import complete, join_chain, join_ratings, well_rated
@@ -22,11 +22,14 @@ def _text(column):
 
 
 def claims_extract(spark, sf_dir):
-    e = v.entities(spark, sf_dir)
+    return shown_claims(v.entities(spark, sf_dir))
+
+
+def shown_claims(e):
+    """All columns of the slim table, lists as text."""
     pair = F.transform("box_office", lambda q: F.concat_ws(" ", q["amount"], q["unit"]))
     paid = F.transform("cost", lambda q: F.concat_ws(" ", q["amount"], q["unit"]))
-    lists = ["instance_of", "genre", "publication_date", "title", "imdb_id", "rotten_tomatoes_id",
-             "director", "main_subject", "production_company", "composer"]
+    lists = [name for name in CLAIM_NAMES.values() if name not in QUANTITY_COLUMNS]
     return e.select(
         "id", "label", "enwiki_title", *[_text(c).alias(c) for c in lists],
         _text(pair).alias("box_office"), _text(paid).alias("cost"),
@@ -40,7 +43,7 @@ def _sql_claim(code: str, name: str) -> str:
         "json_extract_string(x, '$.id'), json_extract_string(x, '$.text'), "
         "json_extract_string(x, '$.time')) END"
     )
-    if name in ("box_office", "cost"):
+    if name in QUANTITY_COLUMNS:
         read = (
             "json_extract_string(x, '$.amount') || ' ' || "
             "list_last(string_split(json_extract_string(x, '$.unit'), '/'))"
@@ -49,17 +52,12 @@ def _sql_claim(code: str, name: str) -> str:
     return f"CASE WHEN len({items}) > 0 THEN array_to_string({items}, '|') END AS {name}"
 
 
-_SHOWN = {
-    "P31": "instance_of", "P136": "genre", "P577": "publication_date", "P1476": "title",
-    "P345": "imdb_id", "P1258": "rotten_tomatoes_id", "P57": "director", "P921": "main_subject",
-    "P272": "production_company", "P86": "composer", "P2142": "box_office", "P2130": "cost",
-}
 CLAIMS_EXTRACT_SQL = with_ctes(
     DUMP_CTE,
     select="SELECT json_extract_string(j, '$.id') AS id, "
     "json_extract_string(j, '$.labels.en.value') AS label, "
     "json_extract_string(j, '$.sitelinks.enwiki.title') AS enwiki_title, "
-    + ", ".join(_sql_claim(c, n) for c, n in _SHOWN.items())
+    + ", ".join(_sql_claim(c, n) for c, n in CLAIM_NAMES.items())
     + " FROM parsed WHERE j IS NOT NULL",
 )
 
@@ -83,9 +81,10 @@ FROM parsed WHERE json_extract(j, '$.claims.P921[0].mainsnak.datavalue.value') I
 def films_select(spark, sf_dir):
     f = select_films(v.entities(spark, sf_dir))
     return f.select(
-        "wikidata_id", "label", "imdb_id", "rotten_tomatoes_id", "enwiki_title",
-        _text("genre").alias("genre"), _text("director").alias("director"),
-        "production_company", "publication_date", "made_profit", "nbox", "ncost",
+        "wikidata_id", "label", "imdb_id", "rotten_tomatoes_id", "metacritic_id", "enwiki_title",
+        *[_text(c).alias(c) for c in ("genre", "main_subject", "filming_location", "director", "cast_member")],
+        "series", "production_company", "publication_date", "based_on", "country_of_origin",
+        "original_language", "made_profit", "nbox", "ncost",
     )
 
 
@@ -103,6 +102,10 @@ SELECT 'Q' || o_orderkey AS wikidata_id,
   'Film (' || o_orderkey || ')' AS enwiki_title,
   'Q' || (o_orderkey % 7) || '|Q' || (o_orderkey % 5 + 20) AS genre,
   'Q9' || (o_orderkey % 97) AS director, CAST(NULL AS VARCHAR) AS production_company,
+  'movie/' || o_orderkey AS metacritic_id, CAST(NULL AS VARCHAR) AS main_subject,
+  {v.item_value("P915")} AS filming_location, {v.item_value("P161")} AS cast_member,
+  {v.item_value("P179")} AS series, {v.item_value("P144")} AS based_on,
+  {v.item_value("P495")} AS country_of_origin, {v.item_value("P364")} AS original_language,
   least({_PARTIAL_SQL}, DATE '2001-12-31') AS publication_date,
   CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice > o_orderkey % 400 * 1000 END AS made_profit,
   o_totalprice AS nbox,
@@ -147,8 +150,9 @@ PARTIAL_DATES_SQL = f"SELECT o_orderkey, {v._TIME} AS raw, {_PARTIAL_SQL} AS par
 
 
 def ratings_join(spark, sf_dir):
-    films = complete(v.films(spark, sf_dir), ["nbox", "ncost", "publication_date"])
-    rated = join_ratings(films, v.ratings(spark, sf_dir).drop("film_key"))
+    sums = v.written_sums(spark, sf_dir)
+    films = complete(v.films(spark, sf_dir, sums), ["nbox", "ncost", "publication_date"])
+    rated = join_ratings(films, v.ratings(spark, sf_dir, sums).drop("film_key"))
     rated = complete(well_rated(rated), ["critic_average", "critic_percent"])
     return rated.select(
         "film_key", "rotten_tomatoes_id", "imdb_id_x", "imdb_id_y", "publication_date", "nbox",
@@ -174,12 +178,13 @@ RATINGS_JOIN_SQL = with_ctes(RATED_CTE, select="SELECT * FROM rated")
 
 def film_chain(spark, sf_dir, answers=None):
     """Films x ratings x found enrichment with credits and awards points."""
-    films = v.films(spark, sf_dir)
+    sums = v.written_sums(spark, sf_dir)
+    films = v.films(spark, sf_dir, sums)
     company = v.table(spark, sf_dir, "orders").join(
         v.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).select(F.col("o_orderkey").alias("film_key"), F.col("c_mktsegment").alias("production_company"))
     enrichment = v.plots(spark, sf_dir).select("imdb_id", F.col("awards").alias("omdb_awards"))
-    chain = join_chain(films, v.ratings(spark, sf_dir).drop("film_key"), enrichment)
+    chain = join_chain(films, v.ratings(spark, sf_dir, sums).drop("film_key"), enrichment)
     return (
         chain.drop("imdb_id", "imdb_id_y")
         .join(v.credits(spark, sf_dir), "film_key")
@@ -331,7 +336,8 @@ ORDER BY row_len DESC, imdb_id LIMIT 1000""",
 
 
 def film_profile(spark, sf_dir):
-    rated = v.films(spark, sf_dir).join(v.ratings(spark, sf_dir).select(
+    sums = v.written_sums(spark, sf_dir)
+    rated = v.films(spark, sf_dir, sums).join(v.ratings(spark, sf_dir, sums).select(
         "film_key", "audience_percent", "critic_percent"), "film_key", "left")
     return table_profile(rated)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.claims import CLAIM_NAMES, extract_claims, parse_entities
-from ..session import fresh_path, spread_small
+from ..session import fresh_path, materialize, spread_small
 from ..sources.dump import entity_lines
 from ..sources.lexicon import read_lexicon
 
@@ -54,8 +54,24 @@ _TIME = (
     f"WHEN 2 THEN '+' || substr('' || {_DAY}, 1, 4) || '-00-00T00:00:00Z' "
     f"ELSE '+' || substr('' || {_DAY}, 1, 4) || '-02-30T00:00:00Z' END"
 )
+# Item claims that only name another entity: each has its own number and cycle.
+ITEM_CLAIMS = "P279 P495 P58 P161 P144 P364 P840 P344 P1040 P915 P179 P725 P1431 P750 P86".split()
+
+
+def item_value(code: str) -> str:
+    """SQL text of the entity that an order's claim names."""
+    k = ITEM_CLAIMS.index(code)
+    return f"'Q{70 + k}' || (o_orderkey % {5 + k})"
+
+
 _CLAIMS = " || ',' || ".join(
     [
+        *(
+            _claim(code, _statement("""'{"id":"' || """ + item_value(code) + """ || '"}'"""))
+            for code in ITEM_CLAIMS
+        ),
+        _claim("P1712", _statement("""'"movie/' || o_orderkey || '"'""")),
+        _claim("P3302", _statement("""'"om' || o_orderkey || '"'""")),
         _claim("P31", _statement("""'{"entity-type":"item","id":"Q11424"}'""")),
         _claim("P9999", _statement("""'{"id":"Q1"}'"""), _statement("""'"ignored"'""")),
         _claim(
@@ -184,13 +200,19 @@ def line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.agg(*_exprs(_SUMS))
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_sums(spark, sf_dir).select(*_exprs(_RATINGS))
+def written_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line sums, written once for queries that need both films and ratings."""
+    return materialize(line_sums(spark, sf_dir), "line-sums")
+
+
+def ratings(spark: SparkSession, sf_dir: str, sums: DataFrame | None = None) -> DataFrame:
+    """Ratings; ``sums`` are the line sums if they are at hand."""
+    return (line_sums(spark, sf_dir) if sums is None else sums).select(*_exprs(_RATINGS))
 
 
-def films(spark: SparkSession, sf_dir: str) -> DataFrame:
+def films(spark: SparkSession, sf_dir: str, sums: DataFrame | None = None) -> DataFrame:
     """Films with money: cost is the discounted value of the line items."""
-    cost = line_sums(spark, sf_dir).select(
+    cost = (line_sums(spark, sf_dir) if sums is None else sums).select(
         "film_key", (F.col("cost").cast("double") / 10000).alias("ncost")
     )
     return table(spark, sf_dir, "orders").select(*_exprs(_FILMS)).join(cost, "film_key", "left")
