@@ -104,6 +104,27 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NGRAM_JOIN_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN ['text ' || t] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM words
+), grams AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM sets),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING CAST(count(*) AS DOUBLE) / (a.n + b.n - count(*)) >= 0.8
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, p.y FROM reached r JOIN pairs p ON r.y = p.x
+)
+SELECT x AS doc_id, min(y) AS class_id, (SELECT count(*) FROM pairs p WHERE p.x = r.x) AS n_links
+FROM reached r GROUP BY r.x
+"""
 EXACT_DEDUP_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS whole
@@ -117,7 +138,7 @@ FROM texts JOIN groups USING (whole)
 
 QUERIES = {
     "op1_quality_classifier": (quality_classifier, None),
-    "op2_ngram_jaccard_join": (ngram_jaccard_join, None),
+    "op2_ngram_jaccard_join": (ngram_jaccard_join, NGRAM_JOIN_SQL),
     "op3_best_fit_packing": (best_fit_packing, None),
     "op4_document_fingerprints": (document_fingerprints, None),
     "op5_byte_level_bpe": (byte_level_bpe, None),
