@@ -186,7 +186,7 @@ def multinomial_bayes(alpha: float = 1.0) -> NaiveBayes:
 
 
 def fit_linear_svm(
-    train: DataFrame, label: str, cost: float = 2.0, max_iter: int = 1000, parallelism: int = 8
+    train: DataFrame, label: str, cost: float = 2.0, max_iter: int = 200, parallelism: int = 8
 ) -> list[tuple]:
     """Linear SVM with penalty ``cost``, one class against the rest, several at a time.
 

@@ -176,7 +176,7 @@ def vectors(spark):
     [
         lambda: models.perceptron((6,), 30),
         lambda: models.forest(20, 5, 1),
-        lambda: models.tree(50),
+        lambda: models.tree(30),
         models.multinomial_bayes,
     ],
     ids=["mlp", "forest", "tree", "bayes"],
@@ -284,4 +284,9 @@ def test_knn_splits_boxes_with_many_points(spark, monkeypatch):
     got = knn.nearest_neighbours(test, train, "id", "label", ["a", "b"], 5).collect()
     for key, a, b in ((5000, 1.0, 0.5), (5001, 1e6, 0.0), (5002, 3.0, 0.1)):
         best = sorted((round((r[2] - a) ** 2 + (r[3] - b) ** 2, 9), r[0]) for r in rows)[:5]
-        assert sorted((r.d2, r.neighbour) for r in got if r.id == key) == best
+        assert [r.neighbour for r in sorted(got, key=lambda r: r.rank) if r.id == key] == [i for _, i in best]
+
+
+def test_a_tree_that_is_too_deep_is_refused():
+    with pytest.raises(ValueError):
+        models.tree(50)
