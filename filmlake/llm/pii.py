@@ -50,7 +50,7 @@ KINDS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])",
-    "person": rf"(?<!\p{{L}})(?:(?:{_EVERY_TITLE})\.? {_CAPITALISED}(?: {_CAPITALISED})?"
+    "person": rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:(?:{_EVERY_TITLE})\.? {_CAPITALISED}(?: {_CAPITALISED})?"
     rf"|(?:{_EVERY_GIVEN}) {_CAPITALISED})(?!\p{{L}})",
 }
 
@@ -64,8 +64,14 @@ PATTERN = _numbered(KINDS)
 
 
 def mentions(text: Column) -> Column:
-    """Every mention of personal data in the text, in order."""
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    """Every mention of personal data in the text, in order.
+
+    All kinds but a person hold a digit or an at sign, so a text without either is searched for
+    persons only.
+    """
+    every = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    persons = F.regexp_extract_all(text, F.lit(KINDS["person"]), F.lit(0))
+    return F.when(text.rlike("[0-9@]"), every).otherwise(persons)
 
 
 def kind_of(mention: Column) -> Column:
@@ -366,9 +372,9 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFra
     columns = [c for c in docs.columns if c != "n_mentions"]
     whole = F.coalesce(F.col(text), F.lit(""))
     found = materialize(
-        docs.select(locator().alias("place"), mentions(whole).alias("all"))
-        .filter(F.size("all") > 0)
-        .select("place", F.posexplode("all").alias("at", "mention")),
+        # The outer form keeps Spark from searching each text once more for a filter.
+        docs.select(locator().alias("place"), F.posexplode_outer(mentions(whole)).alias("at", "mention"))
+        .filter(F.col("mention").isNotNull()),
         "mentions",
     )
     swaps = found.join(replacements(found, key), "mention")
