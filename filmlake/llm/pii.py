@@ -63,15 +63,18 @@ def _numbered(kinds: dict[str, str]) -> str:
 PATTERN = _numbered(KINDS)
 
 
-def mentions(text: Column) -> Column:
-    """Every mention of personal data in the text, in order.
+# Every kind but a person holds a digit, an at sign or the start of an access key.
+BEYOND_PERSONS = "[0-9@]|AKIA|ASIA"
 
-    All kinds but a person hold a digit or an at sign, so a text without either is searched for
-    persons only.
-    """
-    every = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    persons = F.regexp_extract_all(text, F.lit(KINDS["person"]), F.lit(0))
-    return F.when(text.rlike("[0-9@]"), every).otherwise(persons)
+
+def by_pattern(text: Column, made) -> Column:
+    """``made(pattern)`` with the pattern a text is searched by: that of persons where no other kind can be."""
+    return F.when(text.rlike(BEYOND_PERSONS), made(PATTERN)).otherwise(made(KINDS["person"]))
+
+
+def mentions(text: Column) -> Column:
+    """Every mention of personal data in the text, in order."""
+    return by_pattern(text, lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
 def kind_of(mention: Column) -> Column:
@@ -387,7 +390,7 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFra
     placed = docs.select(locator().alias(place), *columns).join(
         filled.toDF(place, new), place, "left"
     )
-    around = F.split(F.col(text), PATTERN, -1)
+    around = by_pattern(F.col(text), lambda pattern: F.split(F.col(text), pattern, -1))
     rebuilt = F.array_join(
         F.transform(around, lambda piece, at: F.concat(F.coalesce(F.get(F.col(new), at - 1), F.lit("")), piece)), ""
     )
