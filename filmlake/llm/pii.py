@@ -11,6 +11,8 @@ from .common import as_scan, locator, unused
 
 KEY = "filmlake"
 MOST_ATTEMPTS = 60
+# From this attempt on, surrogates are drawn from more values than look like the mention at best.
+WIDER = 4
 
 # Titles and given names by gender, and the syllables of made-up surnames, by script.
 TITLES = {
@@ -144,6 +146,17 @@ def _pick(digest: Column, at: int, choices: list[str]) -> Column:
     return F.element_at(F.array(*map(F.lit, choices)), (value % len(choices) + 1).cast("int"))
 
 
+def _made_up(digest: Column, count: Column, choices: list[str]) -> Column:
+    """``count`` syllables, 16 at most."""
+    syllables = F.array(*map(F.lit, choices))
+
+    def syllable(at: Column) -> Column:
+        number = F.conv(F.substr(digest, (8 * at + 1).cast("int"), F.lit(6)), 16, 10).cast("int")
+        return F.element_at(syllables, (number % len(choices) + 1).cast("int"))
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.least(count, F.lit(16)) - 1), syllable), "")
+
+
 def _same_classes(value: Column, digest: Column, letters: str) -> Column:
     """Each digit becomes a digit and each letter a letter of ``letters``, case kept."""
 
@@ -163,15 +176,16 @@ def _same_classes(value: Column, digest: Column, letters: str) -> Column:
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
-def _digits(value: Column, digest: Column) -> Column:
-    """As many digits; the first stays, the second is 2 to 9."""
-    count = F.length(value)
+def _digits(value: Column, digest: Column, free: Column | None = None, more: Column | None = None) -> Column:
+    """As many digits and ``more``; the first stays and the second is 2 to 9, unless all are ``free``."""
+    count = F.length(value) + (F.lit(0) if more is None else more)
+    bound = F.lit(True) if free is None else ~free
 
     def digit(at: Column) -> Column:
         n = _byte(digest, at)
         return (
-            F.when(at == 0, F.substr(value, F.lit(1), F.lit(1)))
-            .when(at == 1, (n % 8 + 2).cast("string"))
+            F.when(bound & (at == 0), F.substr(value, F.lit(1), F.lit(1)))
+            .when(bound & (at == 1), (n % 8 + 2).cast("string"))
             .otherwise((n % 10).cast("string"))
         )
 
@@ -188,8 +202,18 @@ def _luhn(number: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, b: a + b) % 10
 
 
-def surrogate(kind: Column, value: Column, digest: Column) -> Column:
-    """The canonical surrogate of a canonical value, from a hexadecimal SHA-512 of both and the key."""
+def surrogate(kind: Column, value: Column, digest: Column, attempt: Column) -> Column:
+    """The canonical surrogate of a canonical value, from a hexadecimal SHA-512 of both and the key.
+
+    Few values have the form of a short one, so they become more with the attempt: surnames get a
+    syllable at each; e-mail addresses and secrets a character at each from WIDER / 2 on. From WIDER
+    on all digits of a telephone or social security number are free, and from 2 * WIDER a telephone
+    number gets more of them. An address of a private range is taken from the whole of it, then
+    from 10.*, at last, like a public one, from everywhere. Cards, IBANs and access keys have over
+    10 ** 10 values at once.
+    """
+    free = attempt >= WIDER
+    added = F.greatest(attempt - (WIDER // 2 - 1), F.lit(0))
     number = _digits(value, digest)
     stem = F.concat(F.substr(number, F.lit(1), (F.length(number) - 1).cast("int")), F.lit("0"))
     last = ((10 - _luhn(stem)) % 10 + F.when(_luhn(value) == 0, 0).otherwise(1)) % 10
@@ -207,21 +231,33 @@ def surrogate(kind: Column, value: Column, digest: Column) -> Column:
         ),
         ".",
     )
+    octet = lambda at: _byte(digest, F.lit(at)).cast("string")
+    ranged = F.when(
+        value.startswith("172."), F.concat(F.lit("172."), (_byte(digest, F.lit(1)) % 16 + 16).cast("string"))
+    ).otherwise(F.concat(F.lit("10."), octet(1)))
+    ip = (
+        F.when(attempt >= 2 * WIDER, F.concat_ws(".", (_byte(digest, F.lit(0)) % 223 + 1).cast("string"), octet(1), octet(2), octet(3)))
+        .when(free & private, F.concat_ws(".", ranged, octet(2), octet(3)))
+        .otherwise(ip)
+    )
     local = F.substring_index(value, ".", -1)
+    longer = lambda letters: _same_classes(F.repeat(F.lit(letters[0]), added), F.reverse(digest), letters)
     email = F.concat(
+        longer(ALPHABET),
         _same_classes(F.substr(value, F.lit(1), (F.length(value) - F.length(local)).cast("int")), digest, ALPHABET),
         local,
     )
     hexadecimal = value.rlike("^[0-9a-f]+$")
-    token = F.when(hexadecimal, _same_classes(value, digest, "abcdef")).otherwise(
-        _same_classes(value, digest, ALPHABET)
+    token = F.when(hexadecimal, F.concat(_same_classes(value, digest, "abcdef"), longer("abcdef"))).otherwise(
+        F.concat(_same_classes(value, digest, ALPHABET), longer(ALPHABET))
     )
     prefixed = lambda n: F.concat(
         F.substr(value, F.lit(1), F.lit(n)), _same_classes(F.substr(value, F.lit(n + 1)), digest, ALPHABET)
     )
     chosen = (
         F.when(kind == "card", card)
-        .when(kind.isin("phone", "ssn"), number)
+        .when(kind == "ssn", _digits(value, digest, free))
+        .when(kind == "phone", _digits(value, digest, free, F.greatest(attempt - (2 * WIDER - 1), F.lit(0))))
         .when(kind == "ip", ip)
         .when(kind == "email", email)
         .when(kind == "access_key", prefixed(4))
@@ -231,7 +267,7 @@ def surrogate(kind: Column, value: Column, digest: Column) -> Column:
     for (gender, script), names in GIVEN.items():
         chosen = F.when(kind == f"given.{gender}.{script}", _pick(digest, 1, [n.lower() for n in names])).otherwise(chosen)
     for script, syllables in SYLLABLES.items():
-        made = F.concat(*(_pick(digest, at, syllables) for at in (1, 9, 17)))
+        made = _made_up(digest, attempt + 3, syllables)
         ending = F.when(value.endswith("а"), F.lit("а")).otherwise(F.lit(""))
         chosen = F.when(kind == f"surname.{script}", F.concat(made, ending)).otherwise(chosen)
     return chosen
@@ -246,7 +282,9 @@ def _renamed(kind: Column, made: Column, attempt: Column, digest: Column) -> Col
             F.when(kind.endswith("cyrillic"), _pick(digest, 25, SYLLABLES["cyrillic"])).otherwise(
                 _pick(digest, 25, SYLLABLES["latin"])
             ),
-            F.when(attempt > 3, _pick(digest, 33, SYLLABLES["latin"])).otherwise(F.lit("")),
+            F.when(attempt <= 3, F.lit(""))
+            .when(kind.endswith("cyrillic"), _pick(digest, 33, SYLLABLES["cyrillic"]))
+            .otherwise(_pick(digest, 33, SYLLABLES["latin"])),
         ),
     ).otherwise(made)
 
@@ -255,14 +293,16 @@ def surrogates(entities: DataFrame, key: str = KEY, most_attempts: int = MOST_AT
     """(kind, value, surrogate) of distinct (kind, value): one to one, and no surrogate is a value.
 
     Each is made from a keyed hash. Where two entities got the same surrogate, or one that is a
-    real value, all but the first try again with the next attempt in the hash; the loop ends when
-    nothing collides and raises after ``most_attempts``. Only counts reach the driver.
+    real value, all but the first try again with the next attempt in the hash, which has more values
+    to draw from; the loop ends when nothing collides. It raises after ``most_attempts``, which only
+    a table with a large share of all values that a form can have at all needs: of every IPv4 address,
+    or of all numbers of nine digits. Only counts reach the driver.
     """
 
     def tried(df: DataFrame) -> DataFrame:
         digest = F.sha2(F.concat_ws("\x00", F.lit(key), "kind", "value", F.col("attempt").cast("string")), 512)
         hashed = df.select("kind", "value", "attempt", digest.alias("digest"))
-        made = surrogate(F.col("kind"), F.col("value"), F.col("digest"))
+        made = surrogate(F.col("kind"), F.col("value"), F.col("digest"), F.col("attempt"))
         return hashed.select(
             "kind",
             "value",
@@ -308,6 +348,8 @@ def _as_mentioned(kind: Column, value: Column, made: Column) -> Column:
         ),
         "",
     )
+    # A surrogate may have more digits than the mention.
+    refilled = F.concat(refilled, F.substr(made, F.length(F.regexp_replace(value, r"\D", "")) + 1))
     spaced = F.array_join(
         F.transform(
             chars,

@@ -94,6 +94,34 @@ def test_a_kind_with_too_few_values_raises(spark):
         pii.surrogates(entities.withColumn("kind", F.lit("phone")).withColumn("value", F.substr("value", F.lit(8), F.lit(1))), most_attempts=2)
 
 
+def test_more_entities_than_the_first_space_holds(spark):
+    entity = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+    n = F.col("id")
+    letters = F.translate(n.cast("string"), "0123456789", "бвгджзклмн")
+    octets = F.concat((F.floor(n / 250)).cast("string"), F.lit("."), (n % 250 + 1).cast("string"))
+    made = [
+        entity("surname.cyrillic", F.concat(letters, F.lit("ов"))),  # 13,824 at first
+        entity("ip", F.concat(F.lit("192.168."), octets)),  # over half of 64,516
+        entity("ip", F.concat(F.lit("172.16."), octets)),
+        entity("phone", F.lpad((n + 100_000).cast("string"), 6, "1")),
+        entity("phone", (n % 1000 + 100).cast("string")),  # all of three digits
+        entity("secret", F.concat(F.lit("-----"), (n % 10).cast("string"))),  # all ten
+        entity("email", F.concat(F.char(97 + n % 26), F.lit("@"), F.char(97 + F.floor(n / 26) % 26), F.lit(".co"))),
+    ]
+    entities = spark.range(40_000).select(F.explode(F.array(*made)).alias("e")).select("e.*").distinct()
+    got = pii.surrogates(entities).toPandas()
+    assert len(got) == entities.count() and not got.duplicated(["kind", "surrogate"]).any()
+    for kind, form in {
+        "surname.cyrillic": "(?:[а-я]{3}){3,}",
+        "ip": r"(?:10\.\d+|192\.168|172\.(?:1[6-9]|2\d|3[01]))\.\d+\.\d+",
+        "phone": r"\d{3,}",
+        "secret": r"-----\d[a-z]*",
+        "email": r"[a-z]+@[a-z]\.co",
+    }.items():
+        of = got[got.kind == kind]
+        assert not set(of.surrogate) & set(of.value) and of.surrogate.str.fullmatch(form).all()
+
+
 def test_another_key_gives_other_surrogates(spark):
     assert run(spark, TEXTS[:1])[0].text != run(spark, TEXTS[:1], key="other")[0].text
 
