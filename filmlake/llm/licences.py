@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ MOST_GRAM = 3
 # A paragraph is judged in windows of so many words, half of which overlap.
 WINDOW = 40
 PROBABILITY, SIMILARITY = 0.5, 0.5
+# Words missing or added inside a passage that follows a template, and families looked for where several share a window.
+GAP, SHARED = 4, 4
 
 # How the notices of each family are commonly worded.
 TEMPLATES = {
@@ -243,27 +246,101 @@ def fit(docs: DataFrame, text: str = "text", negatives: int = NEGATIVES) -> Lice
     return fit_model([s for s in sample if s and noticed.isdisjoint(grams(s))])
 
 
-def notices(text: str, model: LicenceModel) -> list[tuple[int, str, float, float]]:
-    """(line, family, probability, similarity) of every line of a text that holds a notice.
+def _core(words: list[str], family: str) -> tuple[int, int, int, float]:
+    """(begin, end, pairs, share) of the words that one of the family's templates covers best.
 
-    A line without a legal word has no feature that could speak for a family. A long line is
-    judged in overlapping windows, and the surest one counts.
+    Pairs of neighbouring words that the template has count as one passage where they stand in its order
+    and at most GAP words lie between them; ``pairs`` is the number of different ones in the passage,
+    ``share`` that of all the template's.
+    """
+    found = (0, len(words), 0, 0.0)
+    for template in TEMPLATES[family]:
+        wanted = tokens(template)
+        places: dict[tuple, list[int]] = {}
+        for place, pair in enumerate(zip(wanted, wanted[1:])):
+            places.setdefault(pair, []).append(place)
+        passages: list[list[int]] = []
+        last = -1  # the place in the template of the pair before
+        for at, pair in enumerate(zip(words, words[1:])):
+            if pair in places:
+                later = [place for place in places[pair] if place > last]
+                if not passages or not later or at - passages[-1][-1] > GAP + 1:
+                    passages.append([])
+                    later = places[pair]
+                passages[-1].append(at)
+                last = later[0]
+        for passage in passages:
+            pairs = len({(words[k], words[k + 1]) for k in passage})
+            if (pairs, pairs / len(places)) > found[2:]:
+                found = (passage[0], passage[-1] + 2, pairs, pairs / len(places))
+    return found
+
+
+def _peeled(words: list[str], at: int, model: LicenceModel, whole: bool) -> list[tuple]:
+    """(begin, end, pairs, family, probability, similarity) of the notices in words from place ``at`` on.
+
+    The words of a notice are set apart, and what stands before and after them is judged by itself. Where
+    it is a licence but no family alone is sure, several share the words: each family's best passage is
+    judged alone. Such a passage, and a remainder (not ``whole``), must cover half a template.
+    """
+    if model.legal.isdisjoint(words):
+        return []
+    judged = model.judge(words)
+    begin, end, pairs, share = 0, len(words), 0, 0.0
+    if judged[0] != UNKNOWN:
+        begin, end, pairs, share = _core(words, judged[0])
+    if judged[0] == UNKNOWN or not (whole or share >= SIMILARITY):
+        p = model.probabilities(words)
+        if 1 - p[-1] < PROBABILITY:
+            return []
+        for k in np.argsort(-p[:-1])[:SHARED]:
+            begin, end, pairs, share = _core(words, model.families[k])
+            judged = model.judge(words[begin:end])
+            if judged[0] == model.families[k] and share >= SIMILARITY and end - begin < len(words):
+                break
+        else:
+            return []
+    return [
+        *_peeled(words[:begin], at, model, False),
+        (at + begin, at + end, pairs, *judged),
+        *_peeled(words[end:], at + end, model, False),
+    ]
+
+
+def notices(text: str, model: LicenceModel) -> list[tuple[int, int, str, float, float]]:
+    """(line, word, family, probability, similarity) of every notice in a text, in order.
+
+    A line without a legal word has no feature that could speak for a family. A long line is judged
+    in overlapping windows, and every notice of every window counts. Words belong to one notice: of
+    those that share some, the one that covers most of a template stays. Notices of one family with
+    less than half a window between them are one, the surest.
     """
     found = []
     for number, line in enumerate(text.split("\n")):
         words = tokens(line)
         if model.legal.isdisjoint(words):
             continue
-        best = None
-        for at in range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2):
-            window = words[at : at + WINDOW]
-            if model.legal.isdisjoint(window):
-                continue
-            judged = model.judge(window)
-            if judged[0] != UNKNOWN and (best is None or judged[1] > best[1]):
-                best = judged
-        if best:
-            found.append((number, *best))
+        seen = {
+            notice
+            for at in range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2)
+            for notice in _peeled(words[at : at + WINDOW], at, model, True)
+        }
+        apart: list[tuple] = []  # in order, no two share words
+        for notice in sorted(seen, key=lambda x: (-x[2], -x[4], x)):
+            place = bisect(apart, notice)
+            before, after = apart[place - 1 : place], apart[place : place + 1]
+            if all(x[1] <= notice[0] for x in before) and all(notice[1] <= x[0] for x in after):
+                apart.insert(place, notice)
+        last: dict[str, int] = {}  # the end of each family's notice before
+        kept: dict[str, int] = {}  # and its place in found
+        for begin, end, _, family, *sure in apart:
+            if family in last and begin - last[family] < WINDOW // 2:
+                if sure[0] > found[kept[family]][3]:
+                    found[kept[family]] = (number, found[kept[family]][1], family, *sure)
+            else:
+                kept[family] = len(found)
+                found.append((number, begin, family, *sure))
+            last[family] = end
     return found
 
 
@@ -273,15 +350,16 @@ def scan(
     keep: tuple[str, ...] = ("doc_id",),
     text: str = "text",
 ) -> DataFrame:
-    """The columns ``keep`` and ``notices`` of every row: line, family, probability, similarity.
+    """The columns ``keep`` and ``notices`` of every row: line, word, family, probability, similarity.
 
-    Lines are counted from 0; a line without a confirmed notice is not listed. Null and empty texts
+    Lines, and the words of each, are counted from 0; a line without a confirmed notice is not listed. Null and empty texts
     have no notice, repeated rows are all returned, other columns are not read.
     """
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     item = T.StructType(
         [
             T.StructField("line", T.IntegerType()),
+            T.StructField("word", T.IntegerType()),
             T.StructField("family", T.StringType()),
             T.StructField("probability", T.DoubleType()),
             T.StructField("similarity", T.DoubleType()),
@@ -289,7 +367,7 @@ def scan(
     )
     arrow = pa.list_(
         pa.struct(
-            [("line", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64())]
+            [("line", pa.int32()), ("word", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64())]
         )
     )
 

@@ -42,3 +42,21 @@ def test_edges(spark):
     assert got == {None: [], 1: [], 2: [(1, "proprietary"), (3, "MIT")], 3: [(0, "MIT")]}
     assert licences.scan(docs.limit(0), model).count() == 0
     assert licences.fit(docs.limit(0)).families[-1] == licences.UNKNOWN
+
+
+def test_several_notices_in_one_line():
+    model = licences.fit_model([])
+    mit, gpl = "Released under the MIT License. ", "This work is licensed under the GNU General Public License, version 3. "
+
+    def found(text):
+        return [(n[0], n[1], n[2]) for n in licences.notices(text, model)]
+
+    assert found("word " * 300 + mit + "word " * 500 + gpl + "word " * 90) == [(0, 300, "MIT"), (0, 805, "GPL")]
+    assert found("word " * 7 + mit + "word " * 60 + mit) == [(0, 7, "MIT"), (0, 72, "MIT")]
+    assert found("x\n" + "word " * 15 + gpl + "word " * 15) == [(1, 15, "GPL")]
+    assert [n[2] for n in found(mit + gpl)] == ["MIT", "GPL"]
+    assert [n[2] for n in found(mit + "word " * 9 + gpl)] == ["MIT", "GPL"]
+    for family, texts in licences.TEMPLATES.items():
+        for text in texts:
+            for before in (0, 3, 13, 19, 27, 39):
+                assert [n[2] for n in found("word " * before + text + " word" * 45)] == [family]
