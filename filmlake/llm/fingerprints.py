@@ -1,4 +1,4 @@
-"""Threshold-scaled sketches: every shingle hash below a fixed share of the hash range is kept."""
+"""Threshold-scaled sketches: every shingle hash below a share of the hash range is kept, all of short texts."""
 
 from __future__ import annotations
 
@@ -16,23 +16,37 @@ from pyspark.sql import types as T
 from .common import partitions, slices
 from .shingles import WORDS, shingle_sets
 
-# One hash in so many is kept, whatever the length of a document.
+# One hash in so many is kept of a long document; of one with fewer than MOST all, else as large a share
+# (a half, a quarter) as keeps at most MOST.
 SCALE = 8
+MOST = 256
 # Bytes of a kept hash in a fingerprint.
 HASH_BYTES = 6
 
 
+def _written(count: int, check: str, kept: np.ndarray, least: int, scale: int) -> str:
+    """The fingerprint of the 64-bit ``kept``, all hashes of a set below 2 ** 64 / least, in order."""
+    while least < scale and len(kept) > MOST:
+        least *= 2
+        kept = kept[kept < np.uint64((1 << 64) // least)]
+    raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+    return f"{count}:{check}:{least}:{base64.b64encode(raw).decode()}"
+
+
 def fingerprint(shingles: np.ndarray, scale: int = SCALE) -> str:
-    """``<shingles>:<check>:<kept hashes>`` of a set of 64-bit shingle hashes.
+    """``<shingles>:<check>:<share>:<kept hashes>`` of a set of 64-bit shingle hashes.
 
-    The kept hashes are those below 2 ** 64 / scale, in order, base64 of ``HASH_BYTES`` bytes each;
-    the check is a digest of the whole set, by which sets too small to have kept anything are
-    still told apart.
+    The kept hashes are those below 2 ** 64 / share, in order, base64 of ``HASH_BYTES`` bytes each. The
+    share is the first of 1, 2, 4, up to ``scale`` (a power of two) that keeps at most ``MOST``, so it
+    follows from the set alone. The check is a digest of the whole set, by which sets that kept the
+    same hashes are still told apart.
     """
-    kept = shingles[shingles < np.uint64((1 << 64) // scale)]
-    raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
-    check = hashlib.md5(shingles.tobytes()).hexdigest()[:12]
-    return f"{len(shingles)}:{check}:{base64.b64encode(raw).decode()}"
+    return _written(len(shingles), hashlib.md5(shingles.tobytes()).hexdigest()[:12], shingles, 1, scale)
+
+
+def share_of(print_: str) -> int:
+    """One hash in so many is kept in a fingerprint."""
+    return int(print_.split(":")[2])
 
 
 def kept_hashes(print_: str) -> np.ndarray:
@@ -43,25 +57,33 @@ def kept_hashes(print_: str) -> np.ndarray:
     return np.unique(wide.view(">u8").ravel().astype(np.uint64))
 
 
+def _alike(left: str, right: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """The hashes of both that the fingerprint with the smaller share would keep, and that share."""
+    share = max(share_of(left), share_of(right))
+    limit = np.uint64((1 << 8 * HASH_BYTES) // share)
+    a, b = kept_hashes(left), kept_hashes(right)
+    return a[a < limit], b[b < limit], share
+
+
 def merged(left: str, right: str) -> str:
     """The fingerprint of both documents' shingles together.
 
     The kept hashes are exactly those of the union; its number of shingles is their estimate
-    from ``SCALE``, and the check is made from both.
+    from the share that is kept, and the check is made from both.
     """
     if left.rsplit(":", 1)[0] == right.rsplit(":", 1)[0]:
         return left
-    kept = np.union1d(kept_hashes(left), kept_hashes(right))
-    raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - HASH_BYTES :].tobytes()
+    a, b, share = _alike(left, right)
+    kept = np.union1d(a, b)
     check = hashlib.md5("|".join(sorted((left, right))).encode()).hexdigest()[:12]
-    return f"{len(kept) * SCALE}:{check}:{base64.b64encode(raw).decode()}"
+    return _written(len(kept) * share, check, kept << np.uint64(64 - 8 * HASH_BYTES), share, SCALE)
 
 
 def likeness(left: str, right: str) -> float:
-    """The estimated Jaccard similarity of two documents: 1 for equal sets."""
+    """The estimated Jaccard similarity of two documents: 1 for equal sets, exact where both kept all."""
     if left == right:
         return 1.0
-    a, b = kept_hashes(left), kept_hashes(right)
+    a, b, _ = _alike(left, right)
     both = len(np.intersect1d(a, b, assume_unique=True))
     either = len(a) + len(b) - both
     return both / either if either else 0.0
@@ -71,7 +93,7 @@ def containment(left: str, right: str) -> float:
     """The estimated share of the left document's shingles that the right one holds."""
     if left == right:
         return 1.0
-    a, b = kept_hashes(left), kept_hashes(right)
+    a, b, _ = _alike(left, right)
     return len(np.intersect1d(a, b, assume_unique=True)) / len(a) if len(a) else 0.0
 
 

@@ -32,6 +32,25 @@ def test_merged_sketches_are_those_of_the_union():
     assert fp.merged(union, union) == union
 
 
+def test_short_texts_are_compared_exactly():
+    for n in (6, 20, 45, 100, 200):
+        for seed in range(20):
+            text, after = words(n, seed), words(n, 1000 + seed)
+            a, b = shingle_sets([text, fp.edited(text, after)])
+            left, right = fp.fingerprint(a), fp.fingerprint(b)
+            both = len(np.intersect1d(a, b))
+            assert fp.likeness(left, right) == both / len(np.union1d(a, b))
+            assert fp.containment(left, right) == both / len(a)
+
+
+@pytest.mark.parametrize("left,right", [(20, 200), (200, 200), (250, 700), (20, 3000), (900, 1100), (3000, 5000)])
+def test_merging_keeps_the_share_of_the_union(left, right):
+    a, b = shingle_sets([words(left, 1), words(right, 2)])
+    union, merged = fp.fingerprint(np.union1d(a, b)), fp.merged(fp.fingerprint(a), fp.fingerprint(b))
+    assert fp.share_of(merged) == fp.share_of(union)
+    assert fp.kept_hashes(merged).tolist() == fp.kept_hashes(union).tolist()
+
+
 ROWS = [
     (10, "the quick brown fox jumps over the lazy dog again"),
     (None, None),
