@@ -28,6 +28,8 @@ FUNCTION_WORDS = frozenset(
 )
 SYMBOLS = re.compile(r"[#$%&*@^~=<>{}\[\]\\_+|]")
 PLAIN_END = re.compile(r"\w[.,;:?!)\"']?$")
+# Longer words are not remembered.
+LONG = 40
 LETTERS, DIGITS, AGAIN = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(.)\1+")
 
 
@@ -35,7 +37,8 @@ class Forms(dict):
     """The form of each word, remembered: a function word itself in lower case, else its shape.
 
     In a shape every run of letters is ``a``, or ``A`` for two and more capitals, every run of digits
-    is ``9``, and of other repeated characters two are left.
+    is ``9``, and of other repeated characters two are left. The whole word counts, whatever its
+    length; long ones are not remembered.
     """
 
     def __missing__(self, word: str) -> str:
@@ -48,9 +51,10 @@ class Forms(dict):
             letters = word if word[-1].isalpha() else word[:-1]
             form = _letters(letters) + word[len(letters) :]
         else:
-            form = LETTERS.sub(lambda run: _letters(run[0]), word[:40])
+            form = LETTERS.sub(lambda run: _letters(run[0]), word)
             form = AGAIN.sub(r"\1\1", DIGITS.sub("9", form))
-        self[word] = form
+        if len(word) <= LONG:
+            self[word] = form
         return form
 
 
@@ -183,7 +187,9 @@ class Cells(dict):
     """The place of each named feature in the hashed vector, remembered."""
 
     def __missing__(self, name: tuple) -> int:
-        place = self[name] = zlib.crc32(repr(name).encode()) % DIMENSIONS
+        place = zlib.crc32(repr(name).encode()) % DIMENSIONS
+        if sum(map(len, filter(lambda part: isinstance(part, str), name))) <= 2 * LONG:
+            self[name] = place
         return place
 
 

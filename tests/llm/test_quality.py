@@ -46,3 +46,15 @@ def test_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert quality.fit(docs) is None
     assert quality.score(docs, None).count() == 0
+
+
+def test_the_form_of_a_long_word_is_that_of_the_whole():
+    forms = quality.Forms()
+    clean = "文。" * 40
+    assert forms[clean + "$%&#" * 30] != forms[clean] and forms["$%&#" * 30 + clean] != forms["$%&#" * 30]
+    assert forms["ab-" * 30 + "x9!"].endswith("a9!") and len(forms) == 0
+    ends = quality.LABELLERS.index(quality.word_ends)
+    read = lambda last: quality.votes(quality.Reading(" ".join(["文。" * 40 + last] * 5), forms))[ends]
+    assert (read("文。"), read("文"), read("#")) == ("-", "+", "-")
+    cells = quality.Cells()
+    assert cells[("a" * 500, "b")] != cells[("a" * 500, "c")] and cells["a", "b"] == cells["a", "b"] and len(cells) == 1
