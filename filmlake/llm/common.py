@@ -31,12 +31,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = WORK_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch by the characters of one column, so that arrays made from it stay small."""
     begin, size = 0, 0
     for row, length in enumerate(pa.compute.binary_length(batch.column(column)).to_pylist()):
         size += length
-        if size >= WORK_CHARS:
+        if size >= most:
             yield batch.slice(begin, row + 1 - begin)
             begin, size = row + 1, 0
     if begin < batch.num_rows:

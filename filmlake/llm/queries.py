@@ -8,7 +8,19 @@ from pyspark.sql import functions as F
 
 from filmlake.session import materialize
 
-from . import bpe, exact, fingerprints, licences, ngram_join, packing, pii, quality, suffixes, toxicity
+from . import (
+    bpe,
+    collocations,
+    exact,
+    fingerprints,
+    licences,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    suffixes,
+    toxicity,
+)
 from .common import documents
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -104,6 +116,11 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two or three words by their score."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 NGRAM_JOIN_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -135,6 +152,44 @@ WITH texts AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(whole) AS text_sha256
 FROM texts JOIN groups USING (whole)
 """
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f1 AS (SELECT lang, w, count(*) AS f FROM (SELECT lang, unnest(w) AS w FROM w) GROUP BY lang, w),
+f2 AS (
+  SELECT lang, w[1] AS w1, w[2] AS w2, count(*) AS f
+  FROM (SELECT lang, unnest([w[i:i + 1] FOR i IN range(1, len(w))]) AS w FROM w) GROUP BY ALL HAVING count(*) >= 10
+), f3 AS (
+  SELECT lang, w[1] AS w1, w[2] AS w2, w[3] AS w3, count(*) AS f
+  FROM (SELECT lang, unnest([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) AS w FROM w) GROUP BY ALL HAVING count(*) >= 10
+), around AS (
+  SELECT lang, w1, w2, max(f) AS most
+  FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY lang, w1, w2
+), cuts AS (
+  SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, p.f AS a, x.f AS l, y.f AS r, 1 AS cut
+  FROM f2 p JOIN f1 x ON p.lang = x.lang AND p.w1 = x.w JOIN f1 y ON p.lang = y.lang AND p.w2 = y.w
+  LEFT JOIN around o ON o.lang = p.lang AND o.w1 = p.w1 AND o.w2 = p.w2
+  WHERE 100 * coalesce(o.most, 0) < 50 * p.f
+  UNION ALL
+  SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, p.f, x.f, y.f, 1
+  FROM f3 p JOIN f1 x ON p.lang = x.lang AND p.w1 = x.w
+  JOIN f2 y ON p.lang = y.lang AND p.w2 = y.w1 AND p.w3 = y.w2
+  UNION ALL
+  SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, p.f, x.f, y.f, 2
+  FROM f3 p JOIN f2 x ON p.lang = x.lang AND p.w1 = x.w1 AND p.w2 = x.w2
+  JOIN f1 y ON p.lang = y.lang AND p.w3 = y.w
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase, a ORDER BY score, cut) = 1
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM lowest JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
 
 QUERIES = {
     "op1_quality_classifier": (quality_classifier, None),
@@ -147,4 +202,5 @@ QUERIES = {
     "op8_licence_scan": (licence_scan, None),
     "op9_pii_surrogates": (pii_surrogates, None),
     "op10_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
+    "op11_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
 }
