@@ -28,7 +28,7 @@ TOP = 2000
 # A candidate goes if a longer one around it has this share, in per cent, of its occurrences.
 ABSORBED = 50
 # Characters of a run at most, unless one document has more.
-RUN_CHARS = 8_000_000
+RUN_CHARS = 2_000_000
 # So many frequent phrases at most are sent to every task, 8 bytes each; more of them are joined.
 MOST_SENT = 6_000_000
 # Rankings meet in this many times fewer groups from one round to the next.
