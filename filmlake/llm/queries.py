@@ -13,6 +13,8 @@ from . import (
     collocations,
     exact,
     fingerprints,
+    hard_negatives,
+    language,
     licences,
     ngram_join,
     packing,
@@ -121,6 +123,20 @@ def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every anchor and positive among the embeddings."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hard_negatives.mine(hard_negatives.vectors(rows))
+
+
+def language_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by the field learnt from the folds 0 and 2."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(language.fold() == 1, F.lit(False)).alias("held_out")
+    found = language.predict(docs.select("doc_id", held_out, "text"), language.fit(docs), ("doc_id", "held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 NGRAM_JOIN_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -190,6 +206,28 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
   phrase, a, l, r, n, score
 FROM lowest JOIN totals USING (lang) QUALIFY rank <= 2000
 """
+NEGATIVES_SQL = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT * FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, p.other AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+  n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
 
 QUERIES = {
     "op1_quality_classifier": (quality_classifier, None),
@@ -203,4 +241,6 @@ QUERIES = {
     "op9_pii_surrogates": (pii_surrogates, None),
     "op10_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
     "op11_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
+    "op12_hard_negatives": (mined_negatives, NEGATIVES_SQL),
+    "op13_language_field": (language_field, None),
 }
