@@ -63,15 +63,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/filmlake/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+def materialize(df: DataFrame, name: str = "step", group_rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
+    A reader holds a row group at a time; ``group_rows`` bounds one where rows are large arrays.
+
     Used where several later passes read one expensive result: the lineage is cut, a lost
     executor costs no recomputation, and the reader knows the true size for its join choice.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    options = {} if group_rows is None else {"parquet.block.row.count.limit": group_rows}
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
