@@ -29,6 +29,8 @@ TOP = 2000
 ABSORBED = 50
 # Characters of a run at most, unless one document has more.
 RUN_CHARS = 2_000_000
+# A reader of a relation holds so many runs at a time.
+GROUP_RUNS = 4
 # So many frequent phrases at most are sent to every task, 8 bytes each; more of them are joined.
 MOST_SENT = 6_000_000
 # Rankings meet in this many times fewer groups from one round to the next.
@@ -42,10 +44,11 @@ assert WORD == 0
 _RUN = "lang string, words array<string>, n array<int>, gaps array<int>, codes array<int>"
 
 
-def first_runs(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The written relation of single words: (run, lang, words, n, gaps, codes) of each run.
+def first_runs(docs: DataFrame, seed: int = 0, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The written relation of single words: (run, lang, words, n, gaps, codes, w0) of each run.
 
-    ``codes`` are the occurrences in order, as numbers into ``words``, which occur ``n`` times.
+    ``codes`` are the occurrences in order, as numbers into ``words``, which occur ``n`` times; ``w0``
+    has the words' 64-bit numbers, drawn by ``seed``.
     Places are counted by ``gaps``: 1 to the next word of the same piece, 2 over a piece's end. A run
     holds texts of one lang; null lang counts as ``und`` and null text as empty.
     """
@@ -67,8 +70,13 @@ def first_runs(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
                             gaps=gaps.astype(np.int32) + 1, codes=codes,
                         )
 
-    found = rows.mapInArrow(run, _RUN).withColumn("run", F.monotonically_increasing_id())
-    return materialize(found, "words")
+    numbers = F.transform("words", lambda w: _number(seed, F.col("lang"), w))
+    found = rows.mapInArrow(run, _RUN).withColumns({"run": F.monotonically_increasing_id(), "w0": numbers})
+    return materialize(found, "words", GROUP_RUNS)
+
+
+def _number(seed: int, lang: Column, word: Column) -> Column:
+    return F.xxhash64(F.lit(seed), lang, word)
 
 
 def _one_row(**columns: np.ndarray | pa.Array | str | int) -> pa.RecordBatch:
@@ -140,7 +148,7 @@ def extend(runs: DataFrame, frequent: DataFrame, k: int, most_sent: int = MOST_S
     fields = "".join(f", {w} array<long>" for w in _key(k + 1))
     return materialize(
         rows.mapInArrow(run, f"run long, n array<int>, gaps array<int>, codes array<int>{fields}"),
-        f"phrases-{k + 1}",
+        f"phrases-{k + 1}", GROUP_RUNS,
     )
 
 
@@ -196,21 +204,19 @@ def collocations(
     null text no words. Words are told apart by 64-bit numbers that are checked to be distinct; else
     others are drawn.
     """
-    runs = first_runs(docs)
-    each = runs.select("lang", F.inline(F.arrays_zip("words", "n")))
-    counts = each.groupBy("lang", F.col("words").alias("word")).agg(F.sum("n").alias("f"))
-    counts = materialize(counts, "word-counts")
     seed = 0
     while True:
-        number = F.xxhash64(F.lit(seed), "lang", "word")
-        if not counts.groupBy(number.alias("w0")).count().filter("count > 1").limit(1).count():
+        runs = first_runs(docs, seed)
+        each = runs.select("lang", F.inline(F.arrays_zip("words", "n")))
+        counts = each.groupBy("lang", F.col("words").alias("word")).agg(F.sum("n").alias("f"))
+        counts = materialize(counts, "word-counts")
+        number = _number(seed, F.col("lang"), F.col("word")).alias("w0")
+        if not counts.groupBy(number).count().filter("count > 1").limit(1).count():
             break
         seed += 1
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = counts.filter(F.col("f") >= least).select(number.alias("w0"), "lang", "word", "f")
+    words = counts.filter(F.col("f") >= least).select(number, "lang", "word", "f")
     phrases = {1: materialize(words, "frequent-words")}
-    numbers = F.transform("words", lambda w: F.xxhash64(F.lit(seed), F.col("lang"), w))
-    runs = runs.select("run", "n", "gaps", "codes", numbers.alias("w0"))
     for k in range(1, longest):
         runs = extend(runs, phrases[k], k, most_sent)
         phrases[k + 1] = count_phrases(runs, k + 1, least, f"frequent-{k + 1}")
