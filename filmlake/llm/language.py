@@ -267,27 +267,25 @@ class _Scorer:
 
     def __init__(self, field: Field):
         self.field, self.known = field, {}
-        self.table = np.zeros((0, len(field.languages)), np.float32)
+        # line 0 is for words without a letter
+        self.table = np.zeros((1, len(field.languages)), np.float32)
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(scores, whether it has a letter) of each word."""
-        if len(self.known) > REMEMBERED:
+        if len(self.table) > REMEMBERED:
             self.__init__(self.field)
-        at = [self.known.get(word, -2) for word in words]
-        new = [word for word, place in zip(words, at) if place == -2]
+        new = [word for word in words if word not in self.known]
         plain = [letters_of(word) for word in new]
-        lettered = [word for word in plain if word]
-        begin = len(self.table)
-        table = np.concatenate([self.table, _scores(lettered, self.field.weights, self.field.lexicon).astype(np.float32)])
-        places, free = {}, begin
+        scores = _scores([word for word in plain if word], self.field.weights, self.field.lexicon)
+        table = np.concatenate([self.table, scores.astype(np.float32)])
+        places, free = {}, len(self.table)
         for word, letters in zip(new, plain):
-            places[word] = free if letters else -1
+            places[word] = free if letters else 0
             free += bool(letters)
-        at = np.array([places[word] if place == -2 else place for word, place in zip(words, at)], int)
-        if all(len(word) <= LONG for word in new):
-            self.known.update(places)
-            self.table = table
-        return table[at], at >= 0
+        at = np.array([places[word] if word in places else self.known[word] for word in words], int)
+        self.table = table
+        self.known.update({word: place for word, place in places.items() if len(word) <= LONG})
+        return table[at], at > 0
 
 
 def _read(batches: Iterator[pa.RecordBatch], field: Field):
