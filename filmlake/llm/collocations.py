@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from filmlake.operators.numbering import number_rows
 from filmlake.session import broadcast_checked, materialize
 
 from .common import partitions, slices
@@ -91,79 +92,85 @@ def _one_row(**columns: np.ndarray | pa.Array | str | int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({name: cell(value) for name, value in columns.items()})
 
 
-def _key(k: int) -> list[str]:
-    return [f"w{i}" for i in range(k)]
+def count_phrases(runs: DataFrame, least: int, name: str) -> DataFrame:
+    """(first, last, f, id), written: the phrases that occur ``least`` times, numbered in order.
 
-
-def _mark(k: int) -> Column:
-    """One number for each phrase of a run's table; equal for equal phrases."""
-    return F.transform(F.arrays_zip(*_key(k)), lambda p: F.xxhash64(*[p[w] for w in _key(k)]))
-
-
-def count_phrases(runs: DataFrame, k: int, least: int, name: str) -> DataFrame:
-    """(w0 .., f), written: the phrases of k words that occur ``least`` times in all runs."""
-    each = runs.select(F.inline(F.arrays_zip(*_key(k), "n")))
-    counts = each.groupBy(*_key(k)).agg(F.sum("n").alias("f"))
-    return materialize(counts.filter(F.col("f") >= least), name)
+    A phrase is the pair of its first and its last words but one, by their numbers one length below.
+    """
+    each = runs.select(F.inline(F.arrays_zip("first", "last", "n")))
+    counts = each.groupBy("first", "last").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    return materialize(number_rows(counts, ["first", "last"], "id"), name)
 
 
-def extend(runs: DataFrame, frequent: DataFrame, k: int, most_sent: int = MOST_SENT) -> DataFrame:
-    """The written relation of phrases of k + 1 words whose first and last k words are frequent.
+def extend(runs: DataFrame, frequent: DataFrame, key: tuple[str, ...], below: int, most_sent: int, name: str) -> DataFrame:
+    """The written relation of phrases one word longer whose both parts are ``frequent``.
 
-    ``runs`` is first left with the occurrences of ``frequent`` phrases only: few enough of them are
-    sent to the tasks, more are joined to the runs' tables. Either way decides the same: a phrase that
-    shares its mark with a frequent one may stay, but its extension is too rare to be counted.
+    ``runs`` is first left with its occurrences of frequent phrases only: their keys are sent to the
+    tasks, in the order of their numbers, if they are few enough, else joined to the tables of the
+    runs. Either way a phrase gets its number and decides the same. ``below`` is how many phrases there
+    are one length below, whose numbers make a ``key``.
     """
-    marks = frequent.select(F.xxhash64(*_key(k)).alias("mark"))
-    columns = ["run", "gaps", "codes", *_key(k)]
-    if marks.count() <= most_sent:
-        sent = marks.sparkSession.sparkContext.broadcast(np.sort(marks.toArrow().column("mark").to_numpy()))
-        rows = runs.select(*columns, _mark(k).alias("marks"))
+    columns = ["run", "gaps", "codes"]
+    if frequent.count() <= most_sent and below <= most_sent:
+        ordered = frequent.orderBy("id").select(_one_key(key, below).alias("key")).toArrow()
+        sent = frequent.sparkSession.sparkContext.broadcast(ordered.column("key").to_numpy())
+        rows = runs.select(*columns, *key)
     else:
         sent = None
-        table = runs.select("run", F.posexplode(F.arrays_zip(*_key(k))).alias("code", "p"))
-        table = table.select("run", "code", "p.*").join(frequent, _key(k), "left_semi")
-        kept = table.groupBy("run").agg(F.collect_list("code").alias("marks"))
-        rows = runs.join(kept, "run").select(*columns, "marks")
+        table = runs.select("run", F.posexplode(F.arrays_zip(*key)).alias("code", "p")).select("run", "code", "p.*")
+        found = table.join(frequent.select(*key, "id"), list(key)).groupBy("run")
+        found = found.agg(F.collect_list(F.struct("code", "id")).alias("p"))
+        sized = runs.select(*columns, F.size(key[0]).alias("size"))
+        rows = sized.join(found, "run").select(*columns, "size", F.col("p.code").alias("code"), F.col("p.id").alias("id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                value = {c: batch.column(c)[i].values for c in batch.schema.names if c != "run"}
-                value = {c: v.to_numpy(zero_copy_only=False) for c, v in value.items()}
-                table = [value[w] for w in _key(k)]
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                value = {c: v.values.to_numpy() for c, v in row.items() if c not in ("run", "size")}
                 if sent is None:
-                    stays = np.zeros(len(table[0]), bool)
-                    stays[value["marks"]] = True
+                    numbers = np.full(row["size"].as_py(), -1)
+                    numbers[value["code"]] = value["id"]
                 else:
-                    at = np.searchsorted(sent.value, value["marks"])
-                    at[at == len(sent.value)] = 0
-                    stays = sent.value[at] == value["marks"] if len(sent.value) else np.zeros(len(at), bool)
-                found = _merge(value["gaps"], value["codes"], table, stays)
-                if found is not None:
-                    gaps, codes, n, longer = found
-                    named = dict(zip(_key(k + 1), longer))
-                    yield _one_row(run=batch.column("run")[i].as_py(), n=n, gaps=gaps, codes=codes, **named)
-
-    fields = "".join(f", {w} array<long>" for w in _key(k + 1))
-    return materialize(
-        rows.mapInArrow(run, f"run long, n array<int>, gaps array<int>, codes array<int>{fields}"),
-        f"phrases-{k + 1}", GROUP_RUNS,
-    )
+                    wanted = value[key[0]] if len(key) == 1 else value[key[0]] * below + value[key[1]]
+                    numbers = _places(sent.value, wanted)
+                longer = _merge(value["gaps"], value["codes"], numbers)
+                if longer is not None:
+                    yield _one_row(run=row["run"].as_py(), **longer)
+
+    schema = "run long, gaps array<int>, codes array<int>, n array<int>, first array<long>, last array<long>"
+    return materialize(rows.mapInArrow(run, schema), name, GROUP_RUNS)
 
 
-def _merge(gaps: np.ndarray, codes: np.ndarray, table: list[np.ndarray], stays: np.ndarray):
-    """Merge a run with itself, one place on: (gaps, codes, n, table) of the longer phrases, or None."""
-    here = stays[codes]
+def _one_key(key: tuple[str, ...], below: int) -> Column:
+    """One number of a phrase's key: exact, since ``below`` squared has less than 63 bits."""
+    return F.col(key[0]) if len(key) == 1 else F.col(key[0]) * F.lit(below) + F.col(key[1])
+
+
+def _places(ordered: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted key is among the ordered ones, -1 for nowhere."""
+    if not len(ordered):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
+    return np.where(ordered[at] == wanted, at, -1)
+
+
+def _merge(gaps: np.ndarray, codes: np.ndarray, numbers: np.ndarray) -> dict[str, np.ndarray] | None:
+    """Merge a run with itself, one place on: the run of the longer phrases, None if there are none.
+
+    ``numbers`` has the number of each phrase of the run's table, -1 if it is not frequent.
+    """
+    here = numbers[codes] >= 0
     place, codes = np.cumsum(gaps, dtype=np.int64)[here], codes[here].astype(np.int64)
     meets = np.flatnonzero(place[1:] == place[:-1] + 1)
     if not len(meets):
         return None
-    size = len(stays)
+    size = len(numbers)
     pairs, again, n = np.unique(codes[meets] * size + codes[meets + 1], return_inverse=True, return_counts=True)
-    longer = [w[pairs // size] for w in table] + [table[-1][pairs % size]]
-    found = np.diff(place[meets], prepend=0).astype(np.int32)
-    return found, again.astype(np.int32), n.astype(np.int32), longer
+    return {
+        "gaps": np.diff(place[meets], prepend=0).astype(np.int32), "codes": again.astype(np.int32),
+        "n": n.astype(np.int32), "first": numbers[pairs // size], "last": numbers[pairs % size],
+    }
 
 
 def _first_of_each(rows: DataFrame, top: int) -> DataFrame:
@@ -216,60 +223,61 @@ def collocations(
         seed += 1
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     words = counts.filter(F.col("f") >= least).select(number, "lang", "word", "f")
-    phrases = {1: materialize(words, "frequent-words")}
+    phrases = {1: materialize(number_rows(words, ["w0"], "id"), "frequent-words")}
+    below = 0
     for k in range(1, longest):
-        runs = extend(runs, phrases[k], k, most_sent)
-        phrases[k + 1] = count_phrases(runs, k + 1, least, f"frequent-{k + 1}")
-
-    named = {1: broadcast_checked(phrases[1].withColumnRenamed("word", "phrase"))}
-    for k in range(2, longest + 1):
-        named[k] = materialize(_cuts(phrases[k], named, k), f"scored-{k}")
-    candidates = []
+        key = ("w0",) if k == 1 else ("first", "last")
+        runs = extend(runs, phrases[k], key, below, most_sent, f"phrases-{k + 1}")
+        below = phrases[k].count()
+        phrases[k + 1] = count_phrases(runs, least, f"frequent-{k + 1}")
+
+    counted = F.array("f")
+    named = phrases[1].select(
+        "id", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last_word"),
+        counted.alias("beginnings"), counted.alias("ends"),
+    )
+    union = None
     for k in range(2, longest + 1):
-        kept = named[k]
-        # a longer candidate reaches all its parts step by step, with the largest of their counts
-        if k < longest:
-            kept = _not_absorbed(kept, [named[m] for m in range(k + 1, longest + 1)], k)
-        candidates.append(kept.select("lang", "phrase", F.col("f").alias("a"), "l", "r", "score"))
-    union = candidates[0]
-    for more in candidates[1:]:
-        union = union.unionByName(more)
+        named = materialize(_named(phrases[k], named), f"named-{k}")
+        kept = named if k == longest else _not_absorbed(named, phrases[k + 1])
+        scored = kept.select("lang", "phrase", F.col("f").alias("a"), _lowest_cut(k).alias("cut"))
+        scored = scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+        union = scored if union is None else union.unionByName(scored)
     ranked = _first_of_each(union, top).join(totals, "lang")
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def _cuts(frequent: DataFrame, named: dict[int, DataFrame], k: int) -> DataFrame:
-    """``frequent`` with lang, phrase, and l, r, score of its lowest-scoring cut."""
-    rows, cuts = frequent, []
-    for cut in range(1, k):
-        for side, names in (("l", _key(k)[:cut]), ("r", _key(k)[cut:])):
-            part = named[len(names)]
-            columns = [F.col(own).alias(w) for own, w in zip(_key(len(names)), names)]
-            columns.append(F.col("f").alias(f"{side}{cut}"))
-            if cut == 1:
-                columns += [F.col("phrase").alias(f"{side}_phrase")] + [F.col("lang")] * (side == "l")
-            rows = rows.join(part.select(*columns), names)
-        cuts.append(
-            F.struct(
-                _score("f", f"l{cut}", f"r{cut}").alias("score"), F.lit(cut).alias("cut"),
-                F.col(f"l{cut}").alias("l"), F.col(f"r{cut}").alias("r"),
-            )
-        )
-    lowest = F.array_min(F.array(*cuts)).alias("lowest")
-    phrase = F.concat_ws(" ", "l_phrase", "r_phrase").alias("phrase")
-    return rows.select(*_key(k), "f", "lang", phrase, lowest).select(
-        *_key(k), "f", "lang", "phrase", "lowest.l", "lowest.r", "lowest.score"
+def _named(frequent: DataFrame, below: DataFrame) -> DataFrame:
+    """Frequent phrases with their words, and the counts of all their beginnings and ends.
+
+    ``below`` has the same of the phrases one word shorter.
+    """
+    first = below.select(F.col("id").alias("first"), "lang", "phrase", "beginnings")
+    last = below.select(F.col("id").alias("last"), "last_word", "ends")
+    rows = frequent.join(broadcast_checked(first), "first").join(broadcast_checked(last), "last")
+    whole = F.array("f")
+    return rows.select(
+        "id", "lang", "f", F.concat_ws(" ", "phrase", "last_word").alias("phrase"), "last_word",
+        F.concat("beginnings", whole).alias("beginnings"), F.concat("ends", whole).alias("ends"),
     )
 
 
-def _not_absorbed(rows: DataFrame, longer: list[DataFrame], k: int) -> DataFrame:
-    """The rows without those that a longer candidate has too large a share of."""
-    around = None
-    for table in longer:
-        width = sum(c.startswith("w") for c in table.columns)
-        for at in range(width - k + 1):
-            part = table.select(*[F.col(f"w{at + i}").alias(f"w{i}") for i in range(k)], F.col("f").alias("most"))
-            around = part if around is None else around.unionByName(part)
-    around = around.groupBy(*_key(k)).agg(F.max("most").alias("most"))
+def _lowest_cut(k: int) -> Column:
+    """(score, cut, l, r) of the lowest-scoring cut of a phrase of k words, the first of equal ones."""
+    cuts = []
+    for cut in range(1, k):
+        left, right = f"beginnings[{cut - 1}]", f"ends[{k - cut - 1}]"
+        parts = F.expr(left).alias("l"), F.expr(right).alias("r")
+        cuts.append(F.struct(_score("f", left, right).alias("score"), F.lit(cut).alias("cut"), *parts))
+    return F.array_min(F.array(*cuts))
+
+
+def _not_absorbed(rows: DataFrame, longer: DataFrame) -> DataFrame:
+    """The rows without those that a longer candidate has too large a share of.
+
+    Of the longer candidates around a phrase those with one word more are the most frequent.
+    """
+    parts = longer.select("f", F.explode(F.array("first", "last")).alias("id"))
+    around = parts.groupBy("id").agg(F.max("f").alias("most"))
     share = 100 * F.coalesce("most", F.lit(0)) < ABSORBED * F.col("f")
-    return rows.join(around, _key(k), "left").filter(share)
+    return rows.join(around, "id", "left").filter(share)
