@@ -35,6 +35,24 @@ def micro_f1(df: DataFrame, truth: str = "y", prediction: str = "p") -> DataFram
     return counts.withColumn("f1", F.try_divide(twice, twice + F.col("fp") + F.col("fn")))
 
 
+def micro_f1_sets(df: DataFrame, truth: str = "truth", prediction: str = "p") -> DataFrame:
+    """Micro-averaged F1 of rows that hold their true and predicted labels as sets.
+
+    The counts come from the labels that are there; the zeros of all other labels are never built. A
+    missing list has no labels.
+    """
+    none = F.array().cast(df.schema[truth].dataType)
+    t, p = (F.array_distinct(F.coalesce(c, none)) for c in (truth, prediction))
+    both = F.size(F.array_intersect(t, p)).cast("long")
+    sums = df.agg(
+        F.coalesce(F.sum(both), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.size(p) - both), F.lit(0)).alias("fp"),
+        F.coalesce(F.sum(F.size(t) - both), F.lit(0)).alias("fn"),
+    )
+    twice = 2.0 * F.col("tp")
+    return sums.withColumn("f1", F.try_divide(twice, twice + F.col("fp") + F.col("fn")))
+
+
 def sibling_accuracy(
     tested: DataFrame, all_rows: DataFrame, key: str, truth: str = "genres_number",
     prediction: str = "prediction",

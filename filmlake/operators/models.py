@@ -10,7 +10,6 @@ from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
-    LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
@@ -274,50 +273,3 @@ def label_matrix(df: DataFrame, key: str, genres: str, names: Sequence[str]) ->
         ]
     )
     return df.select(key, F.inline(cells))
-
-
-def multilabel_logistic(
-    train: DataFrame, test: DataFrame, key: str, genres: str, names: Sequence[str],
-    threshold: float = 0.3, max_iter: int = 100, parallelism: int = 8,
-) -> DataFrame:
-    """One logistic regression per genre: (key, genre, y, probability, p, p_low).
-
-    ``p`` is the default 0.5 decision and ``p_low`` the one at ``threshold``. The vectors are
-    written once and every fit reads them; each fit is a distributed job of its own, and
-    ``parallelism`` of them are submitted at a time so that short iterations overlap.
-    """
-    names = sorted(names)
-    train = materialize(train.select("features", genres), "train-vectors")
-    penalty = 1.0 / max(train.count(), 1)
-
-    def fit(name: str):
-        rows = train.withColumn("y", F.array_contains(genres, name).cast("double"))
-        return LogisticRegression(
-            labelCol="y", regParam=penalty, elasticNetParam=0.0, standardization=False,
-            maxIter=max_iter, tol=1e-4,
-        ).fit(rows)
-
-    fitted = _in_threads(train, fit, names, parallelism)
-    scored = test.select(key, genres, "features")
-    for i, model in enumerate(fitted):
-        chance = vector_to_array(F.col("probability"))
-        scored = (
-            model.transform(scored)
-            .withColumn(f"_p{i}", F.coalesce(F.get(chance, F.lit(1)), F.lit(0.0)))
-            .drop("rawPrediction", "probability", "prediction")
-        )
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("genre"),
-                F.array_contains(genres, name).cast("int").alias("y"),
-                F.col(f"_p{i}").alias("probability"),
-            )
-            for i, name in enumerate(names)
-        ]
-    )
-    return scored.select(key, F.inline(cells)).select(
-        "*",
-        (F.col("probability") > 0.5).cast("int").alias("p"),
-        (F.col("probability") >= threshold).cast("int").alias("p_low"),
-    )

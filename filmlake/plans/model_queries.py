@@ -10,11 +10,13 @@ from ..functions.lists import as_list, first_n
 from ..functions.money import money_value, profit
 from ..functions.text import clean_text, clean_tokens, without_words
 from ..operators import models as m
+from ..operators import multilabel as ml
 from ..operators.genres import genre_list
 from ..operators.joins import complete, well_rated
 from ..operators.knn import knn_predict, nearest_neighbours, standardise
-from ..operators.metrics import micro_f1, tolerance_accuracy
+from ..operators.metrics import micro_f1_sets, tolerance_accuracy
 from ..operators.rare import remove_rare
+from ..operators.tfidf import fit_vocabulary, term_counts, weighted_terms
 from ..session import materialize
 from . import views as v
 from .list_queries import kept_films
@@ -301,28 +303,45 @@ def _genre_tokens(spark, sf_dir):
 
 
 def _multilabel(spark, sf_dir, counts=False):
-    train, test, names = _genre_tokens(spark, sf_dir)
-    encode = m.count_vectors(train, "tokens") if counts else m.tfidf_vectors(train, "tokens", 0.8, 10000)
-    return m.multilabel_logistic(encode(train), encode(test), "film", "genres", names)
+    """(film, labels, first, chances) of the test films, and the numbered genres."""
+    kept, genres = kept_films(spark, sf_dir, clean_text(F.col("plot")).alias("plot"))
+    words = without_words(clean_tokens(F.col("plot")), STOP_WORDS).alias("tokens")
+    in_train = m.in_train(F.col("film"), 0.8).alias("train")
+    films = materialize(kept.select("film", "genres", words, in_train, F.lit(1).alias("mult")), "tokens")
+    names = genres.select(F.col("genre").alias("label"), "idx")
+    if counts:
+        terms = ml.number_terms(fit_vocabulary(films.filter("train"), "tokens"), ["term"])
+        cells = term_counts(films, "film", "tokens").withColumnRenamed("tf", "value")
+    else:
+        terms = fit_vocabulary(films.filter("train"), "tokens", max_df=0.8, max_features=10_000)
+        terms = ml.number_terms(terms, [F.col("total").desc(), "term"])
+        cells = weighted_terms(films, terms, "film", "tokens").withColumnRenamed("weight", "value")
+    cells = cells.select("film", "term", "value")
+    rows = ml.pack_rows(cells, films.select("film", "train", "genres"), terms, names, "film", "genres")
+    sizes = terms.count(), names.count()
+    train, test = rows.filter("train"), rows.filter(~F.col("train"))
+    return ml.predicted_chances(train, test, ("film", "labels"), *sizes), names
 
 
 def multilabel_lr(spark, sf_dir):
-    out = _multilabel(spark, sf_dir)
+    chances, names = _multilabel(spark, sf_dir)
+    out = ml.chance_rows(chances, names, "film")
     return out.select("film", "genre", "y", F.round("probability", 6).alias("probability"), "p", "p_low")
 
 
-def _f1_both(scored):
-    scored = materialize(scored, "scored")
-    default = micro_f1(scored, "y", "p").withColumn("threshold", F.lit(0.5))
-    return default.unionByName(micro_f1(scored, "y", "p_low").withColumn("threshold", F.lit(0.3)))
+def _f1_both(spark, sf_dir, counts=False):
+    """F1 of both thresholds from the sets of labels; no row for each film and genre is made."""
+    sets = ml.label_sets(_multilabel(spark, sf_dir, counts)[0])
+    default = micro_f1_sets(sets, "truth", "p").withColumn("threshold", F.lit(0.5))
+    return default.unionByName(micro_f1_sets(sets, "truth", "p_low").withColumn("threshold", F.lit(0.3)))
 
 
 def multilabel_f1(spark, sf_dir):
-    return _f1_both(_multilabel(spark, sf_dir))
+    return _f1_both(spark, sf_dir)
 
 
 def multilabel_f1_counts(spark, sf_dir):
-    return _f1_both(_multilabel(spark, sf_dir, counts=True))
+    return _f1_both(spark, sf_dir, counts=True)
 
 
 def selected_bayes(spark, sf_dir):
