@@ -34,6 +34,8 @@ RUN_CHARS = 2_000_000
 GROUP_RUNS = 4
 # So many frequent phrases at most are sent to every task, 8 bytes each; more of them are joined.
 MOST_SENT = 6_000_000
+# The square of fewer numbers than this has at most 63 bits.
+MOST_BELOW = 3_000_000_000
 # Rankings meet in this many times fewer groups from one round to the next.
 FAN_IN = 16
 
@@ -92,14 +94,20 @@ def _one_row(**columns: np.ndarray | pa.Array | str | int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({name: cell(value) for name, value in columns.items()})
 
 
-def count_phrases(runs: DataFrame, least: int, name: str) -> DataFrame:
+def count_phrases(runs: DataFrame, least: int, below: int, name: str) -> DataFrame:
     """(first, last, f, id), written: the phrases that occur ``least`` times, numbered in order.
 
-    A phrase is the pair of its first and its last words but one, by their numbers one length below.
+    A phrase is the pair of its first and its last words but one, by their numbers among the ``below``
+    phrases one length below. A pair is shuffled as one number where that has 63 bits.
     """
     each = runs.select(F.inline(F.arrays_zip("first", "last", "n")))
-    counts = each.groupBy("first", "last").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    return materialize(number_rows(counts, ["first", "last"], "id"), name)
+    if below < MOST_BELOW:
+        pair = (F.col("first") * F.lit(below) + F.col("last")).alias("pair")
+        parts = F.expr(f"pair div {max(below, 1)}").alias("first"), (F.col("pair") % max(below, 1)).alias("last")
+        counts = each.select(pair, "n").groupBy("pair").agg(F.sum("n").alias("f")).select(*parts, "f")
+    else:
+        counts = each.groupBy("first", "last").agg(F.sum("n").alias("f"))
+    return materialize(number_rows(counts.filter(F.col("f") >= least), ["first", "last"], "id"), name)
 
 
 def extend(runs: DataFrame, frequent: DataFrame, key: tuple[str, ...], below: int, most_sent: int, name: str) -> DataFrame:
@@ -229,7 +237,7 @@ def collocations(
         key = ("w0",) if k == 1 else ("first", "last")
         runs = extend(runs, phrases[k], key, below, most_sent, f"phrases-{k + 1}")
         below = phrases[k].count()
-        phrases[k + 1] = count_phrases(runs, least, f"frequent-{k + 1}")
+        phrases[k + 1] = count_phrases(runs, least, below, f"frequent-{k + 1}")
 
     counted = F.array("f")
     named = phrases[1].select(

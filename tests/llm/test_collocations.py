@@ -61,6 +61,7 @@ COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 @pytest.mark.parametrize("longest", [2, 3, 4])
 def test_against_brute_force(spark, rows, monkeypatch, sent, longest):
     monkeypatch.setattr(collocations, "RUN_CHARS", 300)
+    monkeypatch.setattr(collocations, "MOST_BELOW", sent)
     data = corpus()
     docs = spark.createDataFrame(data, "lang string, text string").repartition(3)
     got = collocations.collocations(docs, top=25, least=4, longest=longest, most_sent=sent)
