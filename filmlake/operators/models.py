@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    LinearSVC,
     MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
@@ -23,14 +20,11 @@ from pyspark.ml.feature import (
     UnivariateFeatureSelector,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
 MAX_MODEL_FEATURES = 5_000_000
 MAX_CLASSES = 1_000
 SPARK_MAX_TREE_DEPTH = 30
@@ -165,12 +159,6 @@ def fit_predict(
     )
 
 
-def _in_threads(df: DataFrame, work, items: Sequence, parallelism: int) -> list:
-    """Submit one Spark job per item from a few driver threads; results keep the item order."""
-    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(df.sparkSession)(work), items)
-
-
 def gaussian_bayes() -> NaiveBayes:
     """Gaussian naive Bayes."""
     return NaiveBayes(modelType="gaussian", featuresCol="features")
@@ -184,52 +172,6 @@ def multinomial_bayes(alpha: float = 1.0) -> NaiveBayes:
     return NaiveBayes(modelType="multinomial", smoothing=alpha, featuresCol="features")
 
 
-def fit_linear_svm(
-    train: DataFrame, label: str, cost: float = 2.0, max_iter: int = 200, parallelism: int = 8
-) -> list[tuple]:
-    """Linear SVM with penalty ``cost``, one class against the rest, several at a time.
-
-    Returns (label value, weights, intercept) per class; a class is one distributed fit over
-    the same written vectors.
-    """
-    train = materialize(train.select("features", label), "svm-train")
-    values = class_values(train, label)
-    penalty = 1.0 / (cost * max(train.count(), 1))
-
-    def fit(value):
-        rows = train.withColumn("_y", (F.col(label) == F.lit(value)).cast("double"))
-        model = LinearSVC(labelCol="_y", maxIter=max_iter, regParam=penalty, tol=1e-4).fit(rows)
-        return value, [float(w) for w in model.coefficients], float(model.intercept)
-
-    return _in_threads(train, fit, values, parallelism)
-
-
-def predict_linear_svm(df: DataFrame, classes: list[tuple], prediction: str = "predicted") -> DataFrame:
-    """Value of the class with the largest margin, ties to the smaller value.
-
-    All margins come from one expression over an array of the fitted planes, so the plan does
-    not grow with the number of classes.
-    """
-    planes = F.array(
-        *[
-            F.struct(
-                F.lit(-i).alias("rank"), F.array(*[F.lit(w) for w in weights]).alias("w"),
-                F.lit(intercept).alias("b"), F.lit(value).alias("value"),
-            )
-            for i, (value, weights, intercept) in enumerate(classes)
-        ]
-    )
-    x = vector_to_array(F.col("features"))
-
-    def margin(plane):
-        products = F.zip_with(F.col("_x"), plane["w"], lambda a, b: a * b)
-        total = F.aggregate(products, plane["b"], lambda a, b: a + b)
-        return F.struct(total.alias("margin"), plane["rank"].alias("rank"), plane["value"].alias("value"))
-
-    best = F.array_max(F.transform(planes, margin))
-    return df.withColumn("_x", x).withColumn(prediction, best["value"]).drop("_x")
-
-
 def perceptron(hidden: Sequence[int], max_iter: int = 200, seed: int = 9) -> MultilayerPerceptronClassifier:
     """Perceptron with the given hidden layers, trained by L-BFGS.
 

@@ -11,6 +11,7 @@ from ..functions.money import money_value, profit
 from ..functions.text import clean_text, clean_tokens, without_words
 from ..operators import models as m
 from ..operators import multilabel as ml
+from ..operators import svm
 from ..operators.genres import genre_list
 from ..operators.joins import complete, well_rated
 from ..operators.knn import knn_predict, nearest_neighbours, standardise
@@ -138,10 +139,10 @@ GAUSSIAN_SQL = with_ctes(GAUSSIAN_CTE, select="SELECT film_key, label, predicted
 
 
 def linear_svm(spark, sf_dir):
-    train, test = _standard(spark, sf_dir)
-    planes = m.fit_linear_svm(_vectors(train), "label")
-    out = m.predict_linear_svm(_vectors(test), planes)
-    return out.select("film_key", "label", "predicted")
+    """Votes of the planes between all pairs of labels, C = 2."""
+    train, test = (df.withColumn("x", F.array(*FEATURES)) for df in _standard(spark, sf_dir))
+    planes = svm.fit(train, "x", "label", m.class_values(train, "label"))
+    return svm.votes(test, planes, "x").select("film_key", "label", "predicted")
 
 
 def _within_four(predicted, prediction):

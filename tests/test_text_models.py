@@ -192,15 +192,6 @@ def test_classifiers_predict_label_values(vectors, make):
     assert key(out) == key(again)
 
 
-def test_linear_svm(spark, vectors):
-    planes = models.fit_linear_svm(vectors, "y", max_iter=10)
-    assert [value for value, _, _ in planes] == [0.0, 2.5, 5.0]
-    out = models.predict_linear_svm(vectors, planes)
-    assert out.filter("predicted = y").count() > 230
-    tie = models.predict_linear_svm(vectors.limit(1), [(7, [0.0] * 8, 1.0), (3, [0.0] * 8, 1.0)])
-    assert tie.first().predicted == 7
-
-
 def test_multi_hot_vector_has_every_element(vectors):
     sizes = {r.features.size for r in vectors.select("features").collect()}
     assert sizes == {8}
