@@ -42,6 +42,8 @@ class _WordIds(dict):
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.model, self.table = tokenizer.model, byte_characters()
+        # a text that may hold one of these goes through the tokenizer as a whole
+        self.added = [token.content.lower() for token in tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, unit: str) -> bytes:
         if len(self) >= REMEMBERED:
@@ -59,8 +61,9 @@ def token_bytes(texts: list[str], tokenizer: Tokenizer, words: _WordIds) -> list
     """The ids of each text, without special tokens, as little-endian unsigned 32-bit integers."""
     found = []
     for text in texts:
-        if PLAIN.fullmatch(text):
-            found.append(b"".join(map(words.__getitem__, text.lower().split())))
+        lower = text.lower() if PLAIN.fullmatch(text) else None
+        if lower is not None and not any(token in lower for token in words.added):
+            found.append(b"".join(map(words.__getitem__, lower.split())))
         else:
             ids = tokenizer.encode(text, add_special_tokens=False).ids
             found.append(np.array(ids, "<u4").tobytes())
@@ -93,7 +96,6 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
         words = _WordIds(tokenizer)
         for batch in batches:
             rows, pieces, starts, ids = [], [], [], []

@@ -12,9 +12,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=60, deadline=None)
