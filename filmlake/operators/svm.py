@@ -88,7 +88,8 @@ def _pass(rows: DataFrame, planes: np.ndarray, widths: np.ndarray, live: np.ndar
                     found[pair] += _summed(x[part], planes[pair], y, widths[pair], cost)
         yield batch_of(found.ravel())
 
-    flat = added(rows.select("x", "c").mapInArrow(run, SCHEMA), n * (3 + d + d * d)).reshape(n, -1)
+    sums = rows.select("x", "c").mapInArrow(run, SCHEMA)
+    flat = added(sums, n * (3 + d + d * d), rows.rdd.getNumPartitions()).reshape(n, -1)
     sent.unpersist()
     return _Sums(*flat[:, :3].T, flat[:, 3 : 3 + d], flat[:, 3 + d :].reshape(n, d, d))
 

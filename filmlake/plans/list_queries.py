@@ -249,9 +249,9 @@ c AS (
 )
 
 
-def _chain_lists(spark, sf_dir):
+def _chain_lists(spark, sf_dir, leading=None):
     return materialize(
-        film_chain(spark, sf_dir).select(
+        film_chain(spark, sf_dir, leading).select(
             "film_key", "cast_member", "genre", "director", "production_company", "weighted_points",
             "audience_percent",
         ),
@@ -360,7 +360,7 @@ MULTI_HOT_SQL = with_ctes(
 
 def feature_concat(spark, sf_dir):
     """Director, cast, genre and company blocks of the leading list items, side by side."""
-    films = _chain_lists(spark, sf_dir).select(
+    films = _chain_lists(spark, sf_dir, leading=3).select(
         "film_key",
         first_n(F.col("director"), 2).alias("director"),
         first_n(F.col("cast_member"), 3).alias("cast_member"),

@@ -185,7 +185,7 @@ KNN_ACCURACY_SQL = with_ctes(
 
 def _success(spark, sf_dir, target, rare):
     """Films with the leading people and genres, rare ones removed, and a numeric target."""
-    chain = film_chain(spark, sf_dir)
+    chain = film_chain(spark, sf_dir, leading=4)
     if target == "profit":
         year = iso_year(F.col("publication_date"))
         chain = complete(chain, ["ncost", "nbox", "publication_date"]).withColumn(

@@ -176,8 +176,12 @@ rated AS (
 RATINGS_JOIN_SQL = with_ctes(RATED_CTE, select="SELECT * FROM rated")
 
 
-def film_chain(spark, sf_dir, answers=None):
-    """Films x ratings x found enrichment with credits and awards points."""
+def film_chain(spark, sf_dir, leading=None):
+    """Films x ratings x found enrichment with credits and awards points.
+
+    With ``leading`` only so many first credits of each film are read.
+    """
+    credits = v.credits(spark, sf_dir) if leading is None else v.leading_credits(spark, sf_dir, leading)
     sums = v.written_sums(spark, sf_dir)
     films = v.films(spark, sf_dir, sums)
     company = v.table(spark, sf_dir, "orders").join(
@@ -187,7 +191,7 @@ def film_chain(spark, sf_dir, answers=None):
     chain = join_chain(films, v.ratings(spark, sf_dir, sums).drop("film_key"), enrichment)
     return (
         chain.drop("imdb_id", "imdb_id_y")
-        .join(v.credits(spark, sf_dir), "film_key")
+        .join(credits, "film_key")
         .join(company, "film_key")
         .withColumn("weighted_points", awards_score(F.col("omdb_awards")))
     )

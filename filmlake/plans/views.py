@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.claims import CLAIM_NAMES, extract_claims, parse_entities
@@ -218,13 +219,13 @@ def films(spark: SparkSession, sf_dir: str, sums: DataFrame | None = None) -> Da
     return table(spark, sf_dir, "orders").select(*_exprs(_FILMS)).join(cost, "film_key", "left")
 
 
-def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cast, directors and genres of each film, one entry per line item, in order."""
-    lines = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    rows = lines.join(part, lines.l_partkey == part.p_partkey)
+_ENTRY_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+
+
+def _collected(rows: DataFrame) -> DataFrame:
+    """(film_key, cast_member, director, genre): the lists of line items with their parts, in order."""
     entry = F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        *_ENTRY_ORDER,
         F.concat(F.lit("P"), F.col("l_partkey")).alias("c"),
         F.concat(F.lit("S"), F.col("l_suppkey")).alias("d"),
         F.col("p_type").alias("g"),
@@ -232,7 +233,6 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = rows.groupBy(F.col("l_orderkey").alias("film_key")).agg(
         F.sort_array(F.collect_list(entry)).alias("e")
     )
-
     return lists.select(
         "film_key",
         F.col("e.c").alias("cast_member"),
@@ -241,6 +241,29 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_parts(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return lines.join(part, lines.l_partkey == part.p_partkey)
+
+
+def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cast, directors and genres of each film, one entry per line item, in order."""
+    return _collected(_with_parts(spark, sf_dir, table(spark, sf_dir, "lineitem")))
+
+
+def leading_credits(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The first ``n`` entries of each film's credits.
+
+    The rank is taken before the lists are built, and each task drops what cannot be among the
+    first ``n`` before it shuffles, so a film with very many line items sends few of them. Parts
+    are joined first, as in :func:`credits`: only line items with a part are entries.
+    """
+    rows = _with_parts(spark, sf_dir, table(spark, sf_dir, "lineitem").select("l_orderkey", *_ENTRY_ORDER))
+    first = W.partitionBy("l_orderkey").orderBy(*_ENTRY_ORDER)
+    ranked = rows.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= n)
+    return _collected(ranked.drop("_rank"))
+
+
 FILMS_CTE = f"""
 line_sums AS (SELECT l_orderkey AS film_key, {_sql(_SUMS)} FROM lineitem GROUP BY l_orderkey),
 ratings AS (SELECT {_sql(_RATINGS)} FROM line_sums),

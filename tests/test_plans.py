@@ -58,9 +58,21 @@ def testfirst_places_are_hash_aggregated(spark):
 
 
 def test_leading_credits_are_cut_before_the_shuffle(spark):
-    text = plan(views.credits(spark, SF_DIR))
+    text = plan(views.leading_credits(spark, SF_DIR, 3))
     below = text[text.index("Exchange hashpartitioning(l_orderkey"):]
     assert "WindowGroupLimit" in below
+    # one shuffle serves the ranking and the lists
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+def test_leading_credits_are_the_first_of_all(spark):
+    whole = {r.film_key: r for r in views.credits(spark, SF_DIR).collect()}
+    for n in (1, 4):
+        got = views.leading_credits(spark, SF_DIR, n).collect()
+        assert len(got) == len(whole)
+        for r in got:
+            w = whole[r.film_key]
+            assert (r.cast_member, r.director, r.genre) == (w.cast_member[:n], w.director[:n], w.genre[:n])
 
 
 LAZY = [
