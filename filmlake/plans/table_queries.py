@@ -320,8 +320,10 @@ WHERE starts_with(f.imdb_id, 'tt') AND p.film % 10 <> 9""",
 
 
 def enrich_todo(spark, sf_dir):
-    """The JSON length of a film's row, without the floating-point columns, ranks it."""
-    films = v.films(spark, sf_dir).filter(F.col("imdb_id").startswith("tt")).drop("nbox", "ncost")
+    """The JSON length of a film's whole row ranks it; money counts with a fixed number of digits."""
+    films = v.films(spark, sf_dir).filter(F.col("imdb_id").startswith("tt")).withColumns(
+        {"nbox": F.col("nbox").cast("decimal(18,2)"), "ncost": F.col("ncost").cast("decimal(20,4)")}
+    )
     todo = films_to_fetch(films, v.answers(spark, sf_dir), quota=1000)
     return todo.select("imdb_id", "row_len")
 
@@ -333,7 +335,9 @@ ENRICH_TODO_SQL = with_ctes(
 SELECT imdb_id, CAST(length('{"film_key":' || film_key || ',"wikidata_id":"' || wikidata_id
   || '","imdb_id":"' || imdb_id || '"'
   || coalesce(',"rotten_tomatoes_id":"' || rotten_tomatoes_id || '"', '')
-  || ',"publication_date":"' || publication_date || '"}') AS INTEGER) AS row_len
+  || ',"publication_date":"' || publication_date || '"'
+  || coalesce(',"nbox":' || CAST(nbox AS DECIMAL(18,2)), '')
+  || coalesce(',"ncost":' || CAST(ncost AS DECIMAL(20,4)), '') || '}') AS INTEGER) AS row_len
 FROM films WHERE starts_with(imdb_id, 'tt') AND imdb_id NOT IN (SELECT imdb_id FROM plots)
 ORDER BY row_len DESC, imdb_id LIMIT 1000""",
 )
