@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +103,14 @@ def edited(text: str, next_text: str) -> str:
     return text[: len(text) - cut] + next_text[:cut]
 
 
+def _position(docs: DataFrame, doc_id: str) -> Column:
+    """A number that never falls where identifiers rise; of text the first six bytes make it."""
+    if not isinstance(docs.schema[doc_id].dataType, T.StringType):
+        return F.col(doc_id).cast("double")
+    start = F.rpad(F.hex(F.substring(F.encode(F.col(doc_id), "UTF-8"), 1, 6)), 12, "0")
+    return F.conv(start, 16, 10).cast("double")
+
+
 def in_reading_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, text, bucket, guest), so laid out that each row's successor follows it in its task.
 
@@ -115,7 +123,7 @@ def in_reading_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.coalesce(F.col(doc_id).cast("double"), F.lit(-1e300)).alias("_at"),
+        F.coalesce(_position(docs, doc_id), F.lit(-1e300)).alias("_at"),
     )
     ids = rows.select("_at", "doc_id")
     parts = partitions(spark)

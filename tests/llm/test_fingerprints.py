@@ -63,16 +63,21 @@ ROWS = [
 ]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
 @pytest.mark.parametrize("partitions", ["1", "3", "8"])
-def test_every_row_against_its_edited_text(spark, partitions):
+def test_every_row_against_its_edited_text(spark, partitions, kind):
+    named = {None: None, 7: "doc-é", 10: "", 8: "doc-b", -2: "doc", 3: "Zebra", 5: "doc-éa"}
+    rows = [(named[i] if kind == "string" else i, t) for i, t in ROWS]
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        docs = spark.createDataFrame([(i, t, "c") for i, t in ROWS], "doc_id long, text string, guest string")
+        docs = spark.createDataFrame([(i, t, "c") for i, t in rows], f"doc_id {kind}, text string, guest string")
         got = fp.compare_edited(docs).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    order = sorted(rows, key=lambda r: r[1] or "")
+    bytes_of = lambda i: i.encode() if isinstance(i, str) else i
+    order = sorted(order, key=lambda r: (r[0] is not None, bytes_of(r[0]) if r[0] is not None else 0), reverse=True)
     want = []
     for k, (i, t) in enumerate(order):
         t, after = t or "", order[(k + 1) % len(order)][1] or ""
