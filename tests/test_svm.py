@@ -118,3 +118,27 @@ def test_no_rows_one_class_and_too_many_numbers(spark, monkeypatch):
     monkeypatch.setattr(svm, "MOST_NUMBERS", 3)
     with pytest.raises(ValueError, match="too many"):
         svm.fit(df, "x", "y", [3, 4])
+
+
+def test_votes_equal_sql_over_the_planes(spark):
+    """The predictions again, by SQL from the fitted planes."""
+    import duckdb
+    import pandas as pd
+
+    draw = np.random.default_rng(11)
+    rows = [(i, draw.normal(size=2).round(3).tolist(), int(draw.integers(0, 4))) for i in range(120)]
+    first, second, _, _ = svm._pairs(4)
+    weights, shifts = draw.normal(size=(6, 2)).round(3), draw.normal(size=6).round(3)
+    planes = svm.Planes([10, 20, 30, 40], first, second, weights, shifts, np.zeros(6), np.zeros(6))
+    got = {r.id: r.predicted for r in svm.votes(frame(spark, rows), planes, "x").collect()}
+    points = pd.DataFrame([(i, *x) for i, x, _ in rows], columns=["id", "x0", "x1"])  # noqa: F841
+    table = pd.DataFrame(  # noqa: F841
+        {"a": 10 * (first + 1), "b": 10 * (second + 1), "w0": weights[:, 0], "w1": weights[:, 1], "s": shifts}
+    )
+    want = duckdb.sql("""
+        WITH won AS (
+          SELECT id, CASE WHEN x0 * w0 + x1 * w1 + s > 0 THEN a ELSE b END AS c FROM points CROSS JOIN "table"
+        ), counted AS (SELECT id, c, count(*) AS n FROM won GROUP BY id, c)
+        SELECT id, c FROM counted QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, c) = 1
+    """).fetchall()
+    assert got == dict(want)
