@@ -1,4 +1,4 @@
-"""Threshold-scaled sketches: every shingle hash below a share of the hash range is kept, all of short texts."""
+"""Threshold-scaled sketches: every shingle hash below a fixed share of the hash range is kept, of every text."""
 
 from __future__ import annotations
 
@@ -16,32 +16,30 @@ from pyspark.sql import types as T
 from .common import partitions, slices
 from .shingles import WORDS, shingle_sets
 
-# One hash in so many is kept of a long document; of one with fewer than MOST all, else as large a share
-# (a half, a quarter) as keeps at most MOST.
-SCALE = 8
-MOST = 256
+# One hash in so many is kept, of short and long documents alike.
+SCALE = 2
 # Bytes of a kept hash in a fingerprint.
 HASH_BYTES = 6
+# Rows of a range of identifiers that are put in order together, and the most ranges.
+RANGE_ROWS = 10_000
+MOST_RANGES = 20_000
 
 
-def _written(count: int, check: str, kept: np.ndarray, least: int, scale: int) -> str:
-    """The fingerprint of the 64-bit ``kept``, all hashes of a set below 2 ** 64 / least, in order."""
-    while least < scale and len(kept) > MOST:
-        least *= 2
-        kept = kept[kept < np.uint64((1 << 64) // least)]
+def _written(count: int, check: str, kept: np.ndarray, scale: int) -> str:
+    """The fingerprint of the 64-bit ``kept``, all hashes of a set below 2 ** 64 / scale, in order."""
     raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
-    return f"{count}:{check}:{least}:{base64.b64encode(raw).decode()}"
+    return f"{count}:{check}:{scale}:{base64.b64encode(raw).decode()}"
 
 
 def fingerprint(shingles: np.ndarray, scale: int = SCALE) -> str:
-    """``<shingles>:<check>:<share>:<kept hashes>`` of a set of 64-bit shingle hashes.
+    """``<shingles>:<check>:<scale>:<kept hashes>`` of a set of 64-bit shingle hashes.
 
-    The kept hashes are those below 2 ** 64 / share, in order, base64 of ``HASH_BYTES`` bytes each. The
-    share is the first of 1, 2, 4, up to ``scale`` (a power of two) that keeps at most ``MOST``, so it
-    follows from the set alone. The check is a digest of the whole set, by which sets that kept the
-    same hashes are still told apart.
+    The kept hashes are those below 2 ** 64 / scale, in order, base64 of ``HASH_BYTES`` bytes each.
+    The check is a digest of the whole set, by which sets that kept the same hashes are still told
+    apart.
     """
-    return _written(len(shingles), hashlib.md5(shingles.tobytes()).hexdigest()[:12], shingles, 1, scale)
+    kept = shingles if scale == 1 else shingles[shingles < np.uint64((1 << 64) // scale)]
+    return _written(len(shingles), hashlib.md5(shingles.tobytes()).hexdigest()[:12], kept, scale)
 
 
 def share_of(print_: str) -> int:
@@ -58,7 +56,7 @@ def kept_hashes(print_: str) -> np.ndarray:
 
 
 def _alike(left: str, right: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """The hashes of both that the fingerprint with the smaller share would keep, and that share."""
+    """The hashes of both that the fingerprint with the larger scale would keep, and that scale."""
     share = max(share_of(left), share_of(right))
     limit = np.uint64((1 << 8 * HASH_BYTES) // share)
     a, b = kept_hashes(left), kept_hashes(right)
@@ -68,19 +66,19 @@ def _alike(left: str, right: str) -> tuple[np.ndarray, np.ndarray, int]:
 def merged(left: str, right: str) -> str:
     """The fingerprint of both documents' shingles together.
 
-    The kept hashes are exactly those of the union; its number of shingles is their estimate
-    from the share that is kept, and the check is made from both.
+    The kept hashes are exactly those of the union; its number of shingles is estimated from them,
+    and the check is made from both. Fingerprints of two scales give one of the larger.
     """
     if left.rsplit(":", 1)[0] == right.rsplit(":", 1)[0]:
         return left
     a, b, share = _alike(left, right)
     kept = np.union1d(a, b)
     check = hashlib.md5("|".join(sorted((left, right))).encode()).hexdigest()[:12]
-    return _written(len(kept) * share, check, kept << np.uint64(64 - 8 * HASH_BYTES), share, SCALE)
+    return _written(len(kept) * share, check, kept << np.uint64(64 - 8 * HASH_BYTES), share)
 
 
 def likeness(left: str, right: str) -> float:
-    """The estimated Jaccard similarity of two documents: 1 for equal sets, exact where both kept all."""
+    """The estimated Jaccard similarity of two documents: 1 for equal sets."""
     if left == right:
         return 1.0
     a, b, _ = _alike(left, right)
@@ -115,9 +113,10 @@ def in_reading_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, text, bucket, guest), so laid out that each row's successor follows it in its task.
 
     The order is descending doc_id, null ones last, equal ones by text; after the last comes the
-    first. Ranges of doc_id (as many as shuffle partitions) are the buckets; the first row of each
-    is also sent, as a guest, to the bucket before it. Only the ranges' limits and their largest
-    identifiers reach the driver.
+    first. Ranges of doc_id are the buckets: as many as shuffle partitions, or more so that each
+    holds about ``RANGE_ROWS``; rows with one and the same identifier stay together. The first row
+    of each is also sent, as a guest, to the bucket before it. Only the limits of the ranges, at most
+    ``MOST_RANGES``, and their largest identifiers reach the driver.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -126,7 +125,7 @@ def in_reading_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.coalesce(_position(docs, doc_id), F.lit(-1e300)).alias("_at"),
     )
     ids = rows.select("_at", "doc_id")
-    parts = partitions(spark)
+    parts = max(partitions(spark), min(MOST_RANGES, -(-ids.count() // RANGE_ROWS)))
     steps = [k / parts for k in range(1, parts)]
     limits = sorted(set(ids.approxQuantile("_at", steps, 0.1 / parts))) if steps else []
     splits = [float("-inf"), *limits, float("inf")]
@@ -154,7 +153,7 @@ def in_reading_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     is_head = F.col("doc_id").eqNullSafe(F.col("_head"))
     return (
         ranges.transform(rows)
-        .join(F.broadcast(hosts), "_bucket")  # at most one row a shuffle partition
+        .join(F.broadcast(hosts), "_bucket")  # at most one row a range
         .select("doc_id", "text", F.explode(F.when(is_head, F.array(own, away)).otherwise(F.array(own))).alias("_p"))
         .select("doc_id", "text", "_p.bucket", "_p.guest")
         .repartition(parts, "bucket")

@@ -32,22 +32,43 @@ def test_merged_sketches_are_those_of_the_union():
     assert fp.merged(union, union) == union
 
 
-def test_short_texts_are_compared_exactly():
-    for n in (6, 20, 45, 100, 200):
-        for seed in range(20):
-            text, after = words(n, seed), words(n, 1000 + seed)
-            a, b = shingle_sets([text, fp.edited(text, after)])
-            left, right = fp.fingerprint(a), fp.fingerprint(b)
-            both = len(np.intersect1d(a, b))
-            assert fp.likeness(left, right) == both / len(np.union1d(a, b))
-            assert fp.containment(left, right) == both / len(a)
+def test_every_text_keeps_the_same_share():
+    for n in (0, 6, 20, 200, 300, 1000, 5000):
+        (shingles,) = shingle_sets([words(n, n)])
+        print_ = fp.fingerprint(shingles)
+        below = [int(h) >> 16 for h in shingles if int(h) < 2**64 // fp.SCALE]
+        assert fp.share_of(print_) == fp.SCALE
+        assert fp.kept_hashes(print_).tolist() == sorted(below)
+
+
+@pytest.mark.parametrize("n,mean", [(20, 0.16), (100, 0.08), (400, 0.04), (2000, 0.02)])
+def test_the_error_falls_with_the_length(n, mean):
+    wrong = []
+    for seed in range(60):
+        text, after = words(n, seed), words(n, 1000 + seed)
+        a, b = shingle_sets([text, fp.edited(text, after)])
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        wrong.append(abs(fp.likeness(fp.fingerprint(a), fp.fingerprint(b)) - true))
+    assert np.mean(wrong) < mean
+
+
+def test_a_short_text_within_a_long_one():
+    long = words(20_000, 1).split()
+    parts = [" ".join(long[k : k + 300]) for k in range(0, 18_000, 900)]
+    whole, *rest = [fp.fingerprint(s) for s in shingle_sets([" ".join(long), *parts])]
+    assert all(fp.containment(p, whole) == 1.0 for p in rest)
+    half = [p + " " + words(300, 7 + k) for k, p in enumerate(parts)]
+    got = [fp.containment(fp.fingerprint(s), whole) for s in shingle_sets(half)]
+    assert all(abs(g - 0.5) < 0.12 for g in got) and abs(np.mean(got) - 0.5) < 0.03
 
 
 @pytest.mark.parametrize("left,right", [(20, 200), (200, 200), (250, 700), (20, 3000), (900, 1100), (3000, 5000)])
-def test_merging_keeps_the_share_of_the_union(left, right):
+@pytest.mark.parametrize("scales", [(2, 2), (1, 4)])
+def test_merging_keeps_the_hashes_of_the_union(left, right, scales):
     a, b = shingle_sets([words(left, 1), words(right, 2)])
-    union, merged = fp.fingerprint(np.union1d(a, b)), fp.merged(fp.fingerprint(a), fp.fingerprint(b))
-    assert fp.share_of(merged) == fp.share_of(union)
+    union = fp.fingerprint(np.union1d(a, b), max(scales))
+    merged = fp.merged(fp.fingerprint(a, scales[0]), fp.fingerprint(b, scales[1]))
+    assert fp.share_of(merged) == max(scales)
     assert fp.kept_hashes(merged).tolist() == fp.kept_hashes(union).tolist()
 
 
@@ -65,7 +86,9 @@ ROWS = [
 
 @pytest.mark.parametrize("kind", ["long", "string"])
 @pytest.mark.parametrize("partitions", ["1", "3", "8"])
-def test_every_row_against_its_edited_text(spark, partitions, kind):
+@pytest.mark.parametrize("range_rows", [2, 10_000])
+def test_every_row_against_its_edited_text(spark, monkeypatch, partitions, kind, range_rows):
+    monkeypatch.setattr(fp, "RANGE_ROWS", range_rows)
     named = {None: None, 7: "doc-é", 10: "", 8: "doc-b", -2: "doc", 3: "Zebra", 5: "doc-éa"}
     rows = [(named[i] if kind == "string" else i, t) for i, t in ROWS]
     before = spark.conf.get("spark.sql.shuffle.partitions")
