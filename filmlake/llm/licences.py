@@ -307,24 +307,50 @@ def _peeled(words: list[str], at: int, model: LicenceModel, whole: bool) -> list
     ]
 
 
+def _paragraphs(text: str) -> Iterator[tuple[list[str], list[tuple[int, int]]]]:
+    """(words, (line, place of its first word) of each line) of every run of lines that hold words.
+
+    A line without words ends a paragraph: a blank one, a bare comment mark or a ruler. Marks that
+    stand before the words of a line are no words, so a commented notice reads like a plain one.
+    """
+    words: list[str] = []
+    starts: list[tuple[int, int]] = []
+    for number, line in enumerate(text.split("\n")):
+        own = tokens(line)
+        if own:
+            starts.append((number, len(words)))
+            words += own
+        elif words:
+            yield words, starts
+            words, starts = [], []
+    if words:
+        yield words, starts
+
+
+def _windows(begin: int, end: int) -> range:
+    """Where the windows of the words from ``begin`` to ``end`` start."""
+    return range(begin, begin + max(1, end - begin - WINDOW // 2), WINDOW // 2)
+
+
 def notices(text: str, model: LicenceModel) -> list[tuple[int, int, str, float, float]]:
     """(line, word, family, probability, similarity) of every notice in a text, in order.
 
-    A line without a legal word has no feature that could speak for a family. A long line is judged
-    in overlapping windows, and every notice of every window counts. Words belong to one notice: of
-    those that share some, the one that covers most of a template stays. Notices of one family with
-    less than half a window between them are one, the surest.
+    A paragraph is judged in overlapping windows, across its lines, so a notice may be wrapped; each of
+    several lines is also judged by itself, since a short notice may stand between other text. Every notice
+    of every window counts; words without a legal one have no feature that could speak for a family.
+    Words belong to one notice: of those that share some, the one that covers most of a template stays.
+    Notices of one family with less than half a window between them are one, the surest, and begin where
+    the first of them does.
     """
     found = []
-    for number, line in enumerate(text.split("\n")):
-        words = tokens(line)
+    for words, starts in _paragraphs(text):
         if model.legal.isdisjoint(words):
             continue
-        seen = {
-            notice
-            for at in range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2)
-            for notice in _peeled(words[at : at + WINDOW], at, model, True)
-        }
+        ends = [*(place for _, place in starts[1:]), len(words)]
+        windows = {(at, min(at + WINDOW, len(words))) for at in _windows(0, len(words))}
+        for (_, begin), end in zip(starts, ends, strict=True):
+            windows |= {(at, min(at + WINDOW, end)) for at in _windows(begin, end)}
+        seen = {notice for at, end in windows for notice in _peeled(words[at:end], at, model, True)}
         apart: list[tuple] = []  # in order, no two share words
         for notice in sorted(seen, key=lambda x: (-x[2], -x[4], x)):
             place = bisect(apart, notice)
@@ -336,10 +362,11 @@ def notices(text: str, model: LicenceModel) -> list[tuple[int, int, str, float,
         for begin, end, _, family, *sure in apart:
             if family in last and begin - last[family] < WINDOW // 2:
                 if sure[0] > found[kept[family]][3]:
-                    found[kept[family]] = (number, found[kept[family]][1], family, *sure)
+                    found[kept[family]] = (*found[kept[family]][:3], *sure)
             else:
                 kept[family] = len(found)
-                found.append((number, begin, family, *sure))
+                number, first = starts[bisect(starts, begin, key=lambda x: x[1]) - 1]
+                found.append((number, begin - first, family, *sure))
             last[family] = end
     return found
 
@@ -352,7 +379,7 @@ def scan(
 ) -> DataFrame:
     """The columns ``keep`` and ``notices`` of every row: line, word, family, probability, similarity.
 
-    Lines, and the words of each, are counted from 0; a line without a confirmed notice is not listed. Null and empty texts
+    A notice is placed by the line and the word where it begins, both counted from 0. Null and empty texts
     have no notice, repeated rows are all returned, other columns are not read.
     """
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))

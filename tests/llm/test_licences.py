@@ -1,3 +1,7 @@
+import textwrap
+
+import pytest
+
 from filmlake.llm import licences, queries
 
 SF = "/root/testdata/sf0.01"
@@ -60,3 +64,32 @@ def test_several_notices_in_one_line():
         for text in texts:
             for before in (0, 3, 13, 19, 27, 39):
                 assert [n[2] for n in found("word " * before + text + " word" * 45)] == [family]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", ";; "])
+@pytest.mark.parametrize("width", [20, 30, 40, 70, 100])
+def test_a_wrapped_notice_is_one_notice(width, mark):
+    model = licences.fit_model([])
+    for family, texts in licences.TEMPLATES.items():
+        for text in texts:
+            lines = [mark + line for line in textwrap.wrap(text, width)]
+            assert [n[:3] for n in licences.notices("\n".join(lines), model)] == [
+                n[:3] for n in licences.notices(text, model)
+            ]
+            whole = "\n".join([f"{mark}word word word", mark, *lines, mark, f"{mark}more words"])
+            assert [(n[0], n[2]) for n in licences.notices(whole, model)] == [(2, family)]
+
+
+def test_notices_between_wrapped_lines():
+    model = licences.fit_model([])
+
+    def found(text):
+        return [n[:3] for n in licences.notices(text, model)]
+
+    prose = "word word word word word word\n"
+    assert found("Licensed under\nthe MIT\nlicense.") == [(0, 0, "MIT")]
+    assert found(prose * 9 + "Released under the MIT License.\n" + prose * 9) == [(9, 0, "MIT")]
+    assert found(prose * 9 + "word Released under\nthe MIT License.\n" + prose * 9) == [(9, 1, "MIT")]
+    two = "Released under the\nMIT License.\n" + prose * 12 + "Licensed under the Mozilla\nPublic License, version 2.0."
+    assert found(two) == [(0, 0, "MIT"), (14, 0, "MPL")]
+    assert found("Released under the MIT License.\n\nReleased under the MIT License.") == [(0, 0, "MIT"), (2, 0, "MIT")]
