@@ -1,27 +1,32 @@
 """Exact k-nearest-neighbour classification on a few standardised numeric features.
 
-Training points are cut into boxes by median splits of a sample, and the real points of each box
-are counted and measured. A test point searches the box it falls in, which bounds its distance
-to the k-th neighbour, and then only the boxes that come nearer than that bound. Where its box
-holds fewer than k points, the counts and extents of the boxes give the bound. A box with many
-points or queries is served by several tasks, so no group of rows grows with the data, and no
+The training points are indexed by a tree of boxes that is a table: quantiles of each feature cut
+space into cells, a cell's path names the boxes it lies in from the whole space down, and every box
+has its number of points and their real extent. A box of few points is a leaf and is cut no further.
+A test point first searches the leaf it falls in. The distance of the k-th neighbour found there, or
+the far corners of boxes around it that hold k points, bounds what is left; then the tree is walked
+down by joins on the path, through the boxes that come nearer than the bound. The tree is neither on
+the driver nor in a closure, a leaf with many points or queries is served by several tasks, and no
 table of all pairs exists at any time.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import broadcast_checked, materialize
 
-SPLIT_SAMPLE = 50_000
 BOX_POINTS = 2_000
+# Bits of a box's number among its siblings, about, and the most quantile bits of a feature.
+FAN_BITS, MOST_BITS = 3, 12
 BOX_QUERIES = 20_000
 SLICE_POINTS = 4 * BOX_POINTS
 _FOUND = "qid long, d2 double, id long, label int"
@@ -45,88 +50,151 @@ def standardise(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
     return df.withColumns(scaled)
 
 
-class _Boxes:
-    """Median splits of a sample: which box a point is in, and how near each box is."""
-
-    def __init__(self, sample: np.ndarray, boxes: int):
-        self.low, self.high, self.splits = [], [], []
-        d = sample.shape[1]
-        self._cut(sample, max(boxes, 1), np.full(d, -np.inf), np.full(d, np.inf))
-        self.low, self.high = np.array(self.low), np.array(self.high)
-
-    def _cut(self, pts, boxes, low, high) -> int:
-        node = len(self.splits)
-        self.splits.append(None)
-        spread = np.ptp(pts, axis=0) if len(pts) else np.zeros(len(low))
-        if boxes <= 1 or spread.max() == 0:
-            self.splits[node] = len(self.low)
-            self.low.append(low)
-            self.high.append(high)
-            return node
-        axis = int(spread.argmax())
-        values = np.sort(pts[:, axis])
-        at = values[len(values) // 2]
-        if at == values[0]:
-            at = values[np.searchsorted(values, at, side="right")]
-        left = pts[:, axis] < at
-        high_left, low_right = high.copy(), low.copy()
-        high_left[axis] = low_right[axis] = at
-        first = self._cut(pts[left], boxes // 2, low, high_left)
-        second = self._cut(pts[~left], boxes - boxes // 2, low_right, high)
-        self.splits[node] = (axis, at, first, second)
-        return node
-
-    def locate(self, pts: np.ndarray) -> np.ndarray:
-        box = np.empty(len(pts), dtype=np.int32)
-        stack = [(0, np.arange(len(pts)))]
-        while stack:
-            node, rows = stack.pop()
-            split = self.splits[node]
-            if isinstance(split, int):
-                box[rows] = split
-                continue
-            axis, at, first, second = split
-            left = pts[rows, axis] < at
-            stack += [(first, rows[left]), (second, rows[~left])]
-        return box
-
-    def measure(self, counts: dict[int, int], low: dict, high: dict) -> None:
-        """Take over the number of points of each box and where they really lie."""
-        none = np.full(self.low.shape[1], np.inf)
-        self.counts = np.array([counts.get(b, 0) for b in range(len(self.low))])
-        self.low = np.array([low.get(b, none) for b in range(len(self.low))])
-        self.high = np.array([high.get(b, -none) for b in range(len(self.high))])
-
-    def reach(self, point: np.ndarray, k: int) -> float:
-        """A squared distance within which the boxes are known to hold k points, or all of them."""
-        full = np.flatnonzero(self.counts)
-        far = np.maximum(np.abs(self.low[full] - point), np.abs(self.high[full] - point))
-        far = (far * far).sum(axis=1)
-        order = np.argsort(far, kind="stable")
-        enough = np.searchsorted(np.cumsum(self.counts[full][order]), k)
-        return float(far[order][min(enough, len(order) - 1)])
-
-    def within(self, points: np.ndarray, reach2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, box) of the boxes at most sqrt(reach2) away from each point, descending only the
-        sides that a ball touches."""
-        reach = np.sqrt(reach2)
-        rows_found, boxes_found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        stack = [(0, np.arange(len(points)))]
-        while stack:
-            node, rows = stack.pop()
-            if not len(rows):
-                continue
-            split = self.splits[node]
-            if isinstance(split, int):
-                gap = np.maximum(np.maximum(self.low[split] - points[rows], points[rows] - self.high[split]), 0.0)
-                near = rows[(gap * gap).sum(axis=1) <= reach2[rows]]
-                rows_found.append(near)
-                boxes_found.append(np.full(len(near), split))
-                continue
-            axis, at, first, second = split
-            stack.append((first, rows[points[rows, axis] - reach[rows] < at]))
-            stack.append((second, rows[points[rows, axis] + reach[rows] >= at]))
-        return np.concatenate(rows_found), np.concatenate(boxes_found)
+def _gap2(point: Column, low: Column, high: Column, d: int) -> Column:
+    """The squared distance from a point to a box."""
+    sides = [F.greatest(low[i] - point[i], point[i] - high[i], F.lit(0.0)) for i in range(d)]
+    return sum((s * s for s in sides[1:]), sides[0] * sides[0])
+
+
+def _far2(point: Column, low: Column, high: Column, d: int) -> Column:
+    """The squared distance from a point to the farthest corner of a box."""
+    sides = [F.greatest(F.abs(low[i] - point[i]), F.abs(high[i] - point[i])) for i in range(d)]
+    return sum((s * s for s in sides[1:]), sides[0] * sides[0])
+
+
+class BoxTree:
+    """A tree of boxes over the ``point`` arrays of a table, kept as tables.
+
+    ``nodes``: path, parent, level, points, low, high, leaf. The root has the path "0" and no
+    parent. A box with at most ``BOX_POINTS`` points is a leaf, so is one whose quantiles are used
+    up. ``homes`` are the rows of ``points`` with the leaf that holds each, ``box``. The driver
+    holds the quantiles, at most 2 ** ``MOST_BITS`` of a feature, and the depth.
+    """
+
+    def __init__(self, points: DataFrame, d: int, total: int):
+        self.d = d
+        self.step = max(1, FAN_BITS // d)
+        wanted = math.ceil(math.log2(max(2.0, total / BOX_POINTS)) / (d * self.step))
+        # features that go together need more cuts than independent ones
+        self.levels = max(1, min(wanted + 2, MOST_BITS // self.step))
+        self.borders = self._quantiles(points)
+        coded = self.coded(points)
+        extent = [f(F.get("point", F.lit(i))).alias(f"{n}{i}") for i in range(d) for n, f in (("low", F.min), ("high", F.max))]
+        cells = materialize(
+            coded.groupBy("paths").agg(F.count(F.lit(1)).alias("points"), *extent), "knn-cells"
+        )
+        merged = [f(f"{n}{i}").alias(f"{n}{i}") for i in range(d) for n, f in (("low", F.min), ("high", F.max))]
+        boxes = materialize(
+            cells.select(F.posexplode("paths").alias("level", "path"), *cells.columns[1:])
+            .groupBy("level", "path")
+            .agg(F.sum("points").alias("points"), *merged)
+            .select(
+                "path",
+                F.when(F.col("level") > 0, F.regexp_replace("path", r"\.[0-9]+$", "")).alias("parent"),
+                "level",
+                "points",
+                *[F.array(*[f"{n}{i}" for i in range(d)]).alias(n) for n in ("low", "high")],
+                ((F.col("points") <= BOX_POINTS) | (F.col("level") == self.levels)).alias("leaf"),
+            ),
+            "knn-boxes",
+        )
+        cut = boxes.filter(~F.col("leaf")).select(F.col("path").alias("parent"))
+        # The parents of what is kept were cut, so they are kept themselves.
+        below = boxes.join(broadcast_checked(cut), "parent", "left_semi").select(*boxes.columns)
+        self.nodes = materialize(below.unionByName(boxes.filter("level = 0")), "knn-tree")
+        self.depth = self.nodes.agg(F.max("level")).first()[0] or 0
+        leaves = self.nodes.filter("leaf").select(F.col("path").alias("box"))
+        cell_box = cells.select("paths", F.explode("paths").alias("box")).join(
+            broadcast_checked(leaves), "box", "left_semi"
+        )
+        self.homes = materialize(
+            coded.join(broadcast_checked(materialize(cell_box, "knn-cell-box")), "paths").select(
+                *points.columns, "box"
+            ),
+            "knn-homes",
+        )
+
+    def _quantiles(self, points: DataFrame) -> list[list[float]]:
+        parts = 1 << self.step * self.levels
+        names = [f"x{i}" for i in range(self.d)]
+        values = points.select(*[F.get("point", F.lit(i)).alias(n) for i, n in enumerate(names)])
+        found = values.approxQuantile(names, [k / parts for k in range(1, parts)], 0.25 / parts)
+        return [sorted(set(v)) for v in found]
+
+    def coded(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``paths``: the boxes that hold each ``point``, from the root down."""
+        bits = self.step * self.levels
+        out = rows
+        for i, borders in enumerate(self.borders):
+            out = out.withColumn(f"_x{i}", F.get("point", F.lit(i)))
+            splits = [-math.inf, *borders, math.inf]
+            if len(splits) < 3:
+                splits.insert(1, 0.0)
+            out = Bucketizer(splits=splits, inputCol=f"_x{i}", outputCol=f"_b{i}").transform(out)
+            # equal quantiles leave fewer buckets; they are spread over all numbers
+            out = out.withColumn(f"_b{i}", F.floor(F.col(f"_b{i}") * (1 << bits) / (len(splits) - 1)).cast("int"))
+        paths, path = [F.lit("0")], F.lit("0")
+        for level in range(1, self.levels + 1):
+            digit = F.lit(0)
+            for i in range(self.d):
+                part = F.shiftright(F.col(f"_b{i}"), bits - level * self.step).bitwiseAND((1 << self.step) - 1)
+                digit = digit * (1 << self.step) + part
+            path = F.concat(path, F.lit("."), digit.cast("string"))
+            paths.append(path)
+        return out.select(*rows.columns, F.array(*paths).alias("paths"))
+
+    def located(self, queries: DataFrame, k: int) -> DataFrame:
+        """(qid, point, own, bound): the leaf that a query falls in, null in empty space, and a
+        squared distance within which there are k points, or all."""
+        chain = self.coded(queries).select("qid", "point", F.explode("paths").alias("path"))
+        boxes = chain.join(broadcast_checked(self.nodes), "path")
+        far = _far2(F.col("point"), F.col("low"), F.col("high"), self.d)
+        leaf, inner = F.col("leaf"), F.struct("level", "path")
+        around = materialize(
+            boxes.groupBy("qid").agg(
+                F.first("point").alias("point"),
+                F.max(F.when(leaf, F.col("path"))).alias("own"),
+                F.max(F.when(leaf, F.col("points"))).alias("held"),
+                F.max(F.when(~leaf, inner)).getField("path").alias("inner"),
+                F.min(F.when((F.col("points") >= k) | (F.col("level") == 0), far)).alias("bound"),
+            ),
+            "knn-around",
+        )
+        # Where the leaf holds too few, the nearest of its siblings that together hold k.
+        few = around.filter(F.col("own").isNull() | (F.col("held") < k)).select("qid", "point", "inner")
+        children = self.nodes.select(F.col("parent").alias("inner"), "points", "low", "high")
+        nearer = W.partitionBy("qid").orderBy("far").rowsBetween(W.unboundedPreceding, W.currentRow)
+        closer = (
+            few.join(broadcast_checked(children), "inner")
+            .select("qid", far.alias("far"), "points")
+            .withColumn("sum", F.sum("points").over(nearer))
+            .filter(F.col("sum") >= k)
+            .groupBy("qid")
+            .agg(F.min("far").alias("closer"))
+        )
+        bound = F.least("bound", "closer").alias("bound")
+        return around.join(closer, "qid", "left").select("qid", "point", "own", bound)
+
+
+    def within(self, queries: DataFrame) -> DataFrame:
+        """(qid, point, own, box) of the leaves whose points may lie within ``reach`` of each query.
+
+        One join of each level; a leaf that was reached early leads to itself.
+        """
+        columns = ["low", "high", F.col("path").alias("to")]
+        steps = self.nodes.filter("level > 0").select(F.col("parent").alias("box"), *columns)
+        steps = materialize(
+            steps.unionByName(self.nodes.filter("leaf").select(F.col("path").alias("box"), *columns)), "knn-steps"
+        )
+        found = queries.withColumn("box", F.lit("0"))
+        near = _gap2(F.col("point"), F.col("low"), F.col("high"), self.d) <= F.col("reach")
+        for _ in range(self.depth):
+            found = (
+                found.join(broadcast_checked(steps), "box")
+                .filter(near)
+                .select("qid", "point", "own", "reach", F.col("to").alias("box"))
+            )
+        return found.drop("reach")
 
 
 def _frame(qid, d2, ids, labels) -> pd.DataFrame:
@@ -175,6 +243,10 @@ def _point(features: Sequence[str]) -> Column:
     return F.array(*[F.col(f).cast("double") for f in features])
 
 
+def _whole(point: Column) -> Column:
+    return F.forall(point, lambda x: x.isNotNull() & ~F.isnan(x))
+
+
 def _search(
     test: DataFrame, train: DataFrame, key: str, label: str, features: Sequence[str], k: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -187,27 +259,22 @@ def _search(
     same = W.partitionBy("point").orderBy("id")
     points = materialize(
         train.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label"), point.alias("point"))
+        .filter(_whole(F.col("point")))
         .withColumn("copy", F.row_number().over(same))
-        .filter(F.col("copy") <= k),
+        .filter(F.col("copy") <= k)
+        .drop("copy"),
         "knn-train",
     )
     asked = materialize(
-        test.groupBy(point.alias("point")).agg(F.min(key).cast("long").alias("qid")), "knn-test"
+        test.groupBy(point.alias("point")).agg(F.min(key).cast("long").alias("qid")).filter(_whole(F.col("point"))),
+        "knn-test",
     )
-    distinct = points.filter(F.col("copy") == 1)
-    total = distinct.count()
+    total = points.count()
     if not total:
         raise ValueError("no training rows")
-    # the sample only places the box borders; results do not depend on it
-    some = distinct.select("point")
-    if total > SPLIT_SAMPLE:
-        some = some.sample(SPLIT_SAMPLE / total, seed=1)
-    sample = some.limit(2 * SPLIT_SAMPLE).collect()
-    boxes = _Boxes(np.array([r.point for r in sample]), -(-total // BOX_POINTS))
-
-    @F.pandas_udf("int")
-    def locate(p: pd.Series) -> pd.Series:
-        return pd.Series(boxes.locate(np.stack(p.to_numpy())) if len(p) else [], dtype="int32")
+    tree = BoxTree(points, len(features), total)
+    homes = tree.homes
+    sizes = tree.nodes.filter("leaf").select(F.col("path").alias("box"), "points")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -218,20 +285,6 @@ def _search(
             right["label"].to_numpy(), k,
         )
 
-    homes = points.select("id", "label", "point", locate("point").alias("box"))
-    extent = [
-        f(F.get("point", F.lit(i))).alias(f"{name}{i}")
-        for i in range(len(features))
-        for name, f in (("low", F.min), ("high", F.max))
-    ]
-    sizes = materialize(homes.groupBy("box").agg(F.count(F.lit(1)).alias("points"), *extent), "knn-boxes")
-    known = sizes.collect()  # a row for each box, of which there are total / BOX_POINTS
-    boxes.measure(
-        {r.box: r.points for r in known},
-        {r.box: np.array([r[f"low{i}"] for i in range(len(features))]) for r in known},
-        {r.box: np.array([r[f"high{i}"] for i in range(len(features))]) for r in known},
-    )
-
     def search_boxes(queries: DataFrame) -> DataFrame:
         """Search each query in its box, several tasks sharing many queries or many points."""
         load = (
@@ -253,32 +306,16 @@ def _search(
         group = ("box", "part", "slice")
         return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(search, _FOUND)
 
-    queries = asked.select("qid", "point", locate("point").alias("box"))
-    first = materialize(_best(search_boxes(queries), k).drop("rank"), "knn-own-box")
-    reach = first.groupBy("qid").agg(F.max("d2").alias("reach"), F.count(F.lit(1)).alias("n"))
-
-    @F.pandas_udf("array<int>")
-    def others(p: pd.Series, own: pd.Series, known: pd.Series) -> pd.Series:
-        if not len(p):
-            return pd.Series([], dtype=object)
-        at = np.stack(p.to_numpy())
-        limit = known.to_numpy(dtype=float, copy=True)
-        for row in np.flatnonzero(np.isnan(limit)):
-            limit[row] = boxes.reach(at[row], k)
-        # A border is compared with a distance that was rounded to 9 places, hence the margin.
-        rows, near = boxes.within(at, limit + 1e-8)
-        away = near != own.to_numpy()[rows]
-        rows, near = rows[away], near[away]
-        order = np.argsort(rows, kind="stable")
-        ends = np.searchsorted(rows[order], np.arange(len(at) + 1))
-        return pd.Series([near[order][a:b].astype("int32") for a, b in zip(ends, ends[1:])])
-
-    # A box that held fewer than k points bounds nothing; the boxes' counts and extents do.
-    further = queries.join(reach, "qid", "left").select(
-        "qid", "point", F.explode(others("point", "box", F.when(F.col("n") >= k, F.col("reach")))).alias("box")
-    )
-    found = _best(first.unionByName(search_boxes(further)), k)
-    return asked, found.withColumnRenamed("id", "neighbour").withColumnRenamed("label", "of")
+    queries = materialize(tree.located(asked, k), "knn-queries")
+    own = queries.filter("own is not null").select("qid", "point", F.col("own").alias("box"))
+    first = materialize(_best(search_boxes(own), k).drop("rank"), "knn-own-box")
+    known = first.groupBy("qid").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("n"))
+    # Distances were rounded to 9 places, hence the margin.
+    reach = F.least("bound", F.when(F.col("n") >= k, F.col("d2"))) + 1e-8
+    near = tree.within(queries.join(known, "qid", "left").select("qid", "point", "own", reach.alias("reach")))
+    further = materialize(near.filter(~F.col("box").eqNullSafe(F.col("own"))).drop("own"), "knn-further")
+    found = first if further.isEmpty() else first.unionByName(search_boxes(further))
+    return asked, _best(found, k).withColumnRenamed("id", "neighbour").withColumnRenamed("label", "of")
 
 
 def nearest_neighbours(
@@ -286,7 +323,8 @@ def nearest_neighbours(
 ) -> DataFrame:
     """(key, rank, neighbour, d2, label): the k nearest training rows, ties by key.
 
-    ``key`` is a whole number. Distances are compared after rounding to 9 places.
+    ``key`` is a whole number. Distances are compared after rounding to 9 places. Rows with a null
+    or NaN feature have no neighbours and are none.
     """
     asked, found = _search(test, train, key, label, features, k)
     back = test.select(key, _point(features).alias("point")).join(asked, "point")

@@ -237,23 +237,72 @@ def test_polynomial(spark):
     assert out.filter("abs(fitted - y) > 1e-6").count() == 0
 
 
-def test_knn_boxes_with_a_dominant_value_and_outliers():
+def test_knn_boxes_with_a_dominant_value_and_outliers(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BOX_POINTS", 100)
     draw = np.random.default_rng(6)
-    points = np.column_stack([np.where(draw.random(8000) < 0.9, 5.0, draw.random(8000) * 100), draw.random(8000)])
+    points = np.column_stack([np.where(draw.random(3000) < 0.9, 5.0, draw.random(3000) * 100), draw.random(3000)])
     points[:3] = [[1e6, 0.5], [-1e6, 0.2], [0.0, 1e6]]
-    boxes = knn._Boxes(points, 16)
-    box = boxes.locate(points)
-    own = {b: points[box == b] for b in np.unique(box)}
-    boxes.measure({b: len(p) for b, p in own.items()}, {b: p.min(0) for b, p in own.items()}, {b: p.max(0) for b, p in own.items()})
+    rows = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(points)], "id long, point array<double>")
+    tree = knn.BoxTree(rows, 2, len(points))
+    nodes = {r.path: r for r in tree.nodes.collect()}
+    homes = {r.id: r.box for r in tree.homes.collect()}
+    assert len(homes) == len(points) and tree.depth >= 1
+    assert nodes["0"].points == len(points) and nodes["0"].parent is None
+    for path, node in nodes.items():
+        inside = [i for i, box in homes.items() if (box + ".").startswith(path + ".")]
+        assert node.points == len(inside) and node.leaf == (path in homes.values())
+        assert node.low == points[inside].min(0).tolist() and node.high == points[inside].max(0).tolist()
+        assert node.parent is None or not nodes[node.parent].leaf
     k = 10
-    true = np.sort(((points[:40, None] - points[None]) ** 2).sum(-1), axis=1)[:, k - 1]
-    reach = np.array([boxes.reach(p, k) for p in points[:40]])
-    assert np.isfinite(reach).all() and (reach >= true).all()
-    rows, near = boxes.within(points[:40], true)
-    for row in range(40):
-        inside = np.flatnonzero(((points - points[row]) ** 2).sum(-1) <= true[row])
-        assert set(box[inside]) <= set(near[rows == row])
-        assert len(near[rows == row]) < len(own)
+    asked = np.vstack([points[:40], [[-1e7, 3.0], [50.0, -1e7]]])
+    queries = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(asked)], "qid long, point array<double>")
+    located = tree.located(queries, k)
+    d2 = ((asked[:, None] - points[None]) ** 2).sum(-1)
+    true = np.sort(d2, axis=1)[:, k - 1]
+    bounds = {r.qid: r.bound for r in located.collect()}
+    assert all(true[i] <= bounds[i] < np.inf for i in range(len(asked)))
+    reach = F.element_at(F.lit(true.tolist()), F.col("qid").cast("int") + 1)
+    near = {}
+    for r in tree.within(located.select("qid", "point", "own", reach.alias("reach"))).collect():
+        near.setdefault(r.qid, []).append(r.box)
+    for i in range(len(asked)):
+        assert {homes[j] for j in np.flatnonzero(d2[i] <= true[i])} <= set(near[i])
+        assert len(near[i]) == len(set(near[i])) <= len(set(homes.values()))
+    assert np.mean([len(near[i]) for i in range(3, 40)]) < len(set(homes.values())) / 2
+
+
+def test_knn_leaves_the_tree_in_tables(spark, monkeypatch):
+    """Nothing but the quantiles, the depth, and checks of size reaches the driver."""
+    monkeypatch.setattr(knn, "BOX_POINTS", 5)
+    monkeypatch.setattr(knn, "broadcast_checked", lambda df: df)
+    frame = type(spark.range(1))
+    collect, sizes = frame.collect, []
+
+    def counted(self):
+        rows = collect(self)
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(frame, "collect", counted)
+    train = spark.range(500).select("id", (F.col("id") % 7).cast("int").alias("label"), (F.col("id") * 1.5).alias("a"))
+    test = spark.range(20).select((F.col("id") + 1000).alias("id"), (F.col("id") * 31.0 + 0.3).alias("a"))
+    out = knn.nearest_neighbours(test, train, "id", "label", ["a"], 3)
+    assert max(sizes) == 1 and "NestedLoop" not in out._jdf.queryExecution().toString()
+    monkeypatch.undo()
+    got = sorted((r.id, r["rank"], r.neighbour) for r in out.collect())
+    want = []
+    for q in range(20):
+        best = sorted((round((1.5 * i - 31.0 * q - 0.3) ** 2, 9), i) for i in range(500))[:3]
+        want += [(1000 + q, n + 1, i) for n, (_, i) in enumerate(best)]
+    assert got == want
+
+
+def test_knn_rows_without_a_feature(spark):
+    train = spark.createDataFrame([(1, 1, 0.0), (2, 2, None), (3, 3, float("nan"))], "id long, label int, a double")
+    test = spark.createDataFrame([(8, 4.0), (9, None)], "id long, a double")
+    got = knn.nearest_neighbours(test, train, "id", "label", ["a"], 3).collect()
+    assert [(r.id, r.neighbour) for r in got] == [(8, 1)]
+    assert knn.nearest_neighbours(test.limit(0), train, "id", "label", ["a"], 3).count() == 0
 
 
 def test_knn_splits_boxes_with_many_points(spark, monkeypatch):
