@@ -33,6 +33,7 @@ SECOND_PERSON = frozenset(
 LETTER_OF = str.maketrans("013457@$!|+", "oieastasilt")
 MARKS = re.compile(r"[^\w@$!|+*]|_")
 EDGES = re.compile(r"^\W+|\W+$")
+BETWEEN = re.compile(r"[\W_]+")  # what the words of a lexicon are split at
 STRETCHED = re.compile(r"(.)\1{2,}")
 
 FEATURES = (
@@ -78,12 +79,13 @@ class _Marks(dict):
             self.clear()
         bare = EDGES.sub("", raw)
         word = bare.lower()
+        parts = [word] if word.isalnum() else [word, *BETWEEN.split(word)]
         mark = 0
-        if word in self.lexicon.words:
+        if not self.lexicon.words.isdisjoint(parts):
             mark |= WORD
-        if self.lexicon.begins(word):
+        if any(map(self.lexicon.begins, parts)):
             mark |= START
-        if word in SECOND_PERSON:
+        if not SECOND_PERSON.isdisjoint(parts):
             mark |= PERSON
         if len(bare) > 1 and bare.isupper():
             mark |= CAPITAL

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from filmlake.llm import queries, toxicity
 
@@ -46,3 +47,15 @@ def test_edges(spark):
     empty = docs.limit(0)
     assert toxicity.score(empty, toxicity.fit(empty, labels.limit(0))).count() == 0
     assert np.isfinite([r.score for r in got]).all()
+
+
+def test_words_are_found_in_joined_ones():
+    lexicon = toxicity.Lexicon(frozenset({"idiot"}), frozenset({"stup"}))
+    at = toxicity.FEATURES.index
+    for text in ("idiot here now", "l'idiot here now", "a/idiot here now", "stupid-idiot here now", "(my_idiot) here now"):
+        found = toxicity.features(text, toxicity._Marks(lexicon))
+        assert found[at("lexicon_density")] == pytest.approx(1 / 3), text
+    found = toxicity.features("all-stupid here now you're", toxicity._Marks(lexicon))
+    assert found[at("prefix_density")] == found[at("second_person")] == 0.25
+    for text in ("idiotic here", "idio-t here", "", "--- '"):
+        assert toxicity.features(text, toxicity._Marks(lexicon))[at("lexicon_density")] == 0
