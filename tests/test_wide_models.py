@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from filmlake.operators import models, wide_rows, wide_trees
+from filmlake.operators import models, partial_sums, wide_perceptron, wide_rows, wide_trees
 
 N, COLUMNS = 400, 60
 
@@ -52,6 +52,47 @@ def test_a_forest_of_ones(vectors):
     assert predicted(models.fit_predict_ones(train, test, estimator, "y", most_cells=0)) == got
 
 
+def test_a_perceptron_of_ones_is_that_of_spark(spark, vectors):
+    """Weights that Spark found give the same predictions, and ours are found to be as good."""
+    train, test = vectors.filter("k % 4 > 0"), vectors
+    values = models.class_values(train, "y")
+    layers = [COLUMNS, 5, len(values)]
+    indexed = train.withColumn("label", F.array_position(F.array(*map(F.lit, values)), F.col("y")).cast("double") - 1)
+    model = models.perceptron((5,), 40).setLayers(layers).fit(indexed)
+    want = {r.k: int(r.prediction) for r in model.transform(test).collect()}
+    theirs, at = [], 0
+    for n_in, n_out in zip(layers, layers[1:]):
+        block = model.weights.toArray()[at : at + (n_in + 1) * n_out]
+        theirs += [block[: n_in * n_out].reshape(n_in, n_out), block[n_in * n_out :]]
+        at += len(block)
+    flat = np.concatenate([w.ravel() for w in theirs])
+    got = wide_perceptron.predict(wide_rows.pack(test), flat, layers)
+    assert {r.k: r.prediction for r in got.collect()} == want
+    rows = wide_rows.pack(indexed.select("label", "features"), label="label")
+    ours = wide_perceptron.fit(rows, layers, 40, 1e-6, 9)
+    losses = [wide_perceptron.evaluate(rows, w, layers)[0] / rows.count() for w in (flat, ours)]
+    assert losses[1] < losses[0] + 0.1
+    whole = [predicted(models.fit_predict_ones(train, test, models.perceptron((5,), 40), "y", most_cells=0)) for _ in "ab"]
+    truth = {r.k: r.y for r in train.collect()}
+    right = np.mean([whole[0][k] == truth[k] for k in truth])
+    assert whole[0] == whole[1] and right > np.mean([values[want[k]] == truth[k] for k in truth]) - 0.1
+
+
+def test_the_gradient_of_a_perceptron(vectors, monkeypatch):
+    rows = wide_rows.pack(vectors.select(F.col("y").alias("c"), "features").filter("c < 4"), label="c")
+    layers = [COLUMNS, 4, 3, 4]
+    point = wide_perceptron.first_weights(layers, 1)
+    loss, slope = wide_perceptron.evaluate(rows, point, layers)
+    monkeypatch.setattr(wide_rows, "SLICE", 17)
+    monkeypatch.setattr(partial_sums, "MOST_SENT", 0)
+    for at in (0, 7, 4 * COLUMNS + 1, 4 * COLUMNS + 9, len(point) - 1):
+        moved = [point.copy(), point.copy()]
+        moved[0][at] -= 1e-5
+        moved[1][at] += 1e-5
+        low, high = (wide_perceptron.evaluate(rows, m, layers)[0] for m in moved)
+        assert abs((high - low) / 2e-5 - slope[at]) < 1e-4 * max(1, abs(slope[at]))
+
+
 def test_bags_and_subsets(vectors):
     weights = wide_trees._bag(np.arange(50_000), 3, 9)
     assert abs(weights.mean() - 1) < 0.02 and abs(weights.var() - 1) < 0.05
