@@ -13,12 +13,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.claims import CLAIM_NAMES, extract_claims, parse_entities
-from ..session import fresh_path, materialize, spread_small
+from ..session import fresh_path, materialize, spread_rows, spread_small
 from ..sources.dump import entity_lines
 from ..sources.lexicon import read_lexicon
 
 # Parameters of the registered queries.
 MIN_SUPPORT = 100
+# Orders of a task that writes dump lines, about 5,000 bytes each.
+DUMP_ROWS = 40_000
 STOP_WORDS = (
     "a", "an", "and", "are", "as", "at", "by", "for", "from", "in", "is", "it", "of", "on",
     "or", "that", "the", "this", "to", "was", "with",
@@ -135,7 +137,8 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw dump: an opening bracket line, then one JSON object and a comma per line."""
     line = F.expr(ENTITY_LINE)
     lines = F.when(F.col("o_orderkey") == 0, F.array(F.lit("["), line)).otherwise(F.array(line))
-    return spread_small(table(spark, sf_dir, "orders")).select(F.explode(lines).alias("value"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return spread_rows(orders, DUMP_ROWS).select(F.explode(lines).alias("value"))
 
 
 def parsed_dump(spark: SparkSession, sf_dir: str, claims=tuple(CLAIM_NAMES.values())) -> DataFrame:

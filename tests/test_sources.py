@@ -106,3 +106,19 @@ def test_shards_follow_the_bytes(spark, tmp_path):
         counts.append(len(list((tmp_path / f"shards{n}").glob("*.gz"))))
         assert spark.read.text(target).count() == part.count()
     assert counts == [10, 19]
+
+
+def test_dump_lines_are_made_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    """A task had as many orders as its split of narrow rows held, whatever the length of their lines."""
+    from filmlake.plans import views
+
+    cores = spark.sparkContext.defaultParallelism
+    n = 40 * cores
+    orders = spark.range(n).select(
+        F.col("id").alias("o_orderkey"), F.to_date(F.lit("2001-02-03")).alias("o_orderdate"), F.lit(1.5).alias("o_totalprice")
+    )
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(views, "DUMP_ROWS", 10)
+    lines = views.dump_lines(spark, str(tmp_path))
+    sizes = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 * cores and max(sizes) <= 25 and sum(sizes) == n + 1
