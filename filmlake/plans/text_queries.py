@@ -82,7 +82,7 @@ kept AS (
 
 def word_vectors(spark, sf_dir):
     """Word counts per film in long form."""
-    return term_counts(_cleaned(spark, sf_dir), "film", "plot", STOP_WORDS)
+    return term_counts(materialize(_cleaned(spark, sf_dir), "cleaned"), "film", "plot", STOP_WORDS)
 
 
 TERMS_CTE = """

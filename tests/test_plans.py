@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filmlake.operators import genres as g
+from filmlake.operators import tfidf
 from filmlake.operators.films import select_films
 from filmlake.operators.sentiment import document_sentiment, genre_sentiment
 from filmlake.operators.tfidf import fit_vocabulary, weighted_terms
@@ -51,6 +52,16 @@ def test_term_weights_shuffle_texts_once(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_term_counts_spread_with_the_length_of_the_texts(spark, monkeypatch):
+    """The partitions were as many for any length, so a task's counts grew with the input."""
+    monkeypatch.setattr(tfidf, "TASK_CHARS", 1_000)
+    docs = spark.range(3_000).select("id", F.lit("some words of a text").alias("text"))
+    for rows in (docs, docs.withColumn("text", F.split("text", " "))):
+        counts = tfidf.term_counts(rows, "id", "text")
+        assert counts.rdd.getNumPartitions() == 60
+        assert counts.groupBy("term", "tf").count().filter("tf = 1 AND count = 3000").count() == (4 if rows is docs else 5)
+
+
 def testfirst_places_are_hash_aggregated(spark):
     rows = spark.range(10).select(F.col("id").alias("film"), F.lit(0).alias("pos"), F.lit("x").alias("term"))
     text = plan(rows.groupBy("term").agg(g.first_place(rows, "film", "pos")))
