@@ -93,6 +93,35 @@ def test_the_gradient_of_a_perceptron(vectors, monkeypatch):
         assert abs((high - low) / 2e-5 - slope[at]) < 1e-4 * max(1, abs(slope[at]))
 
 
+def test_a_pass_of_a_perceptron_sends_the_lines_of_its_ones(spark, monkeypatch):
+    """Every task sent the whole gradient, so a pass of a wide model took most of its time to send zeros."""
+    draw, wide = np.random.default_rng(5), 40_000
+    rows = [(float(k % 3), Vectors.sparse(wide, [(int(i), 1.0) for i in sorted(draw.choice(wide, 4, replace=False))])) for k in range(120)]
+    rows = wide_rows.pack(spark.createDataFrame([*rows, (1.0, Vectors.sparse(wide, []))], ["y", "features"]).repartition(3), label="y")
+    layers = [wide, 6, 3]
+    point = wide_perceptron.first_weights(layers, 2)
+    parts = wide_perceptron.blocks(rows)
+    tasks = parts.count()
+    assert wide_perceptron.numbers_sent(parts, layers) <= 4 * 120 * 6 + tasks * 28
+    loss, slope = wide_perceptron.evaluate(rows, point, layers)
+    (lines, shift), (last, last_shift) = wide_perceptron.unpack(point, layers)
+    want, (got, got_shift) = np.zeros((wide, 6)), wide_perceptron.unpack(slope, layers)[0]
+    total, shifts = 0.0, np.zeros(6)
+    for r in rows.collect():
+        out = 1 / (1 + np.exp(-(lines[r.ones].sum(axis=0) + shift)))
+        chance = np.exp(out @ last + last_shift)
+        chance /= chance.sum()
+        total -= np.log(chance[r["class"]])
+        missed = (last @ (chance - np.eye(3)[r["class"]])) * out * (1 - out)
+        want[r.ones] += missed
+        shifts += missed
+    assert abs(loss - total) < 1e-8 and np.abs(got - want).max() < 1e-10 and np.abs(got_shift - shifts).max() < 1e-9
+    monkeypatch.setattr(partial_sums, "MOST_SENT", 0)
+    monkeypatch.setattr(wide_perceptron, "BLOCK", 7)
+    shuffled = wide_perceptron.evaluate(rows, point, layers)
+    assert abs(shuffled[0] - loss) < 1e-8 and np.abs(shuffled[1] - slope).max() < 1e-10
+
+
 def test_bags_and_subsets(vectors):
     weights = wide_trees._bag(np.arange(50_000), 3, 9)
     assert abs(weights.mean() - 1) < 0.02 and abs(weights.var() - 1) < 0.05
