@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +29,12 @@ def predict_multinomial(
     classes: list[int],
     key: str,
     alpha: float = 1.0,
+    prior: Sequence[float] | None = None,
 ) -> DataFrame:
     """(key, prediction) with a uniform prior; ties go to the smaller class.
 
+    ``prior`` has the logarithm of a prior for each class.
+
     score(d, c) = sum_t x_dt * ln(S_ct + alpha) - (sum_t x_dt) * ln(S_c + alpha * V). Each
     (document, term) joins one model row holding all classes, so rows are not multiplied by
     the number of classes, and partial sums leave one row per document.
@@ -57,7 +62,10 @@ def predict_multinomial(
     scored = docs.select(key).join(sums, key, "left").withColumn("_total", totals)
     ranked = [
         F.struct(
-            F.coalesce(F.col(f"g{i}") - F.col("x") * F.get("_total", F.lit(i)), F.lit(0.0)).alias("score"),
+            (
+                F.coalesce(F.col(f"g{i}") - F.col("x") * F.get("_total", F.lit(i)), F.lit(0.0))
+                + F.lit(0.0 if prior is None else float(prior[i]))
+            ).alias("score"),
             F.lit(-c).alias("rank"),
         )
         for i, c in enumerate(classes)

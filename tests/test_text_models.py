@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filmlake.operators import knn, models
+from filmlake.functions.text import clean_text, clean_tokens, without_words
+from filmlake.operators import knn, models, tfidf
 from filmlake.operators.bayes import fit_multinomial, predict_multinomial
 from filmlake.operators.tfidf import (
     anova_f,
@@ -16,6 +17,7 @@ from filmlake.operators.tfidf import (
     weighted_terms,
 )
 from filmlake.operators.wordfreq import drop_stop_words, top_words, word_counts
+from filmlake.plans import list_queries, model_queries, views
 
 DOCS = [
     (1, "war war soldier the battle", [0], True),
@@ -231,6 +233,56 @@ def test_ml_tfidf_equals_long_form(spark, docs):
     assert long_form == vector
 
 
+def test_selected_bayes_is_that_of_spark_without_vectors(spark, tmp_path, monkeypatch):
+    """Every text was laid out as a vector for each of its genres, and the F of a term came from all cells."""
+    draw = random.Random(8)
+    texts = []
+    for i in range(500):
+        lang = draw.choice(["de", "en", "fr"])
+        words = [f"{lang}{'abcd'[j]}" for j in range(4) for _ in range(draw.randrange(2 * j + 2))]
+        words += [f"x{'abcdefghijklmnopqrstuvwxyz'[draw.randrange(26)]}" for _ in range(draw.randrange(3, 9))]
+        source = draw.choice(["web", "book"])
+        texts.append((i if i != 7 else 6, "" if i == 9 else " ".join(words), lang if draw.random() < 0.9 else "en", source, len(words)))
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(10, 300)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    encoder = models.tfidf_vectors
+    monkeypatch.setattr(models, "tfidf_vectors", None)
+    got = model_queries.selected_bayes(spark, str(tmp_path))
+    kept, _ = list_queries.kept_films(spark, str(tmp_path), clean_text(F.col("plot")).alias("plot"))
+    words = without_words(clean_tokens(F.col("plot")), views.STOP_WORDS).alias("tokens")
+    rows = kept.select("film", words, F.explode("genres").alias("genre"), models.in_train(F.col("film"), 0.8).alias("train"))
+    train = rows.filter("train")
+    encode = encoder(train, "tokens", 0.4)
+    codes = models.class_values(train, "genre")
+    label = (F.array_position(F.array(*map(F.lit, codes)), F.col("genre")) - 1).cast("double")
+    choose = models.select_features(encode(train).withColumn("label", label), "label")
+    vectors = choose(encode(rows)).select("film", "genre", "train", F.col("selected").alias("features"))
+    want = models.fit_predict(vectors.filter("train"), vectors.filter("not train"), models.multinomial_bayes(), "genre")
+    answer = lambda df: sorted(tuple(r) for r in df.select("film", "genre", "predicted").collect())
+    assert vectors.first().features.size in (7, 8) and len({r.predicted for r in want.collect()}) > 2
+    assert answer(got) == answer(want)
+
+
+def test_shares_are_taken_as_sparks_selector_takes_them(spark):
+    """Beyond the ceiling the p values are 0, and the more frequent terms go first."""
+    assert tfidf._tail(4.9646, 1, 10) == pytest.approx(0.05, abs=1e-5)
+    assert tfidf._tail(2.7109, 5, 20) == pytest.approx(0.05, abs=1e-5)
+    ceiling = tfidf.f_ceiling(4, 300)
+    assert tfidf._tail(ceiling * 1.001, 4, 300) < 2**-54 < tfidf._tail(ceiling * 0.999, 4, 300)
+    rows = [("a", ceiling + 9, 2), ("b", ceiling + 1, 5), ("c", ceiling + 2, 5), ("d", ceiling - 1, 99), ("e", None, 100)]
+    scores = spark.createDataFrame(rows, "term string, f double, total long")
+    taken = lambda share: {r.term for r in tfidf.select_share(scores, share, ceiling).collect()}
+    assert [taken(x) for x in (0.2, 0.4, 0.6, 0.8, 0.99)] == [{"b"}, {"b", "c"}, {"a", "b", "c"}, {"a", "b", "c", "d"}, {"a", "b", "c", "d"}]
+
+
+def test_sums_of_lists_are_sums_of_classes(spark):
+    weights = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.25), (2, "a", 1.0), (3, "b", 2.0)], "k long, term string, weight double")
+    lists = spark.createDataFrame([(1, ["x", "y"]), (2, ["x", "y"]), (3, ["y", "y"])], "k long, genres array<string>")
+    flat = lists.select("k", F.explode("genres").alias("class"))
+    listed = lambda df: sorted(tuple(r) for r in df.select("term", "class", "s", "q").collect())
+    assert listed(tfidf.list_sums(weights, lists, "k", "genres")) == listed(tfidf.class_sums(weights, flat, "k"))
+
+
 def test_polynomial(spark):
     df = spark.createDataFrame([(float(x), 1.0 + 2 * x + 3 * x * x) for x in range(20)], "x double, y double")
     out = models.polynomial_fit(df, "x", "y", 2).transform(df)
