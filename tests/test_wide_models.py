@@ -103,6 +103,8 @@ def test_a_pass_of_a_perceptron_sends_the_lines_of_its_ones(spark, monkeypatch):
     parts = wide_perceptron.blocks(rows)
     tasks = parts.count()
     assert wide_perceptron.numbers_sent(parts, layers) <= 4 * 120 * 6 + tasks * 28
+    many = spark.createDataFrame(rows.rdd.repartition(40), rows.schema)
+    assert wide_perceptron.blocks(many).count() <= spark.sparkContext.defaultParallelism < many.rdd.getNumPartitions()
     loss, slope = wide_perceptron.evaluate(rows, point, layers)
     (lines, shift), (last, last_shift) = wide_perceptron.unpack(point, layers)
     want, (got, got_shift) = np.zeros((wide, 6)), wide_perceptron.unpack(slope, layers)[0]
