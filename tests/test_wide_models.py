@@ -142,3 +142,30 @@ def test_a_null_label_and_other_values_are_refused(spark, vectors):
     other = spark.createDataFrame([(1, Vectors.sparse(3, [(0, 2.0)]))], ["k", "features"])
     with pytest.raises(Exception, match="other than 0 and 1"):
         wide_rows.pack(other)
+
+
+def test_long_lists_are_added_up_in_levels():
+    """A perceptron's pass sorted and scanned all ones each time; their order of adding is now laid out once."""
+    draw = np.random.default_rng(6)
+    source = draw.normal(size=(50, 3))
+    for sizes in ([0, 3, 5_000, 1, 0, 33, 32, 64], [0, 0], []):
+        sizes = np.array(sizes, np.int64)
+        items = draw.integers(0, 50, sizes.sum())
+        lists, sums = wide_perceptron._added(wide_perceptron._levels(items, sizes), source)
+        ends = np.cumsum(sizes)
+        want = {k: source[items[end - n : end]].sum(axis=0) for k, (n, end) in enumerate(zip(sizes, ends)) if n}
+        assert sorted(lists) == sorted(want)
+        assert all(np.abs(s - want[k]).max() < 1e-9 for k, s in zip(lists, sums))
+
+
+def test_a_pass_over_few_rows_has_few_tasks(vectors, monkeypatch):
+    """Each task sends lines of its own, so many tasks of few rows each take longer than one."""
+    rows = wide_rows.pack(vectors.select(F.col("y").alias("c"), "features").filter("c < 4"), label="c")
+    assert rows.rdd.getNumPartitions() > 1 and wide_perceptron.blocks(rows).getNumPartitions() == 1
+    layers = [COLUMNS, 4, 3, 4]
+    point = wide_perceptron.first_weights(layers, 1)
+    one = wide_perceptron.evaluate(rows, point, layers)
+    monkeypatch.setattr(wide_perceptron, "TASK_ROWS", 1)
+    assert wide_perceptron.blocks(rows).getNumPartitions() > 1
+    several = wide_perceptron.evaluate(rows, point, layers)
+    assert abs(one[0] - several[0]) < 1e-9 and np.abs(one[1] - several[1]).max() < 1e-9
