@@ -1,6 +1,8 @@
 """The physical plans the operators are meant to get."""
 
 import re
+from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from filmlake.operators.sentiment import document_sentiment, genre_sentiment
 from filmlake.operators.tfidf import fit_vocabulary, weighted_terms
 from filmlake.plans import views
 from filmlake.plans.registry import REGISTRY
+from filmlake.plans.table_queries import film_chain
 from filmlake.sources.tables import write_parquet_table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -86,6 +89,34 @@ def test_leading_credits_are_the_first_of_all(spark):
             assert (r.cast_member, r.director, r.genre) == (w.cast_member[:n], w.director[:n], w.genre[:n])
 
 
+def test_a_chain_of_leading_credits_reads_the_line_items_of_its_films(spark, tmp_path):
+    """All line items were sorted and grouped, though few films have a plot; rows repeat and keys are null here."""
+    made = {
+        "orders": ("o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
+            [(k, (k or 0) % 3, 10.0 * k if k else None, datetime(1995, 1, 2)) for k in (1, 2, 2, 3, 4, 13, 23, 30, None)]),
+        "customer": ("c_custkey long, c_mktsegment string", [(0, "A"), (1, "B"), (2, None)]),
+        "part": ("p_partkey long, p_type string", [(k, f"t{k % 3}") for k in range(40)]),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+            "l_extendedprice double, l_discount double, l_tax double",
+            [(k, n, (k or 0) + n, n % 4, 20.0 + n, 7.5, 0.05, None if n == 5 else 0.02)
+             for k in (1, 2, 3, 3, 4, 13, 23, 99, None) for n in (1, 2, 3, 5)]),
+        "documents": ("doc_id long, text string, lang string, source string, n_chars int",
+            [(k, "x", "en", "web", k or 0) for k in (1, 2, 3, 3, 23, 77, None)]),
+        "labels": ("doc_id long, quality int", [(1, 1), (3, 0)]),
+    }
+    for name, (schema, rows) in made.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    cut = film_chain(spark, str(tmp_path), 3)
+    assert "lineitem.parquet" not in plan(cut)
+    lists = [F.slice(c, 1, 3).alias(c) for c in ("cast_member", "director", "genre")]
+    whole = film_chain(spark, str(tmp_path))
+    whole = whole.select(*[c for c in whole.columns if c not in ("cast_member", "director", "genre")], *lists)
+    want, got = (Counter(map(str, df.select(*sorted(cut.columns)).collect())) for df in (whole, cut))
+    assert got == want and sum(got.values()) > 4
+    kept = views.enriched_lines(spark, str(tmp_path)).groupBy("l_orderkey").count().collect()
+    assert {tuple(r) for r in kept} == {(1, 4), (2, 4), (3, 8), (23, 4)}
+
+
 LAZY = [
     "claims_extract", "films_select", "ratings_join", "film_chain_join", "enrich_lookup",
     "enrich_todo", "linfit_table", "corr_complete", "genre_share", "word_freq_top32", "year_trend",
