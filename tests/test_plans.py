@@ -117,6 +117,16 @@ def test_a_chain_of_leading_credits_reads_the_line_items_of_its_films(spark, tmp
     assert {tuple(r) for r in kept} == {(1, 4), (2, 4), (3, 8), (23, 4)}
 
 
+def test_a_chain_of_leading_credits_joins_the_orders_of_its_films(spark, monkeypatch):
+    """All orders were read again for the money and the company of films, and shuffled for them."""
+    whole = film_chain(spark, SF_DIR, 3)
+    monkeypatch.setattr(views, "MOST_WHOLE", 0)
+    cut = film_chain(spark, SF_DIR, 3)
+    assert "orders.parquet" in plan(whole) and "orders.parquet" not in plan(cut)
+    want, got = (Counter(map(str, df.collect())) for df in (whole, cut))
+    assert got == want and sum(got.values()) > 10
+
+
 LAZY = [
     "claims_extract", "films_select", "ratings_join", "film_chain_join", "enrich_lookup",
     "enrich_todo", "linfit_table", "corr_complete", "genre_share", "word_freq_top32", "year_trend",

@@ -169,3 +169,39 @@ def test_a_pass_over_few_rows_has_few_tasks(vectors, monkeypatch):
     assert wide_perceptron.blocks(rows).getNumPartitions() > 1
     several = wide_perceptron.evaluate(rows, point, layers)
     assert abs(one[0] - several[0]) < 1e-9 and np.abs(one[1] - several[1]).max() < 1e-9
+
+
+def test_the_direction_of_the_search_is_that_of_two_loops():
+    """The products with the steps were taken one by one by a BLAS whose threads kept the next pass waiting."""
+    draw, n = np.random.default_rng(8), 9_000
+    steps, pairs = wide_perceptron._Steps(n), []
+    bend = draw.uniform(0.2, 3.0, n)
+    assert np.array_equal(steps.direction(bend), -bend)
+    for _ in range(wide_perceptron.MEMORY + 3):
+        step = draw.normal(size=n)
+        steps.add(step, bend * step)
+        pairs = [*pairs, (step, bend * step)][-wide_perceptron.MEMORY :]
+    steps.add(step, -step)
+    assert len(steps) == wide_perceptron.MEMORY
+    slope = draw.normal(size=n)
+    want, shares = slope.copy(), []
+    for step, change in reversed(pairs):
+        shares.append(step @ want / (step @ change))
+        want -= shares[-1] * change
+    want *= step_scale(*pairs[-1])
+    for (step, change), share in zip(pairs, reversed(shares)):
+        want += (share - change @ want / (step @ change)) * step
+    assert np.abs(steps.direction(slope) + want).max() < 1e-5 * np.abs(want).max()
+
+
+def step_scale(step, change):
+    return (step @ change) / (change @ change)
+
+
+def test_all_lists_are_counted_in_one_job(spark):
+    """Each list column had a job of its own."""
+    rows = [(["a", "b", "a", None], ["x"]), (["c"], None), ([], ["x", "y"]), (None, [None])]
+    df = spark.createDataFrame(rows, "p array<string>, q array<string>").cache()
+    df = df.withColumn("none", F.array().cast("array<string>"))
+    assert models._distinct_terms(df, "p", "q", "none") == [3, 2, 1]
+    assert models._distinct_terms(df, "q") == [2]
