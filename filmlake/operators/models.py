@@ -21,14 +21,21 @@ from pyspark.ml.feature import (
     UnivariateFeatureSelector,
     VectorAssembler,
 )
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import broadcast_checked, fresh_path, materialize
 from . import wide_perceptron, wide_rows, wide_trees
+from .numbering import number_rows
 
 MAX_MODEL_FEATURES = 5_000_000
+# Elements whose names Spark ML may keep on the driver, and in the schema of every row; more are a table.
+MOST_NAMED = 20_000
+# Elements of a vocabulary that a task may hold whole.
+MOST_SENT = 50_000
 MAX_CLASSES = 1_000
 SPARK_MAX_TREE_DEPTH = 30
 # Rows x features that Spark ML may lay out; tables of ones beyond that stay sparse.
@@ -49,10 +56,15 @@ def random_split(df: DataFrame, share: float = 0.75, seed: int = 9) -> list[Data
     return df.randomSplit([share, 1 - share], seed)
 
 
+def _list_cells(df: DataFrame, columns: Sequence[str], *kept: str) -> DataFrame:
+    """(kept columns, i, t): the elements t of the i-th list column."""
+    lists = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("items")) for i, c in enumerate(columns)])
+    return df.select(*kept, F.explode(lists).alias("l")).select(*kept, "l.i", F.explode("l.items").alias("t"))
+
+
 def _distinct_terms(df: DataFrame, *columns: str) -> list[int]:
     """How many elements each of the list columns has, at least 1; one job counts them all."""
-    lists = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("items")) for i, c in enumerate(columns)])
-    cells = df.select(F.explode(lists).alias("l")).select("l.i", F.explode("l.items").alias("t"))
+    cells = _list_cells(df, columns)
     found = dict(cells.distinct().groupBy("i").agg(F.count("t")).collect())
     for i, column in enumerate(columns):
         if found.get(i, 0) > MAX_MODEL_FEATURES:
@@ -63,17 +75,53 @@ def _distinct_terms(df: DataFrame, *columns: str) -> list[int]:
 def multi_hot_vectors(df: DataFrame, columns: Sequence[str], output: str = "features"):
     """Sparse 0/1 vectors over all elements of the list columns, side by side.
 
-    Returns the fitted pipeline; its ``transform`` works on any rows with those columns. Every
-    element seen gets a feature, none is cut.
+    Returns the fitted encoder; its ``transform`` works on any rows with those columns. Every
+    element seen gets a feature, none is cut. Up to ``MOST_NAMED`` elements are a pipeline of
+    Spark ML, which names each feature on the driver and in the schema; more are :class:`_LongHot`.
     """
+    sizes = _distinct_terms(df, *columns)
+    if sum(sizes) > MOST_NAMED:
+        return _LongHot(df, columns, output)
     stages = [
-        CountVectorizer(inputCol=c, outputCol=f"{c}_hot", binary=True, vocabSize=n)
-        for c, n in zip(columns, _distinct_terms(df, *columns))
+        CountVectorizer(inputCol=c, outputCol=f"{c}_hot", binary=True, vocabSize=n) for c, n in zip(columns, sizes)
     ]
     stages.append(VectorAssembler(inputCols=[f"{c}_hot" for c in columns], outputCol=output))
     return Pipeline(stages=stages).fit(df)
 
 
+class _LongHot:
+    """Multi-hot vectors whose vocabulary is a written table that meets the elements in a join.
+
+    The features of a column are in the order of Spark ML's, the most frequent first; equal ones go
+    by the element. A NULL element has no feature. The driver learns only how many features there are.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], output: str):
+        self.columns, self.output = list(columns), output
+        counts = _list_cells(df, columns).filter(F.col("t").isNotNull()).groupBy("i", "t").agg(F.count(F.lit(1)).alias("n"))
+        numbered = number_rows(counts, ["i", F.col("n").desc(), "t"], "feature")
+        self.vocabulary = materialize(numbered.select("i", "t", F.col("feature").cast("int")), "vocabulary")
+        self.size = self.vocabulary.count()
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """The rows with their vectors, written; elements outside the vocabulary are left out."""
+        rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "listed")
+        known = broadcast_checked(self.vocabulary, MOST_SENT)
+        ones = _list_cells(rows, self.columns, "_row").join(known, ["i", "t"]).groupBy("_row").agg(
+            F.sort_array(F.collect_set("feature")).alias("_ones")
+        )
+        found = F.coalesce("_ones", F.array().cast("array<int>"))
+        # written as the numbers that a vector is stored as, and read as vectors
+        vector = F.struct(
+            F.lit(0).cast("byte").alias("type"), F.lit(self.size).alias("size"), found.alias("indices"),
+            F.array_repeat(F.lit(1.0), F.size(found)).alias("values"),
+        )
+        path = fresh_path(df.sparkSession, "hot")
+        rows.join(ones, "_row", "left").select(*df.columns, vector.alias(self.output)).write.parquet(path)
+        schema = T.StructType([*df.schema.fields, T.StructField(self.output, VectorUDT())])
+        return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def tfidf_vectors(
     train: DataFrame, tokens: str, max_df: float = 1.0, max_features: int | None = None,
     output: str = "features",

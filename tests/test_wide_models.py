@@ -205,3 +205,37 @@ def test_all_lists_are_counted_in_one_job(spark):
     df = df.withColumn("none", F.array().cast("array<string>"))
     assert models._distinct_terms(df, "p", "q", "none") == [3, 2, 1]
     assert models._distinct_terms(df, "q") == [2]
+
+
+def test_a_long_vocabulary_stays_a_table(spark, monkeypatch):
+    """Every feature had a name in the schema and every element one on the driver, which filled its memory."""
+    rows = [(1, ["a", "b", "a", None], ["x"]), (2, ["c"], None), (3, [], ["x", "y"]), (4, None, [None]), (5, ["b", "z"], ["y", "x"])]
+    df = spark.createDataFrame(rows, "k int, p array<string>, q array<string>").coalesce(1).cache()
+    monkeypatch.setattr(models, "MOST_NAMED", 4)
+    train = df.filter("k < 5").withColumn("extra", F.lit("kept"))
+    encoder = models.multi_hot_vectors(train, ["p", "q"])
+    out = encoder.transform(df.withColumn("extra", F.lit("kept")))
+    assert out.schema["features"].metadata == {} and out.columns == [*df.columns, "extra", "features"]
+    names = {(r.i, r.t): r.feature for r in encoder.vocabulary.collect()}
+    assert names == {(0, "a"): 0, (0, "b"): 1, (0, "c"): 2, (1, "x"): 3, (1, "y"): 4}
+    for r in out.collect():
+        want = [f for (i, t), f in sorted(names.items(), key=lambda x: x[1]) if t in ((r.p, r.q)[i] or [])]
+        assert r.features.size == 5 and r.features.indices.tolist() == want and set(r.features.values) <= {1.0}
+    assert out.count() == 5 and wide_rows.pack(out.select("k", "features")).count() == 5
+
+
+def test_a_long_vocabulary_gives_the_vectors_of_spark(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    rows = [(k, [f"e{min(int(x), 30)}" for x in draw.geometric(0.2, 5)], [f"g{k % 3}"]) for k in range(200)]
+    df = spark.createDataFrame(rows, "k int, p array<string>, q array<string>").cache()
+
+    def named(out):
+        """How often each feature is one is enough to tell the order; the rows tell the sets."""
+        found = {r.k: r.features.indices.tolist() for r in out.select("k", "features").collect()}
+        counts = np.bincount(np.concatenate(list(found.values())))
+        return sorted(sorted(counts[i] for i in ones) for ones in found.values()), counts
+
+    want = named(models.multi_hot_vectors(df, ["p", "q"]).transform(df))
+    monkeypatch.setattr(models, "MOST_NAMED", 3)
+    got = named(models.multi_hot_vectors(df, ["p", "q"]).transform(df))
+    assert got[0] == want[0] and sorted(got[1]) == sorted(want[1])
