@@ -1,11 +1,13 @@
 """Models of very many columns of zeros and ones, fitted to the ones alone."""
 
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from filmlake.operators import models, partial_sums, wide_perceptron, wide_rows, wide_trees
+from filmlake.operators import models, partial_sums, sharded_perceptron, wide_perceptron, wide_rows, wide_trees
 
 N, COLUMNS = 400, 60
 
@@ -239,3 +241,49 @@ def test_a_long_vocabulary_gives_the_vectors_of_spark(spark, monkeypatch):
     monkeypatch.setattr(models, "MOST_NAMED", 3)
     got = named(models.multi_hot_vectors(df, ["p", "q"]).transform(df))
     assert got[0] == want[0] and sorted(got[1]) == sorted(want[1])
+
+
+def test_the_first_weights_can_be_drawn_in_pieces():
+    layers = [50, 4, 3, 5]
+    whole = wide_perceptron.first_weights(layers, 7)
+    lines = [wide_perceptron.first_lines(layers, 7, begin, min(begin + 13, 50)) for begin in range(0, 50, 13)]
+    assert np.array_equal(np.concatenate([*lines, wide_perceptron.first_rest(layers, 7)]), whole)
+
+
+def test_a_search_whose_weights_are_dealt_out(spark, vectors, monkeypatch):
+    """The driver kept some thirty copies of the weights, of which a wide model has millions."""
+    train, test = vectors.filter("k % 4 > 0"), vectors
+    rows = wide_rows.pack(train.select(F.col("y").alias("c"), "features"), label="c")
+    n, classes = rows.count(), int(train.agg(F.max("y")).first()[0]) + 1
+    layers = [COLUMNS, 5, 4, classes]
+    monkeypatch.setattr(partial_sums, "PART", 35)  # shards of 7 lines
+    monkeypatch.setattr(wide_perceptron, "TASK_ROWS", 100)
+    monkeypatch.setattr(sharded_perceptron, "MOST_KEPT", 1)
+    calls = []
+    plain = sharded_perceptron._Search.evaluate
+
+    def watched(self, order):
+        found = plain(self, order)
+        calls.append((len(pickle.dumps(order)), found[0]))
+        return found
+
+    monkeypatch.setattr(sharded_perceptron._Search, "evaluate", watched)
+    start = wide_perceptron.evaluate(rows, wide_perceptron.first_weights(layers, 9), layers)[0] / n
+    model = sharded_perceptron.fit(rows, layers, 40, 1e-6, 9)
+    assert abs(calls[0][1] - start) < 1e-5 and max(size for size, _ in calls) < 1_500
+    local = wide_perceptron.fit(rows, layers, 40, 1e-6, 9)
+    loss = wide_perceptron.evaluate(rows, local, layers)[0] / n
+    assert min(value for _, value in calls) < loss + 0.1
+    # the weights that are left are those of the least loss, and predict what they predict on the driver
+    states = dict(model.state.collect())
+    tried = {key: sharded_perceptron._advanced(sharded_perceptron.Shard(*s), model.order, [])[0].point for key, s in states.items()}
+    flat = np.concatenate([tried[key] for key in [*range(1, len(tried)), 0]]).astype(float)
+    assert len(tried) == 1 + -(-COLUMNS // 7) and len(flat) == wide_perceptron.size(layers)
+    assert abs(wide_perceptron.evaluate(rows, flat, layers)[0] / n - min(v for _, v in calls)) < 1e-4
+    tested = wide_rows.pack(test)
+    want = {r.k: r.prediction for r in wide_perceptron.predict(tested, flat, layers).collect()}
+    got = sharded_perceptron.predict(tested, model)
+    assert {r.k: r.prediction for r in got.collect()} == want and got.columns == ["k", "y", "prediction"]
+    monkeypatch.setattr(sharded_perceptron, "MOST_LOCAL", 0)
+    out = models.fit_predict_ones(train, test, models.perceptron((5,), 25), "y", most_cells=0)
+    assert out.count() == N + 1 and len(set(predicted(out).values())) > 2
